@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def all_queries():
-    from millrace.catalog import eda, merging, preparation, quality  # noqa: F401
+    from millrace.catalog import eda, merging, models, preparation, quality, storage, store, streams  # noqa: F401
     from millrace.catalog.registry import QUERIES
 
     return dict(QUERIES)

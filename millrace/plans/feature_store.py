@@ -120,11 +120,13 @@ class OnDemandView:
         if self.batches is None:
             return df.withColumns({f.name: self.expressions[f.name].cast(f.dtype) for f in self.features})
         out = T.StructType([*df.schema.fields, *[T.StructField(f.name, f.dtype) for f in self.features]])
+        # Only these go to the executors, not the view, which holds DataFrames.
+        compute, added_names, all_names = self.batches, self.names, out.names
 
         def run(frames):
             for pdf in frames:
-                added = self.batches(pdf)
-                yield pdf.assign(**{f.name: added[f.name] for f in self.features})[out.names]
+                added = compute(pdf)
+                yield pdf.assign(**{n: added[n] for n in added_names})[all_names]
 
         return df.mapInPandas(run, out)
 
