@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from millrace.session import cut_lineage
 
 MAX_CODED_IN_ONE_TASK = 1_000_000
+MAX_FITTED_VALUES = 50_000
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -25,6 +26,23 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def fit_categories(
+    df: DataFrame, columns: Sequence[str], limit: int = MAX_FITTED_VALUES
+) -> dict[str, list[tuple[str, int]]] | None:
+    """{column: [(value, n), ...]} in alphabetical order, from one job; None beyond ``limit``.
+
+    This is the shape of a fitted encoder: a short list of categories. Columns with more
+    distinct values than that stay in Spark.
+    """
+    rows = value_counts(df, columns).where("value is not null").limit(limit + 1).collect()
+    if len(rows) > limit:
+        return None
+    found: dict[str, list[tuple[str, int]]] = {c: [] for c in columns}
+    for r in rows:
+        found[r["column_name"]].append((r["value"], r["n"]))
+    return {c: sorted(pairs, key=lambda p: p[0].encode()) for c, pairs in found.items()}
+
+
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, mode, freq): most frequent value, ties to the smallest."""
     best = F.min(F.struct((-F.col("n")).alias("rank"), "value"))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.scalars import to_number
-from millrace.operators.counts import category_codes, value_counts
+from millrace.operators.counts import category_codes, fit_categories
 from millrace.operators.schema import dtype_of
 from millrace.session import settle_small
 
@@ -67,15 +67,11 @@ def fit_onehot(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIE
     """Sorted categories per column. They become columns, so their number is guarded."""
     if not columns:
         return {}
-    counts = value_counts(df, columns).where("value is not null").select("column_name", "value")
-    rows = counts.limit(limit * len(columns) + 1).collect()
-    found: dict[str, list[str]] = {c: [] for c in columns}
-    for r in rows:
-        found[r["column_name"]].append(r["value"])
-    wide = [c for c, values in found.items() if len(values) > limit]
-    if wide or len(rows) > limit * len(columns):
-        raise ValueError(f"more than {limit} categories in {wide or columns}")
-    return {c: sorted(values, key=lambda v: v.encode()) for c, values in found.items()}
+    found = fit_categories(df, columns, limit * len(columns))
+    wide = columns if found is None else [c for c, pairs in found.items() if len(pairs) > limit]
+    if wide:
+        raise ValueError(f"more than {limit} categories in {wide}")
+    return {c: [value for value, _ in pairs] for c, pairs in found.items()}
 
 
 def apply_onehot(df: DataFrame, model: Mapping[str, Sequence[str]]) -> DataFrame:

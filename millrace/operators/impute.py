@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.scalars import to_number
-from millrace.operators.counts import category_codes, modes
+from millrace.operators.counts import category_codes, fit_categories, modes
 from millrace.operators.quantiles import fit_quantiles
 from millrace.operators.schema import dtype_of
 
@@ -55,9 +55,18 @@ def mean_code_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fit_mean_codes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    """The category to fill in per column; see ``mean_code_categories``."""
     if not columns:
         return {}
-    return {r["column_name"]: r["value"] for r in mean_code_categories(df, columns).collect()}
+    small = fit_categories(df, columns)
+    if small is None:
+        return {r["column_name"]: r["value"] for r in mean_code_categories(df, columns).collect()}
+    out = {}
+    for c, pairs in small.items():
+        if pairs:
+            mean = sum(code * n for code, (_, n) in enumerate(pairs)) / sum(n for _, n in pairs)
+            out[c] = pairs[min(round(mean), len(pairs) - 1)][0]
+    return out
 
 
 # --- Chained numeric imputation -------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -21,7 +21,11 @@ LOGISTIC_ITERATIONS = 1000
 LOGISTIC_C = 1.0
 FOREST_TREES = 100
 FOREST_SEED = 42
-FOREST_DEPTH = 30
+
+# Trees deeper than this cost a pass over the data per level without better scores; pass
+# ``depth`` (up to 30, Spark's limit) to grow them further.
+FOREST_DEPTH = 12
+ROWS_PER_TASK = 50_000
 
 
 def model_matrix(
@@ -39,30 +43,49 @@ def model_matrix(
     return coded.select(F.col("_key").alias(key), *features, F.col("label").cast("double").alias("label"))
 
 
-def _assembler(df: DataFrame, features: Sequence[str]) -> VectorAssembler:
+def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
 
 
+def _training_rows(train: DataFrame, features: Sequence[str], spread: bool) -> tuple[DataFrame, int]:
+    """(features, label, weight) cached, and the row count.
+
+    Every iteration is a job over these rows. Few rows are packed into few tasks for the
+    logistic steps, which are cheap, and spread over all cores for trees, which are not.
+    A large table keeps the partitions it has.
+    """
+    weighted = with_balanced_weight(train.where("label is not null"), "label")
+    n = weighted.count()
+    rows = _assembler(features).transform(weighted).select("features", "label", "weight")
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    needed = max(1, n // ROWS_PER_TASK)
+    if spread:
+        if needed < cores:
+            rows = rows.repartition(cores)
+    else:
+        rows = rows.coalesce(needed)
+    return rows.persist(), n
+
+
 def fit_logistic(train: DataFrame, features: Sequence[str]) -> PipelineModel:
     """Balanced L2 logistic regression with C = 1.
 
     Balanced weights sum to the row count n and Spark divides the loss by that sum, so the
     penalty of C = 1 is 1 / n.
     """
-    weighted = with_balanced_weight(train.where("label is not null"), "label").persist()
+    rows, n = _training_rows(train, features, spread=False)
     try:
-        n = weighted.count()
-        learner = LogisticRegression(
+        model = LogisticRegression(
             weightCol="weight",
             maxIter=LOGISTIC_ITERATIONS,
             regParam=1.0 / (LOGISTIC_C * max(n, 1)),
             elasticNetParam=0.0,
             standardization=False,
             tol=1e-4,
-        )
-        return Pipeline(stages=[_assembler(weighted, features), learner]).fit(weighted)
+        ).fit(rows)
     finally:
-        weighted.unpersist()
+        rows.unpersist()
+    return PipelineModel([_assembler(features), model])
 
 
 def fit_forest(train: DataFrame, features: Sequence[str], depth: int = FOREST_DEPTH) -> PipelineModel:
@@ -71,22 +94,21 @@ def fit_forest(train: DataFrame, features: Sequence[str], depth: int = FOREST_DE
     Memory for split statistics is raised so that a whole level of all trees is grown in
     few passes over the cached points.
     """
-    weighted = with_balanced_weight(train.where("label is not null"), "label").persist()
+    rows, _ = _training_rows(train, features, spread=True)
     try:
-        learner = RandomForestClassifier(
+        model = RandomForestClassifier(
             weightCol="weight",
             numTrees=FOREST_TREES,
             seed=FOREST_SEED,
             featureSubsetStrategy="sqrt",
             maxDepth=depth,
-            maxBins=32,
             minInstancesPerNode=1,
-            maxMemoryInMB=2048,
+            maxMemoryInMB=512,
             cacheNodeIds=True,
-        )
-        return Pipeline(stages=[_assembler(weighted, features), learner]).fit(weighted)
+        ).fit(rows)
     finally:
-        weighted.unpersist()
+        rows.unpersist()
+    return PipelineModel([_assembler(features), model])
 
 
 def train_and_score(matrix: DataFrame, key: str, features: Sequence[str], fit) -> DataFrame:
