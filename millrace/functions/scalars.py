@@ -91,16 +91,6 @@ def percent(n: Column, of: Column) -> Column:
     return F.try_divide(n * F.lit(100.0), of)
 
 
-def correlation(a: Column, b: Column) -> Column:
-    """Pearson correlation over the rows where both are present; NULL on zero variance.
-
-    Written from covariance and deviations because the built-in divides by zero under ANSI.
-    """
-    both = a.isNotNull() & b.isNotNull()
-    x, y = F.when(both, a), F.when(both, b)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-
 def ensure_text(c: Column, default: str = "N/A") -> Column:
     """A default for missing or empty text."""
     return F.coalesce(F.nullif(c, F.lit("")), F.lit(default))

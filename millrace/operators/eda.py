@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions.scalars import correlation, to_number
+from millrace.functions.scalars import to_number
 from millrace.operators.counts import modes
 from millrace.operators.quality import FENCE_FACTOR
 from millrace.operators.quantiles import QUARTILES, exact_quantiles, fit_quantiles, long_numbers
@@ -91,26 +90,73 @@ def count_by_label(df: DataFrame, columns: Sequence[str], label: str) -> DataFra
     )
 
 
+def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(col_a, col_b, r) per pair over the rows where both are present; NULL without spread.
+
+    A first pass learns centre and completeness of each column, a second sums products of
+    centred values. Sums of a complete column are shared by all its pairs, so a matrix
+    costs about one plain sum per pair instead of a moment aggregate for each side of it.
+    """
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+    place = {c: i for i, c in enumerate(columns)}
+    numbers = {c: to_number(F.col(c), dtype_of(df, c)) for c in columns}
+    seen = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count(x).alias(f"n{place[c]}") for c, x in numbers.items()],
+        *[F.avg(x).alias(f"a{place[c]}") for c, x in numbers.items()],
+        *[F.min(x).alias(f"lo{place[c]}") for c, x in numbers.items()],
+        *[F.max(x).alias(f"hi{place[c]}") for c, x in numbers.items()],
+    ).first()
+
+    def centre(i: int) -> float:
+        # A constant column is centred on itself, so its spread is exactly 0.
+        low, high = seen[f"lo{i}"], seen[f"hi{i}"]
+        return float(low if low == high else seen[f"a{i}"]) if low is not None else 0.0
+
+    complete = {i for i in range(len(columns)) if seen[f"n{i}"] == seen["rows"]}
+    centred = df.select(*[(numbers[c] - F.lit(centre(i))).alias(f"x{i}") for c, i in place.items()])
+    sums: dict[str, Column] = {}
+    for a, b in {tuple(sorted((place[a], place[b]))) for a, b in pairs}:
+        sums[f"p_{a}_{b}"] = F.sum(F.col(f"x{a}") * F.col(f"x{b}"))
+        if {a, b} <= complete:
+            for i in (a, b):
+                sums[f"s_{i}"] = F.sum(f"x{i}")
+                sums[f"q_{i}"] = F.sum(F.col(f"x{i}") * F.col(f"x{i}"))
+        else:
+            both = F.col(f"x{a}").isNotNull() & F.col(f"x{b}").isNotNull()
+            sums[f"n_{a}_{b}"] = F.count_if(both)
+            for i in {a, b}:
+                x = F.when(both, F.col(f"x{i}"))
+                sums[f"s_{i}_{a}_{b}"] = F.sum(x)
+                sums[f"q_{i}_{a}_{b}"] = F.sum(x * x)
+    one = centred.agg(*[c.alias(name) for name, c in sums.items()])
+    cells = []
+    for left, right in pairs:
+        a, b = sorted((place[left], place[right]))
+        shared = {a, b} <= complete
+        tail = "" if shared else f"_{a}_{b}"
+        n = F.lit(float(seen["rows"])) if shared else F.col(f"n_{a}_{b}").cast("double")
+
+        def spread(i: int) -> Column:
+            return F.col(f"q_{i}{tail}") - F.try_divide(F.col(f"s_{i}{tail}") * F.col(f"s_{i}{tail}"), n)
+
+        shift = F.try_divide(F.col(f"s_{a}{tail}") * F.col(f"s_{b}{tail}"), n)
+        r = F.try_divide(F.col(f"p_{a}_{b}") - shift, F.sqrt(spread(a) * spread(b)))
+        cells.append(F.struct(F.lit(left).alias("col_a"), F.lit(right).alias("col_b"), r.alias("r")))
+    return one.select(F.inline(F.array(*cells)))
+
+
 def correlation_with_label(df: DataFrame, label: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Correlation of every column with the label, strongest first, undefined ones last."""
     columns = list(columns or [*numeric_columns(df, exclude=[label]), label])
-    y = to_number(F.col(label), dtype_of(df, label))
-    one = df.agg(*[correlation(to_number(F.col(c), dtype_of(df, c)), y).alias(c) for c in columns])
-    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("r")) for c in columns]
-    return one.select(F.inline(F.array(*cells))).orderBy(F.desc_nulls_last("r"), "column_name")
+    found = pair_correlations(df, [(c, label) for c in columns])
+    return found.select(F.col("col_a").alias("column_name"), "r").orderBy(F.desc_nulls_last("r"), "column_name")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(col_a, col_b, r) for all ordered pairs, from one aggregate over the upper half."""
+    """(col_a, col_b, r) for all ordered pairs of columns."""
     columns = list(columns or numeric_columns(df))
-    numbers = {c: to_number(F.col(c), dtype_of(df, c)) for c in columns}
-    pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    one = df.agg(*[correlation(numbers[columns[i]], numbers[columns[j]]).alias(f"r_{i}_{j}") for i, j in pairs])
-    cells = []
-    for i, j in pairs:
-        for a, b in {(i, j), (j, i)}:
-            cells.append(F.struct(F.lit(columns[a]).alias("col_a"), F.lit(columns[b]).alias("col_b"), F.col(f"r_{i}_{j}").alias("r")))
-    return one.select(F.inline(F.array(*cells)))
+    return pair_correlations(df, [(a, b) for a in columns for b in columns])
 
 
 def correlation_change(before: DataFrame, after: DataFrame, label: str) -> DataFrame:

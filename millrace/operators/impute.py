@@ -108,7 +108,7 @@ def fit_chained(
         return model
 
     grams = _pattern_grams(df, columns, numbers, holed, means)
-    maps = _start_maps(grams, len(columns))
+    maps = _start_maps(grams, holed, len(columns))
     order = sorted(holed, key=lambda i: (summary["rows"] - counts[i], i))
     for _ in range(rounds):
         before = {p: m.copy() for p, m in maps.items()}
@@ -164,12 +164,16 @@ def _pattern_grams(df, columns, numbers, holed, means) -> dict[int, np.ndarray]:
     return out
 
 
-def _start_maps(grams, k) -> dict[int, np.ndarray]:
-    """Identity on observed cells; a missing cell starts at the mean, which is 0 here.
-
-    Centred missing cells enter the Gram as 0, so the identity already says that.
-    """
-    return {bits: np.eye(k + 1) for bits in grams}
+def _start_maps(grams, holed, k) -> dict[int, np.ndarray]:
+    """Observed cells map to themselves; a missing cell starts at the mean, which is 0 here."""
+    maps = {}
+    for bits in grams:
+        m = np.eye(k + 1)
+        for i in range(k):
+            if _misses(bits, holed, i):
+                m[i + 1, i + 1] = 0.0
+        maps[bits] = m
+    return maps
 
 
 def _filled(gram, m):

@@ -82,13 +82,23 @@ def missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return _rows(one, cells)
 
 
-def cardinality(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Distinct counts and the high-cardinality flag; text counts a missing value as one more."""
+def cardinality(
+    df: DataFrame, columns: Sequence[str] | None = None, relative_error: float | None = None
+) -> DataFrame:
+    """Distinct counts and the high-cardinality flag; text counts a missing value as one more.
+
+    Exact counts shuffle the distinct values of every column. ``relative_error`` switches
+    to sketches, which shuffle a few kilobytes per column: for a first look at wide tables.
+    """
+
+    def distinct(c: str) -> Column:
+        return F.count_distinct(F.col(c)) if relative_error is None else F.approx_count_distinct(c, relative_error)
+
     columns = list(columns or df.columns)
     texts = set(text_columns(df))
     one = df.agg(
         _n().alias("rows"),
-        *[F.count_distinct(F.col(c)).alias(f"d_{c}") for c in columns],
+        *[distinct(c).alias(f"d_{c}") for c in columns],
         *[F.count_if(F.col(c).isNull()).alias(f"m_{c}") for c in columns],
     )
     cells = []
