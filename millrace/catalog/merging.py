@@ -15,13 +15,21 @@ from millrace.catalog.inputs import (
     source_b,
 )
 from millrace.catalog.registry import query, table
-from millrace.functions.scalars import NUMBER_PATTERN, to_number, yes_no
+from millrace.functions.scalars import (
+    COMPACT_STAMP,
+    NUMBER_PATTERN,
+    date_parts,
+    hourly_path,
+    snapshot_name,
+    to_number,
+    yes_no,
+)
 from millrace.operators import impute
 from millrace.operators.schema import clean_names, dtype_of
 from millrace.operators.union import distinct_spine, standardize_flag
 from millrace.plans.churn_definitions import NO_YES_SERVICE
 from millrace.plans.customers import feature_table, impute_merged, merge_sources
-from millrace.session import cut_lineage
+from millrace.session import write_through
 from millrace.sources.readers import read_extract
 
 NUMBER_SQL = f"case when regexp_matches(trim({{0}}), '{NUMBER_PATTERN}') then try_cast(trim({{0}}) as double) end"
@@ -105,6 +113,23 @@ def scalar_to_number(spark, sf_dir):
     )
 
 
+@query(
+    "scalar_time_text",
+    "select event_id, strftime(ts, '%Y%m%d%H%M%S') as compact, strftime(ts, '%Y%m%d_%H%M%S') as snapshot, "
+    "strftime(ts, '%Y/%m/%d/%H') as hourly, strftime(ts, '%Y') as year, strftime(ts, '%m') as month, "
+    "strftime(ts, '%d') as day from events",
+)
+def scalar_time_text(spark, sf_dir):
+    ts = F.col("ts")
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        F.date_format(ts, COMPACT_STAMP).alias("compact"),
+        snapshot_name(ts).alias("snapshot"),
+        hourly_path(ts).alias("hourly"),
+        *[c.alias(n) for n, c in date_parts(ts).items()],
+    )
+
+
 @query(
     "proj_clean_names",
     "select p_partkey as part_key, p_name as name, p_type as type_of_part_a, p_size as size from part",
@@ -184,7 +209,7 @@ def imp_numeric_chained(spark, sf_dir):
 @query("merge_impute_chained")
 def merge_impute_chained(spark, sf_dir):
     merged = merge_sources(source_a(spark, sf_dir), source_b(spark, sf_dir))
-    return impute_merged(cut_lineage(merged), chained=True)
+    return impute_merged(write_through(merged, "merged"), chained=True)
 
 
 # Sorted categories of every one-hot column of the derived customer sources.

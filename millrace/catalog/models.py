@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from millrace.catalog.inputs import LABELLED_LINES_SQL, labelled_lines, source_a, source_b
 from millrace.catalog.registry import query, table
@@ -11,8 +11,7 @@ from millrace.operators.schema import conforming_rows
 from millrace.plans.churn_definitions import MODEL_FEATURES
 from millrace.plans.customers import feature_table
 from millrace.plans.learning import fit_forest, fit_logistic, model_matrix, train_and_score
-from millrace.session import cut_lineage
-from pyspark.sql import types as T
+from millrace.session import write_through
 
 SPLIT_SQL = "cast(('0x' || substr(md5('42:' || cast(o_orderkey as varchar)), 1, 8)) as bigint) / 4294967296.0"
 
@@ -87,7 +86,7 @@ def ml_signature(spark, sf_dir):
 
 def churn_matrix(spark, sf_dir):
     features = feature_table(source_a(spark, sf_dir), source_b(spark, sf_dir), chained=True)
-    return cut_lineage(model_matrix(features, "churn", "customerid", MODEL_FEATURES))
+    return write_through(model_matrix(features, "churn", "customerid", MODEL_FEATURES), "matrix")
 
 
 @query("ml_logreg")

@@ -8,7 +8,7 @@ from millrace.catalog.registry import query, table
 from millrace.session import scratch_path
 from millrace.sources.landing import read_raw
 from millrace.streaming.ingest import start_file_ingest
-from millrace.streaming.push import latest_online, read_offline, start_push
+from millrace.streaming.push import read_offline, read_online, start_push
 
 
 def _inbox(df, spark) -> str:
@@ -41,7 +41,7 @@ def stream_push_latest(spark, sf_dir):
     offline, online = scratch_path(spark, "offline"), scratch_path(spark, "online")
     events = spark.readStream.schema(df.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 16).parquet(inbox)
     start_push(
-        events, ["user_id"], "ts", ["event_id", "value"], offline, online, scratch_path(spark, "progress")
+        events, ["user_id"], "ts", ["event_id", "value"], offline, online, scratch_path(spark, "progress"), compact_every=2
     ).awaitTermination()
     counts = read_offline(spark, offline).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_offline"))
-    return latest_online(spark, online).join(counts, "user_id")
+    return read_online(spark, online, ["user_id"], "ts", ["event_id", "value"]).join(counts, "user_id")

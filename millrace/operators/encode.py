@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from millrace.functions.scalars import to_number
 from millrace.operators.counts import category_codes, fit_categories
@@ -14,16 +14,20 @@ from millrace.session import settle_small
 MAX_CATEGORIES = 1_000
 
 
-def fit_zscore(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation per column, from one aggregate."""
-    if not columns:
-        return {}
+def zscore_aggregates(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Mean and population deviation per column, to be part of any aggregate over the table."""
     numbers = {c: to_number(F.col(c), dtype_of(df, c)) for c in columns}
-    row = df.agg(
-        *[F.avg(x).alias(f"m_{c}") for c, x in numbers.items()],
-        *[F.stddev_pop(x).alias(f"s_{c}") for c, x in numbers.items()],
-    ).first()
-    return {c: (row[f"m_{c}"], row[f"s_{c}"]) for c in columns}
+    return [F.avg(x).alias(f"mean_{c}") for c, x in numbers.items()] + [
+        F.stddev_pop(x).alias(f"dev_{c}") for c, x in numbers.items()
+    ]
+
+
+def zscore_model(row: Row, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    return {c: (row[f"mean_{c}"], row[f"dev_{c}"]) for c in columns}
+
+
+def fit_zscore(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    return zscore_model(df.agg(*zscore_aggregates(df, columns)).first(), columns) if columns else {}
 
 
 def apply_zscore(df: DataFrame, model: Mapping[str, tuple[float, float]]) -> DataFrame:

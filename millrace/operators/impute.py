@@ -61,8 +61,13 @@ def fit_mean_codes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     small = fit_categories(df, columns)
     if small is None:
         return {r["column_name"]: r["value"] for r in mean_code_categories(df, columns).collect()}
+    return mean_codes_of(small)
+
+
+def mean_codes_of(categories: Mapping[str, Sequence[tuple[str, int]]]) -> dict[str, str]:
+    """The same from fitted categories: (value, n) pairs in alphabetical order per column."""
     out = {}
-    for c, pairs in small.items():
+    for c, pairs in categories.items():
         if pairs:
             mean = sum(code * n for code, (_, n) in enumerate(pairs)) / sum(n for _, n in pairs)
             out[c] = pairs[min(round(mean), len(pairs) - 1)][0]

@@ -64,6 +64,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def write_through(df: DataFrame, label: str) -> DataFrame:
+    """Write a table once to the shared folder and read it back.
+
+    For wide tables that several later jobs read: unlike a checkpoint the copy is columnar,
+    so each of those jobs reads only its columns.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def settle_small(df: DataFrame, max_rows: int = 10_000) -> tuple[DataFrame, bool]:
     """Compute a parameter table once and broadcast it if it has at most ``max_rows`` rows.
 

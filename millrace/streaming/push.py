@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.asof import latest_per_entity
+from millrace.plans.feature_store import FeatureView, PushSource
+
+COMPACT_EVERY = 50
 
 
 def start_push(
@@ -19,25 +22,28 @@ def start_push(
     online: str,
     checkpoint: str,
     created_ts: str | None = None,
+    compact_every: int = COMPACT_EVERY,
     continuous: str | None = None,
 ) -> StreamingQuery:
     """Feed a stream of events to both stores.
 
-    Batch N is written to ``offline/batch=N`` and, merged with the previous online version,
-    to ``online/batch=N``. Both are named by the batch, so a batch that is replayed after a
-    failure replaces its own output and nothing else. The newest event per entity wins.
+    Batch N goes whole to ``offline/batch=N`` and, reduced to its newest row per entity, to
+    ``online/delta/batch=N``: the work follows the size of the batch, not of the table.
+    Every ``compact_every`` batches the deltas are merged into ``online/base/batch=N``. All
+    outputs are named by the batch, so a replayed batch replaces its own output only. The
+    newest event per entity wins, whenever it arrives.
     """
+    carried = [*keys, ts, *([created_ts] if created_ts else []), *columns]
 
     def take(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        carried = [*keys, ts, *([created_ts] if created_ts else []), *columns]
-        batch.select(*carried).write.mode("overwrite").parquet(f"{offline}/batch={number:09d}")
-        fresh = spark.read.parquet(f"{offline}/batch={number:09d}")
-        if number:
-            previous = spark.read.parquet(f"{online}/batch={number - 1:09d}")
-            fresh = previous.select(*carried).unionByName(fresh)
-        merged = latest_per_entity(fresh, keys, ts, columns, created_ts)
-        merged.write.mode("overwrite").parquet(f"{online}/batch={number:09d}")
+        log = f"{offline}/batch={number}"
+        batch.select(*carried).write.mode("overwrite").parquet(log)
+        newest = latest_per_entity(spark.read.parquet(log), keys, ts, columns, created_ts)
+        newest.write.mode("overwrite").parquet(f"{online}/delta/batch={number}")
+        if (number + 1) % compact_every == 0:
+            table = read_online(spark, online, keys, ts, columns, created_ts, upto=number)
+            table.write.mode("overwrite").parquet(f"{online}/base/batch={number}")
 
     trigger = {"processingTime": continuous} if continuous else {"availableNow": True}
     return (
@@ -49,13 +55,52 @@ def start_push(
     )
 
 
-def latest_online(spark: SparkSession, online: str) -> DataFrame:
-    """The newest complete version of the online table."""
-    versions = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
-        "pathGlobFilter", "part-*"
-    ).load(online).select(F.regexp_extract("path", r"batch=(\d+)/", 1).alias("batch"))
-    newest = versions.agg(F.max("batch")).first()[0]
-    return spark.read.parquet(f"{online}/batch={newest}")
+def start_view_push(
+    events: DataFrame, source: PushSource, view: FeatureView, offline: str, online: str, checkpoint: str, **options
+) -> StreamingQuery:
+    """Push events to a feature view whose source is a push source."""
+    batch = source.batch
+    keys = list(view.entity.join_keys)
+    return start_push(
+        events, keys, batch.timestamp, view.names, offline, online, checkpoint, batch.created, **options
+    )
+
+
+def _newest_base(spark: SparkSession, online: str, upto: int | None) -> int | None:
+    """Number of the newest merged version, at most ``upto - 1``: a replay must not read itself."""
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "part-*")
+        .load(online)
+        .select(F.regexp_extract("path", r"/base/batch=(\d+)/", 1).try_cast("bigint").alias("batch"))
+    )
+    if upto is not None:
+        listed = listed.where(F.col("batch") < upto)
+    return listed.agg(F.max("batch")).first()[0]
+
+
+def read_online(
+    spark: SparkSession,
+    online: str,
+    keys: Sequence[str],
+    ts: str,
+    columns: Sequence[str],
+    created_ts: str | None = None,
+    upto: int | None = None,
+) -> DataFrame:
+    """The online table: the newest merged version and the deltas after it, newest row per entity."""
+    carried = [*keys, ts, *([created_ts] if created_ts else []), *columns]
+    base = _newest_base(spark, online, upto)
+    deltas = spark.read.option("basePath", f"{online}/delta").parquet(f"{online}/delta")
+    if base is not None:
+        deltas = deltas.where(F.col("batch") > base)
+    if upto is not None:
+        deltas = deltas.where(F.col("batch") <= upto)
+    rows = deltas.select(*carried)
+    if base is not None:
+        rows = spark.read.parquet(f"{online}/base/batch={base}").select(*carried).unionByName(rows)
+    return latest_per_entity(rows, keys, ts, columns, created_ts)
 
 
 def read_offline(spark: SparkSession, offline: str) -> DataFrame:

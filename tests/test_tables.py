@@ -16,7 +16,7 @@ from millrace.plans.customers import customer_view, merge_sources
 from millrace.session import scratch_path
 from millrace.sources import readers, snapshots, warehouse
 from millrace.streaming.ingest import start_file_ingest
-from millrace.streaming.push import latest_online, read_offline, start_push
+from millrace.streaming.push import read_offline, read_online, start_view_push
 
 D = datetime(2024, 1, 1)
 
@@ -274,19 +274,23 @@ def test_file_ingest_takes_each_file_once(spark):
     assert run() == 10
 
 
-def test_push_is_incremental_and_ignores_late_events(spark):
+@pytest.mark.parametrize("compact_every", [1, 2, 50])
+def test_push_is_incremental_and_ignores_late_events(spark, compact_every):
     inbox, off, on, state = (scratch_path(spark, n) for n in ("in", "off", "on", "state"))
     schema_ = T.StructType([T.StructField("k", T.StringType()), T.StructField("t", T.TimestampNTZType()), T.StructField("v", T.IntegerType())])
+    view = fs.FeatureView("view", USER, (fs.Feature("v", T.IntegerType()),), fs.FeatureSource("log", "t"))
 
     def push(rows):
-        spark.createDataFrame(rows, schema_).write.mode("append").parquet(inbox)
+        spark.createDataFrame(rows, schema_).coalesce(1).write.mode("append").parquet(inbox)
         stream = spark.readStream.schema(schema_).parquet(inbox)
-        start_push(stream, ["k"], "t", ["v"], off, on, state).awaitTermination()
-        return {r.k: r.v for r in latest_online(spark, on).collect()}
+        source = fs.PushSource("pushed", view.source)
+        start_view_push(stream, source, view, off, on, state, compact_every=compact_every).awaitTermination()
+        return {r.k: r.v for r in read_online(spark, on, ["k"], "t", ["v"]).collect()}
 
     assert push([("a", D, 1), ("b", D, 2)]) == {"a": 1, "b": 2}
     assert push([("a", D - timedelta(days=1), 9), ("b", D + timedelta(days=1), 3), ("c", D, 4)]) == {"a": 1, "b": 3, "c": 4}
-    assert read_offline(spark, off).count() == 5
+    assert push([("c", D + timedelta(days=2), 5)]) == {"a": 1, "b": 3, "c": 5}
+    assert read_offline(spark, off).count() == 6
 
 
 def test_models_are_versioned(spark):
