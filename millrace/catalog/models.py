@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+from uuid import uuid4
+
 from pyspark.sql import functions as F, types as T
 
 from millrace.catalog.inputs import LABELLED_LINES_SQL, labelled_lines, source_a, source_b
 from millrace.catalog.registry import query, table
 from millrace.operators import metrics
 from millrace.operators.schema import conforming_rows
-from millrace.plans.churn_definitions import MODEL_FEATURES
+from millrace.plans import stages
+from millrace.plans.churn_definitions import MODEL_FEATURES, RULES_A, RULES_B, SUITE_A, SUITE_B
 from millrace.plans.customers import feature_table
 from millrace.plans.learning import fit_forest, fit_logistic, model_matrix, train_and_score
-from millrace.session import write_through
+from millrace.session import scratch_path, write_through
+from millrace.sources.landing import read_raw
 
 SPLIT_SQL = "cast(('0x' || substr(md5('42:' || cast(o_orderkey as varchar)), 1, 8)) as bigint) / 4294967296.0"
 
@@ -97,3 +102,20 @@ def ml_logreg(spark, sf_dir):
 @query("ml_forest")
 def ml_forest(spark, sf_dir):
     return train_and_score(churn_matrix(spark, sf_dir), "customerid", MODEL_FEATURES, fit_forest)
+
+
+@query("ml_all_stages")
+def ml_all_stages(spark, sf_dir):
+    """Land, validate, merge, prepare, transform, load, retrieve and train, each from files."""
+    zones = stages.Zones(scratch_path(spark, "lake"))
+    a, b, at = source_a(spark, sf_dir), source_b(spark, sf_dir), datetime(2024, 3, 1, 6)
+    raw_a = read_raw(spark, stages.land_stage(a, zones, "a", at), a.schema).select(*a.columns)
+    raw_b = read_raw(spark, stages.land_stage(b, zones, "b", at), b.schema).select(*b.columns)
+    stages.validate_stage(raw_a, RULES_A, SUITE_A, zones, "a", at)
+    stages.validate_stage(raw_b, RULES_B, SUITE_B, zones, "b", at)
+    merged = stages.merge_stage(raw_a, raw_b, zones, at)
+    processed = stages.prepare_stage(spark, zones, at, merged)
+    transformed = stages.transform_stage(spark, zones, at, processed)
+    table_name = f"churn_features_{uuid4().hex[:12]}"
+    stages.load_stage(spark, zones, table_name, at, transformed)
+    return stages.train_stage(spark, zones, table_name)

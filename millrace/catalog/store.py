@@ -64,10 +64,11 @@ def fs_pit_join_ttl(spark, sf_dir):
     "on s.user_id = f.user_id and s.ts >= f.f_ts",
 )
 def fs_pit_join_sliced(spark, sf_dir):
-    """The plan for very frequent entities, with the row count that selects it set low."""
+    """The plan for very frequent entities: the row count that selects it is set low enough
+    for about half of the users to take it."""
     return as_of_join(
         spine(spark, sf_dir), feature_log(spark, sf_dir), ["user_id"], "ts", "f_ts", ["value", "f_event"],
-        matched_ts="seen_at", hot_rows=50,
+        matched_ts="seen_at", hot_rows=27,
     )
 
 

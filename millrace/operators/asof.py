@@ -19,6 +19,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millrace.session import write_through
+
 HOT_ROWS = 20_000_000
 MAX_HOT_ENTITIES = 1_000
 SLICE_GRID = 32
@@ -35,6 +37,7 @@ def as_of_join(
     ttl: timedelta | None = None,
     matched_ts: str | None = None,
     hot_rows: int | None = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Spine rows plus ``columns`` of the newest feature row with feature_ts <= spine_ts.
 
@@ -43,40 +46,42 @@ def as_of_join(
     NULL: the whole row is taken, never an older value. A missing key matches nothing.
     ``matched_ts`` names an extra column for the matched feature time. ``hot_rows`` is the
     row count from which an entity is sliced; None skips looking for such entities.
+    ``counted`` has the spine's keys where the spine itself is costly to compute again.
     """
     keys = list(keys)
     clash = set(columns) & set(spine.columns)
     if clash:
         raise ValueError(f"spine already has {sorted(clash)}")
-    feature_key = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]
     names = [f"k{i}" for i in range(len(keys))]
+
+    def renamed(df: DataFrame) -> list[Column]:
+        return [F.col(k).alias(n) for k, n in zip(keys, names)]
+
     created = F.col(created_ts) if created_ts else F.lit(None).cast("timestamp_ntz")
     feature_side = features.where(F.col(feature_ts).isNotNull()).select(
-        *feature_key,
+        *renamed(features),
         F.col(feature_ts).alias("t"),
         F.struct(created.alias("created"), F.col(feature_ts).alias("ts"), *columns).alias("f"),
     )
-    for k in names:
-        feature_side = feature_side.where(F.col(k).isNotNull())
-    spine_side = spine.select(*feature_key, F.col(spine_ts).alias("t"), F.struct(*spine.columns).alias("s"))
-    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in names])
-    keyless = spine_side.where(no_key)
-    keyed = spine_side.where(~no_key)
-
-    hot = _hot_entities(keyed, feature_side, names, hot_rows) if hot_rows else None
+    for n in names:
+        feature_side = feature_side.where(F.col(n).isNotNull())
+
+    hot = None
+    if hot_rows:
+        hot = _hot_entities((spine if counted is None else counted).select(*renamed(spine)), feature_side, names, hot_rows)
+        if hot is not None and counted is not None:
+            spine = write_through(spine, "spine")  # read by both plans below
+    spine_side = spine.select(*renamed(spine), F.col(spine_ts).alias("t"), F.struct(*spine.columns).alias("s"))
     if hot is None:
-        matched = _carry_forward(keyed, feature_side, names)
+        matched = _carry_forward(spine_side, feature_side, names)
     else:
         cold = _carry_forward(
-            keyed.join(hot, names, "left_anti"), feature_side.join(hot, names, "left_anti"), names
+            spine_side.join(hot, names, "left_anti"), feature_side.join(hot, names, "left_anti"), names
         )
         sliced = _carry_in_slices(
-            keyed.join(hot, names, "left_semi"), feature_side.join(hot, names, "left_semi"), names
+            spine_side.join(hot, names, "left_semi"), feature_side.join(hot, names, "left_semi"), names
         )
         matched = cold.unionByName(sliced)
-    matched = matched.select("s", "t", "f").unionByName(
-        keyless.select("s", "t"), allowMissingColumns=True
-    )
     fresh = F.col("f").isNotNull()
     if ttl is not None:
         fresh = fresh & (F.col("f.ts") >= F.col("t") - F.lit(ttl))
@@ -92,11 +97,14 @@ def _hot_entities(spine: DataFrame, features: DataFrame, names: Sequence[str], h
     With more than that many, the rest each hold under 1/1000 of the rows and stay in the
     plain plan.
     """
-    counts = spine.select(*names).unionByName(features.select(*names)).groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    keyed = spine
+    for n in names:
+        keyed = keyed.where(F.col(n).isNotNull())
+    counts = keyed.unionByName(features.select(*names)).groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
     rows = counts.where(F.col("n") > hot_rows).orderBy(F.desc("n")).limit(MAX_HOT_ENTITIES).drop("n").collect()
     if not rows:
         return None
-    return F.broadcast(spine.sparkSession.createDataFrame(rows, spine.select(*names).schema))
+    return F.broadcast(spine.sparkSession.createDataFrame(rows, spine.schema))
 
 
 def _tagged(features: DataFrame, spine: DataFrame) -> DataFrame:
@@ -105,18 +113,21 @@ def _tagged(features: DataFrame, spine: DataFrame) -> DataFrame:
 
 
 def _carry_forward(spine: DataFrame, features: DataFrame, names: Sequence[str]) -> DataFrame:
-    order = Window.partitionBy(*names).orderBy("t", "side", "f").rowsBetween(Window.unboundedPreceding, 0)
+    """Spine rows without a key match nothing and may be many: they are spread by their content."""
+    keyless = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
+    spine = spine.withColumn("spread", F.when(keyless, F.xxhash64("s")).otherwise(F.lit(0)))
+    features = features.withColumn("spread", F.lit(0).cast("bigint"))
+    order = Window.partitionBy(*names, "spread").orderBy("t", "side", "f").rowsBetween(Window.unboundedPreceding, 0)
     carried = F.last("f", ignorenulls=True).over(order)
-    return _tagged(features, spine).withColumn("f", carried).where("side = 1").drop("side")
+    rows = _tagged(features, spine).withColumn("f", carried).where("side = 1")
+    return rows.select("s", "t", "f")
 
 
-def _slice_number(t: Column, bounds: Column) -> Column:
-    """How many of the sorted bounds are at or before t, looking in one row of a square grid."""
-    g = SLICE_GRID
-    tops = F.transform(F.sequence(F.lit(1), F.lit(g - 1)), lambda i: F.element_at(bounds, (i * g).cast("int")))
+def _slice_number(t: Column, bounds: Column, tops: Column) -> Column:
+    """How many of the sorted bounds are at or before t: first by every 32nd, then within that run."""
     row = F.size(F.filter(tops, lambda b: b <= t))
-    within = F.size(F.filter(F.slice(bounds, row * g + 1, g - 1), lambda b: b <= t))
-    return row * g + within
+    within = F.size(F.filter(F.slice(bounds, row * SLICE_GRID + 1, SLICE_GRID - 1), lambda b: b <= t))
+    return row * SLICE_GRID + within
 
 
 def _carry_in_slices(spine: DataFrame, features: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -126,9 +137,15 @@ def _carry_in_slices(spine: DataFrame, features: DataFrame, names: Sequence[str]
 
     pieces = SLICE_GRID * SLICE_GRID
     cuts = [i / pieces for i in range(1, pieces)]
-    bounds = line.groupBy(*names).agg(F.percentile_approx("t", cuts, 4 * pieces).alias("bounds"))
+    every = F.sequence(F.lit(SLICE_GRID), F.lit(pieces - 1), F.lit(SLICE_GRID))
+    bounds = (
+        line.groupBy(*names)
+        .agg(F.percentile_approx("t", cuts, 4 * pieces).alias("bounds"))
+        .withColumn("tops", F.transform(every, lambda i: F.element_at("bounds", i)))
+    )
     # One row per hot entity, so at most MAX_HOT_ENTITIES arrays of pieces - 1 timestamps.
-    line = line.join(F.broadcast(bounds), names).withColumn("piece", _slice_number(F.col("t"), F.col("bounds"))).drop("bounds")
+    piece = _slice_number(F.col("t"), F.col("bounds"), F.col("tops"))
+    line = line.join(F.broadcast(bounds), names).withColumn("piece", piece).drop("bounds", "tops")
 
     before = Window.partitionBy(*names).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     handed = (
@@ -144,7 +161,7 @@ def _carry_in_slices(spine: DataFrame, features: DataFrame, names: Sequence[str]
         .join(handed, [*names, "piece"], "left")
         .select(*names, "t", F.coalesce("own", "handed").alias("f"))
     )
-    return spine.join(answers, [*names, "t"], "left")
+    return spine.join(answers, [*names, "t"], "left").select("s", "t", "f")
 
 
 def latest_per_entity(

@@ -203,7 +203,8 @@ def historical_features(
         keys = list(view.entity.join_keys)
         log = log.select(*keys, source.timestamp, *([source.created] if source.created else []), *columns)
         out = as_of_join(
-            out, log, keys, ts, source.timestamp, columns, source.created, view.ttl, hot_rows=hot_rows
+            out, log, keys, ts, source.timestamp, columns, source.created, view.ttl,
+            hot_rows=hot_rows, counted=None if out is spine else spine,
         )
     return _finish(out, spine.columns, chosen)
 

@@ -121,6 +121,17 @@ def test_plain_plan_shuffles_once(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_missing_keys_do_not_gather(spark):
+    """Two views in a row, most spine rows without a key: all rows come back, unmatched."""
+    spine = spark.range(2000).selectExpr("cast(id as int) as id", "case when id % 10 = 0 then 'x' end as k", "timestamp_ntz'2024-01-02' as ts")
+    log = spark.createDataFrame([("x", at(1), at(1), 7, "b"), (None, at(1), at(1), 8, "n")], LOG)
+    one = as_of_join(spine, log, ["k"], "ts", "f_ts", ["a"], hot_rows=50)
+    two = as_of_join(one, log, ["k"], "ts", "f_ts", ["b"], hot_rows=50, counted=spine)
+    assert two.count() == 2000
+    assert two.where("k is null and (a is not null or b is not null)").count() == 0
+    assert two.where("k = 'x' and a = 7 and b = 'b'").count() == 200
+
+
 def test_name_clash_is_refused(spark):
     spine, log = make(6)
     with pytest.raises(ValueError):
