@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.scalars import to_number
 from millrace.operators.counts import modes
@@ -96,53 +96,51 @@ def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFr
     A first pass learns centre and completeness of each column, a second sums products of
     centred values. Sums of a complete column are shared by all its pairs, so a matrix
     costs about one plain sum per pair instead of a moment aggregate for each side of it.
+    The many aggregates are written as SQL text: one call into the JVM each.
     """
     columns = list(dict.fromkeys(c for pair in pairs for c in pair))
     place = {c: i for i, c in enumerate(columns)}
-    numbers = {c: to_number(F.col(c), dtype_of(df, c)) for c in columns}
-    seen = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count(x).alias(f"n{place[c]}") for c, x in numbers.items()],
-        *[F.avg(x).alias(f"a{place[c]}") for c, x in numbers.items()],
-        *[F.min(x).alias(f"lo{place[c]}") for c, x in numbers.items()],
-        *[F.max(x).alias(f"hi{place[c]}") for c, x in numbers.items()],
+    numbers = df.select(*[to_number(F.col(c), dtype_of(df, c)).alias(f"y{i}") for c, i in place.items()])
+    facts = ("count", "avg", "min", "max")
+    seen = numbers.agg(
+        F.expr("count(1) as rows"),
+        *[F.expr(f"{fact}(y{i}) as {fact}{i}") for i in place.values() for fact in facts],
     ).first()
 
     def centre(i: int) -> float:
         # A constant column is centred on itself, so its spread is exactly 0.
-        low, high = seen[f"lo{i}"], seen[f"hi{i}"]
-        return float(low if low == high else seen[f"a{i}"]) if low is not None else 0.0
-
-    complete = {i for i in range(len(columns)) if seen[f"n{i}"] == seen["rows"]}
-    centred = df.select(*[(numbers[c] - F.lit(centre(i))).alias(f"x{i}") for c, i in place.items()])
-    sums: dict[str, Column] = {}
-    for a, b in {tuple(sorted((place[a], place[b]))) for a, b in pairs}:
-        sums[f"p_{a}_{b}"] = F.sum(F.col(f"x{a}") * F.col(f"x{b}"))
-        if {a, b} <= complete:
-            for i in (a, b):
-                sums[f"s_{i}"] = F.sum(f"x{i}")
-                sums[f"q_{i}"] = F.sum(F.col(f"x{i}") * F.col(f"x{i}"))
-        else:
-            both = F.col(f"x{a}").isNotNull() & F.col(f"x{b}").isNotNull()
-            sums[f"n_{a}_{b}"] = F.count_if(both)
-            for i in {a, b}:
-                x = F.when(both, F.col(f"x{i}"))
-                sums[f"s_{i}_{a}_{b}"] = F.sum(x)
-                sums[f"q_{i}_{a}_{b}"] = F.sum(x * x)
-    one = centred.agg(*[c.alias(name) for name, c in sums.items()])
+        low = seen[f"min{i}"]
+        return 0.0 if low is None else float(low if low == seen[f"max{i}"] else seen[f"avg{i}"])
+
+    complete = {i for i in place.values() if seen[f"count{i}"] == seen["rows"]}
+    centred = numbers.selectExpr(*[f"y{i} - double('{centre(i)!r}') as x{i}" for i in place.values()])
+    sums: dict[str, str] = {}
     cells = []
     for left, right in pairs:
         a, b = sorted((place[left], place[right]))
-        shared = {a, b} <= complete
-        tail = "" if shared else f"_{a}_{b}"
-        n = F.lit(float(seen["rows"])) if shared else F.col(f"n_{a}_{b}").cast("double")
-
-        def spread(i: int) -> Column:
-            return F.col(f"q_{i}{tail}") - F.try_divide(F.col(f"s_{i}{tail}") * F.col(f"s_{i}{tail}"), n)
-
-        shift = F.try_divide(F.col(f"s_{a}{tail}") * F.col(f"s_{b}{tail}"), n)
-        r = F.try_divide(F.col(f"p_{a}_{b}") - shift, F.sqrt(spread(a) * spread(b)))
-        cells.append(F.struct(F.lit(left).alias("col_a"), F.lit(right).alias("col_b"), r.alias("r")))
+        sums[f"p_{a}_{b}"] = f"sum(x{a} * x{b})"
+        if {a, b} <= complete:
+            n, tail = f"double({seen['rows']})", ""
+            for i in (a, b):
+                sums[f"s_{i}"] = f"sum(x{i})"
+                sums[f"q_{i}"] = f"sum(x{i} * x{i})"
+        else:
+            n, tail = f"double(n_{a}_{b})", f"_{a}_{b}"
+            both = f"x{a} is not null and x{b} is not null"
+            sums[f"n_{a}_{b}"] = f"count_if({both})"
+            for i in (a, b):
+                sums[f"s_{i}{tail}"] = f"sum(x{i}) filter (where {both})"
+                sums[f"q_{i}{tail}"] = f"sum(x{i} * x{i}) filter (where {both})"
+                # A column may be constant on the shared rows only: rounding must not give it a spread.
+                sums[f"v_{i}{tail}"] = f"max(x{i}) filter (where {both}) > min(x{i}) filter (where {both})"
+        sa, sb = f"s_{a}{tail}", f"s_{b}{tail}"
+        shared = f"p_{a}_{b} - try_divide({sa} * {sb}, {n})"
+        spread_a = f"(q_{a}{tail} - try_divide({sa} * {sa}, {n}))"
+        spread_b = f"(q_{b}{tail} - try_divide({sb} * {sb}, {n}))"
+        varies = "true" if not tail else f"v_{a}{tail} and v_{b}{tail}"
+        r = F.expr(f"case when {varies} then try_divide({shared}, sqrt({spread_a} * {spread_b})) end as r")
+        cells.append(F.struct(F.lit(left).alias("col_a"), F.lit(right).alias("col_b"), r))
+    one = centred.agg(*[F.expr(f"{text} as {name}") for name, text in sums.items()])
     return one.select(F.inline(F.array(*cells)))
 
 

@@ -23,6 +23,7 @@ def build_session(name: str = "millrace", master: str | None = None, **conf: str
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         **conf,
     }

@@ -173,6 +173,8 @@ def test_correlation_edge_cases(spark):
     assert got["c"] is None
     for c in ("a", "b", "y"):
         assert got[c] == pytest.approx(want[c])
+    partly = pd.DataFrame({"a": [0.1, 0.1, 0.1, 7.0], "b": [1.0, 2.0, 3.0, None]})
+    assert {(r.col_a, r.col_b): r.r for r in eda.correlation_matrix(spark.createDataFrame(partly)).collect()}[("a", "b")] is None
     order = [r.column_name for r in eda.correlation_with_label(spark.createDataFrame(pdf), "y").collect()]
     assert order[0] == "y" and order[-1] == "c"
 
