@@ -230,8 +230,9 @@ def fs_metadata(spark, sf_dir):
 
 @query(
     "fs_metadata_document",
-    "select 'user_views' as \"view\", '[{\"name\":\"f_event\",\"data_type\":\"bigint\",\"description\":\"N/A\",\"source\":\"view_log\",\"version\":\"v1\"},"
-    "{\"name\":\"value\",\"data_type\":\"double\",\"description\":\"Amount seen last\",\"source\":\"view_log\",\"version\":\"v1\"}]' as features",
+    "select 'user_views' as \"view\", '[{\"name\":\"f_event\",\"data_type\":\"bigint\",\"description\":\"N/A\",\"source\":\"view_log\",\"version\":\"v1\",\"n_rows\":' || count(*) || '},"
+    "{\"name\":\"value\",\"data_type\":\"double\",\"description\":\"Amount seen last\",\"source\":\"view_log\",\"version\":\"v1\",\"n_rows\":' || count(*) || '}]' as features "
+    f"from {LOG_SQL}",
 )
 def fs_metadata_document(spark, sf_dir):
     document = fs.metadata_document(fs.feature_metadata(spark, [view(spark, sf_dir)]))

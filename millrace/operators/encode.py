@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 from millrace.functions.scalars import to_number
 from millrace.operators.counts import category_codes, fit_categories
 from millrace.operators.schema import dtype_of
-from millrace.session import settle_small
 
 MAX_CATEGORIES = 1_000
 
@@ -97,8 +96,13 @@ def onehot(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -
 
 
 def _with_code(df: DataFrame, column: str, out: str, max_rows: int) -> DataFrame:
-    codes = category_codes(df, [column]).select(F.col("value").alias("_value"), F.col("code").alias(out))
-    table, _ = settle_small(codes, max_rows)
+    """Join the codes: fitted in one job and broadcast if few, ranked in Spark and shuffled if many."""
+    small = fit_categories(df, [column], max_rows)
+    if small is None:
+        table = category_codes(df, [column]).select(F.col("value").alias("_value"), F.col("code").alias(out))
+    else:
+        rows = [(value, code) for code, (value, _) in enumerate(small[column])]
+        table = F.broadcast(df.sparkSession.createDataFrame(rows, f"_value string, `{out}` bigint"))
     return df.join(table, F.col(column).cast("string") == F.col("_value"), "left").drop("_value")
 
 

@@ -317,8 +317,8 @@ def feature_metadata(spark: SparkSession, views: Sequence[FeatureView]) -> DataF
 
 
 def metadata_document(metadata: DataFrame) -> DataFrame:
-    """The listing as JSON text, one document per view."""
-    entry = F.struct(F.col("feature").alias("name"), "data_type", "description", "source", "version")
+    """The listing as JSON text, one document per view. Features per view are few by definition."""
+    entry = F.struct(F.col("feature").alias("name"), "data_type", "description", "source", "version", "n_rows")
     return metadata.groupBy("view").agg(F.to_json(F.sort_array(F.collect_list(entry))).alias("features"))
 
 

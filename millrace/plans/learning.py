@@ -24,7 +24,7 @@ FOREST_SEED = 42
 
 # Trees deeper than this cost a pass over the data per level without better scores; pass
 # ``depth`` (up to 30, Spark's limit) to grow them further.
-FOREST_DEPTH = 12
+FOREST_DEPTH = 10
 ROWS_PER_TASK = 50_000
 
 
