@@ -77,11 +77,11 @@ def snap_latest(spark, sf_dir):
     return readers.read_parquet(spark, snapshots.latest_snapshot(spark, zone, "*.parquet"))
 
 
-HASH_SQL = (
-    "cast(('0x' || substr(md5(concat_ws('|', coalesce('=' || cast(c_custkey as varchar), '~'), coalesce('=' || c_name, '~'), "
-    "coalesce('=' || cast(c_nationkey as varchar), '~'), coalesce('=' || cast(c_acctbal as varchar), '~'), "
-    "coalesce('=' || c_mktsegment, '~'))), 1, 8)) as bigint)"
+_CELLS = ", ".join(
+    f"coalesce(length(cast({c} as varchar)) || '=' || cast({c} as varchar), '~')"
+    for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 )
+HASH_SQL = f"cast(('0x' || substr(md5(concat_ws('|', {_CELLS})), 1, 15)) as bigint)"
 
 
 @query(

@@ -19,8 +19,18 @@ FENCE_PROBS = {"low": 0.0, "q25": 0.25, "q75": 0.75, "high": 1.0}
 MAX_LISTED_VALUES = 1_000
 
 # Message texts of the report and the advice that belongs to them.
+MISSING_MESSAGE = "%d missing (%.2f%%)"
+SHARE_MESSAGE = "%d out of %d rows (%.2f%%)"
+RANGE_SUFFIX = " are outside the expected range ({low}, {high})."
+OUTLIER_SUFFIX = " are outliers."
 BINARY_MESSAGE = "Binary column; outlier check not applicable."
 WIDE_NUMERIC_MESSAGE = "High-cardinality numeric column; details omitted."
+WIDE_TEXT_MESSAGE = "High-cardinality column with {n} unique values; details omitted."
+INVALID_MESSAGE = "%d invalid values out of %d rows (%.2f%%)."
+FOUND_PREFIX = " Found: "
+ALL_VALID_SUFFIX = " (All values valid)"
+UNIQUE_PREFIX = "Unique values: "
+DUPLICATES_MESSAGE = "%d duplicate rows found out of %d rows (%.2f%%)."
 NOT_FOUND_SUFFIX = " column not found."
 ADVICE = {
     "missing": "Consider imputing missing values (mean/median/mode) or dropping rows if appropriate.",
@@ -313,15 +323,15 @@ def quality_report(df: DataFrame, rules: Rules, max_listed: int = MAX_LISTED_VAL
 
     for c in df.columns:
         n = F.col(f"m_{c}")
-        text = F.format_string("%d missing (%.2f%%)", n, F.coalesce(percent(n, rows), F.lit(0.0)))
+        text = F.format_string(MISSING_MESSAGE, n, F.coalesce(percent(n, rows), F.lit(0.0)))
         cell(1, "missing_data", c, "missing", text, n)
     for c, (low, high) in rules.ranges.items():
         if c not in df.columns:
             cell(2, "columns", c, "range", F.lit(c + NOT_FOUND_SUFFIX))
             continue
         n = F.col(f"o_{c}")
-        tail = f" are outside the expected range ({low}, {high})."
-        text = F.concat(_share(n, rows, "%d out of %d rows (%.2f%%)"), F.lit(tail))
+        tail = RANGE_SUFFIX.format(low=low, high=high)
+        text = F.concat(_share(n, rows, SHARE_MESSAGE), F.lit(tail))
         cell(2, "columns", c, "range", F.when(F.col(f"tb_{c}"), BINARY_MESSAGE).otherwise(text), F.when(~F.col(f"tb_{c}"), n))
     for c in extra_numbers:
         if c in wide_numbers:
@@ -333,10 +343,10 @@ def quality_report(df: DataFrame, rules: Rules, max_listed: int = MAX_LISTED_VAL
             cell(4, "columns", c, "set", F.lit(c + NOT_FOUND_SUFFIX))
             continue
         n = F.col(f"i_{c}")
-        text = _share(n, rows, "%d invalid values out of %d rows (%.2f%%).")
-        cell(4, "columns", c, "set", F.concat(text, F.when(n == 0, " (All values valid)").otherwise("")), n)
+        text = _share(n, rows, INVALID_MESSAGE)
+        cell(4, "columns", c, "set", F.concat(text, F.when(n == 0, ALL_VALID_SUFFIX).otherwise("")), n)
     for c in wide_texts:
-        text = f"High-cardinality column with {counts_by[c]['n_unique']} unique values; details omitted."
+        text = WIDE_TEXT_MESSAGE.format(n=counts_by[c]["n_unique"])
         cell(5, "columns", c, "values", F.lit(text))
     for c in [*expected_numbers, *plain_numbers]:
         cell(7, "outliers", c, "outliers", *_outlier_text(c, rows))
@@ -355,7 +365,7 @@ def quality_report(df: DataFrame, rules: Rules, max_listed: int = MAX_LISTED_VAL
         report = _add_found(report, invalid_values(df, rules.sets), max_listed)
     if key and key in df.columns:
         dup = duplicates(df, [key])
-        text = _share(F.col("n_duplicates"), F.col("n_rows"), "%d duplicate rows found out of %d rows (%.2f%%).")
+        text = _share(F.col("n_duplicates"), F.col("n_rows"), DUPLICATES_MESSAGE)
         report = report.unionByName(
             dup.select(
                 F.lit(6).alias("check_order"),
@@ -378,7 +388,7 @@ def _per_column():
 
 def _outlier_text(c: str, rows: Column) -> tuple[Column, Column]:
     n, binary = F.col(f"t_{c}"), F.col(f"tb_{c}")
-    text = F.concat(_share(n, rows, "%d out of %d rows (%.2f%%)"), F.lit(" are outliers."))
+    text = F.concat(_share(n, rows, SHARE_MESSAGE), F.lit(OUTLIER_SUFFIX))
     return F.when(binary, BINARY_MESSAGE).otherwise(text), F.when(~binary, n)
 
 
@@ -411,7 +421,7 @@ def _listed_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.lit("columns").alias("section"),
             "column_name",
             F.lit("values").alias("check"),
-            F.concat(F.lit("Unique values: "), "list").alias("message"),
+            F.concat(F.lit(UNIQUE_PREFIX), "list").alias("message"),
             "n",
             "n_rows",
         )
@@ -422,9 +432,9 @@ def _add_found(report: DataFrame, invalid: DataFrame, max_listed: int) -> DataFr
     """Append the invalid values to the messages of set checks that have any."""
     per_column = invalid.groupBy("column_name").agg(_n().alias("kinds"))
     short = invalid.join(per_column.where(F.col("kinds") <= max_listed), "column_name")
-    found = short.groupBy("column_name").agg(F.concat(F.lit(" Found: "), _listing(F.col("value")), F.lit(".")).alias("found"))
+    found = short.groupBy("column_name").agg(F.concat(F.lit(FOUND_PREFIX), _listing(F.col("value")), F.lit(".")).alias("found"))
     many = per_column.where(F.col("kinds") > max_listed).select(
-        "column_name", F.format_string(" Found: %d kinds; see invalid_values.", "kinds").alias("found")
+        "column_name", F.format_string(FOUND_PREFIX + "%d kinds; see invalid_values.", "kinds").alias("found")
     )
     notes = found.unionByName(many).withColumn("check", F.lit("set"))
     joined = report.join(notes, ["column_name", "check"], "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 MIN_LANDED_BYTES = 1024
 
@@ -57,14 +57,20 @@ def size_gate(spark: SparkSession, zone: str, min_bytes: int = MIN_LANDED_BYTES)
     )
 
 
-def row_hash(columns: Sequence[str]):
-    """md5 of the row's cells as text; a marker keeps NULL apart from empty text."""
-    cells = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~")) for c in columns]
-    return F.md5(F.concat_ws("|", *cells))
+def row_hash(columns: Sequence[str]) -> Column:
+    """md5 of the row's cells as text. Each cell is led by its length, so neither NULL and
+    empty text nor two cells with a separator inside can be taken for one another."""
 
+    def cell(c: str) -> Column:
+        text = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.char_length(text), F.lit("="), text), F.lit("~"))
 
-def _hash_number(digest):
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("decimal(20,0)")
+    return F.md5(F.concat_ws("|", *[cell(c) for c in columns]))
+
+
+def _hash_number(digest: Column) -> Column:
+    """60 bits of a digest, in a type whose sum cannot overflow."""
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(38,0)")
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -72,7 +78,7 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     columns = list(columns or df.columns)
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(_hash_number(row_hash(columns))), F.lit(0)).cast("decimal(38,0)").cast("string").alias("content_hash"),
+        F.coalesce(F.sum(_hash_number(row_hash(columns))), F.lit(0)).cast("string").alias("content_hash"),
     ).withColumn("column_list", F.lit(",".join(columns)))
 
 

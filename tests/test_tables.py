@@ -126,6 +126,12 @@ def test_fingerprint_ignores_order_and_partitioning(spark):
     assert changed.content_hash != a.content_hash
 
 
+def test_row_hash_keeps_cells_apart(spark):
+    rows = [("a|1=b", "c"), ("a", "1=b|c"), (None, "x"), ("", "x"), ("~", "x")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    assert df.select(snapshots.row_hash(["a", "b"])).distinct().count() == 5
+
+
 def test_snapshot_versions(spark):
     zone = scratch_path(spark, "versions")
     with pytest.raises(Exception):
