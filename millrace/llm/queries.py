@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, chat, sharding
+from millrace.llm import bpe, chat, minhash, sharding, syncmers
 from millrace.llm.common import table
 from millrace.catalog.registry import Query
 
@@ -70,6 +70,27 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_minhash")
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+@query("op3_syncmers")
+def op3_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = syncmers.next_rows(syncmers.fingerprint(table(spark, sf_dir, "documents")), ["text", "anchors"])
+    other = made.select("doc_id", F.length("text").alias("n_chars"), syncmers.edited(F.col("text"), F.col("next_text")).alias("changed"), "anchors", "next_anchors")
+    both = syncmers.with_anchors(other, "changed", "changed_anchors")
+    return both.select(
+        "doc_id",
+        F.col("n_chars").cast("long").alias("n_chars"),
+        _sha(F.col("changed")).alias("edited_sha256"),
+        syncmers.as_text(F.col("anchors")).alias("fingerprint"),
+        syncmers.as_text(F.col("changed_anchors")).alias("edited_fingerprint"),
+        syncmers.likeness(F.col("anchors"), F.col("changed_anchors")).alias("near_edited"),
+        syncmers.likeness(F.col("anchors"), F.col("next_anchors")).alias("near_next"),
+    )
+
+
 @query("op9_bpe")
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
