@@ -6,9 +6,9 @@ copies costs one row from there on. Each class gets ``BANDS * ROWS`` minima; who
 the band keys, and only the lowest ``BITS`` bits of each are kept, packed into longs.
 
 Candidates are never all pairs of a bucket. First every member is paired with the bucket's
-smallest. Buckets whose members then still lie in different components go on with their next
-8, 64, ... members, against later members of other components only, until no pair across
-components is left. A pair's similarity is first estimated from the packed bits, corrected for
+smallest. Buckets whose members then still lie in different components go on with 8, then 64,
+... pivots, against later members of other components only, until no pair across components is
+left that could be alike, judged by the shingles that a class shares with any other. A pair's similarity is first estimated from the packed bits, corrected for
 chance collisions; pairs far below the limit (five standard deviations) go, all others are
 confirmed on the full sets. A pair at the limit misses every band with probability 5e-8.
 
@@ -147,6 +147,21 @@ class _Linker:
         self.width, self.percent = width, percent
         self.sets: DataFrame | None = None
 
+    def fetch(self, nodes: DataFrame) -> None:
+        """Make the shingle sets of these classes, where not made before."""
+        if self.sets is not None:
+            nodes = nodes.join(self.sets.select("node"), "node", "left_anti")
+        # One class, one text: a doc_id with several texts keeps the text of the class it stands for.
+        fetched = write_through(shingle_sets(self.texts.join(nodes, "node"), self.width), "minhash-sets")
+        self.sets = fetched if self.sets is None else self.sets.union(fetched)
+
+    def own(self, nodes: DataFrame) -> DataFrame:
+        """(node, size, own): how many of its shingles no other of these classes has."""
+        self.fetch(nodes)
+        each = self.sets.join(nodes, "node").select("node", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+        alone = each.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+        return each.groupBy("node").agg(F.first("size").alias("size")).join(alone, "node", "left").fillna(0, ["own"])
+
     def confirm(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are links."""
         left = self.bits.select(F.col("node").alias("a"), F.col("bits").alias("bits_a"), F.col("size").alias("size_a"))
@@ -159,12 +174,7 @@ class _Linker:
             .select("a", "b", "size_a", "size_b"),
             "minhash-likely",
         )
-        nodes = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
-        if self.sets is not None:
-            nodes = nodes.join(self.sets.select("node"), "node", "left_anti")
-        # One class, one text: a doc_id with several texts keeps the text of the class it stands for.
-        fetched = write_through(shingle_sets(self.texts.join(nodes, "node"), self.width), "minhash-sets")
-        self.sets = fetched if self.sets is None else self.sets.union(fetched)
+        self.fetch(likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct())
         one = self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
         two = self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
         shared = F.size(F.array_intersect("set_a", "set_b"))
@@ -182,6 +192,13 @@ def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+def _open_buckets(rest: DataFrame, most: int) -> DataFrame:
+    """Members of buckets that lie in several components and have places from ``most`` on."""
+    more = F.max("place") + 1 if "place" in rest.columns else F.count(F.lit(1))
+    per = rest.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), more.alias("n"))
+    return rest.join(per.where((F.col("r0") != F.col("r1")) & (F.col("n") > most)).select("bucket"), "bucket")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, growth: int = 8) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
@@ -201,22 +218,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, growth:
     linker = _Linker(docs, classes, width, percent)
     links = linker.confirm(pairs)
 
-    # Buckets of three and more that are not one component yet.
+    # Buckets of three and more that are not one component yet. A shingle that no other class
+    # left in them has can't be shared, which bounds what a class can have in common with any
+    # other: most strays end here. Classes with few such shingles come first as pivots, since
+    # they are nearest to what a group was copied from.
     big = members.join(stars.where("n > 2").select("bucket"), "bucket")
-    ranked, first, last = None, 1, growth
-    while True:
-        rest = _labelled(ranked if ranked is not None else big, links)
-        per = rest.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("n"))
-        rest = rest.join(per.where((F.col("r0") != F.col("r1")) & (F.col("n") > first + 1)).select("bucket"), "bucket")
-        if ranked is None:
-            rest = rest.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy("node")) - 1)
-        rest = write_through(rest.select("bucket", "node", "root", "place"), "minhash-rest")
-        if rest.isEmpty():
-            break
-        pivots = rest.where(F.col("place").between(first, last)).select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("place").alias("place_a"))
-        pairs = pivots.join(rest, "bucket").where("place > place_a and root != root_a").select("a", F.col("node").alias("b")).distinct()
-        links = cut_lineage(links.union(linker.confirm(pairs)).distinct())
-        ranked = rest.select("bucket", "node", "place")
+    rest = write_through(_open_buckets(_labelled(big, links), 1), "minhash-rest")
+    own = linker.own(rest.select("node").distinct())
+    can = F.col("size") - F.col("own")
+    rest = rest.join(own, "node").where(100 * can >= percent * F.col("size"))
+    order = Window.partitionBy("bucket").orderBy("own", "node")
+    rest = write_through(rest.select("bucket", "node", "root", "size", can.alias("can"), (F.row_number().over(order) - 1).alias("place")), "minhash-rest")
+    first, last = 0, growth - 1
+    while not rest.isEmpty():
+        pivots = rest.where(F.col("place").between(first, last)).select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("node", "root", "size", "can", "place")])
+        most = F.least("can", "can_a")
+        possible = 100 * most >= percent * (F.col("size") + F.col("size_a") - most)
+        pairs = pivots.join(rest, "bucket").where((F.col("place") > F.col("place_a")) & (F.col("root") != F.col("root_a")) & possible)
+        links = cut_lineage(links.union(linker.confirm(pairs.select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b")).distinct())).distinct())
+        rest = write_through(_open_buckets(_labelled(rest.drop("root"), links), last + 2), "minhash-rest")
         first, last = last + 1, last * growth + growth
     roots = components(links)
     named = classes.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
