@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, chat, minhash, sharding, syncmers
+from millrace.llm import bpe, chat, html_text, minhash, packing, rabitq, sharding, syncmers, toxicity
 from millrace.llm.common import table
 from millrace.catalog.registry import Query
 
@@ -70,6 +70,11 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op1_packing")
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), 2048)
+
+
 @query("op2_minhash")
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
@@ -91,6 +96,19 @@ def op3_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.score_documents(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op5_html")
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 @query("op9_bpe")
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -104,6 +122,28 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP7_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+n AS (SELECT *, sqrt(list_reduce(list_transform(e, lambda x: x * x), lambda a, b: a + b)) AS size FROM v),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_reduce(list_transform(list_zip(c.e, q.e), lambda z: z[1] * z[2]), lambda a, b: a + b) / (c.size * q.size) AS score
+  FROM n q JOIN n c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
+@query("op7_rabitq", OP7_SQL)
+def op7_rabitq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = rabitq.valid_vectors(table(spark, sf_dir, "embeddings"))
+    return rabitq.nearest(rabitq.index(vectors), vectors.where("vec_id % 50 = 0"), 5)
+
+
 @query("op10_sharding")
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 8).select(
