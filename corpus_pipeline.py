@@ -2,17 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.llm import chaining, minhash, packing, toxicity
+from millrace.llm.common import table
 from millrace.session import write_through
 
-STAGES: list = []
-
+# Iterative and fitted stages have no SQL form.
 ORACLE_SQL = None
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, fitted on all labelled ones among them, does not reject."""
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    rejected = toxicity.score_documents(docs, model).where("predicted = 1").select(F.col("doc_id").alias("_doc")).distinct()
+    return docs.join(rejected, docs["doc_id"] == rejected["_doc"], "left_anti")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest doc_id."""
+    gone = minhash.near_duplicates(docs, width=5, percent=80).where("not kept").select(F.col("doc_id").alias("_doc")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_doc"], "left_anti")
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that an earlier document holds."""
+    kept = chaining.cut_passages(docs, chaining.repeated_passages(docs))
+    return kept.select(*docs.columns).withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document left, in its bin."""
+    return packing.pack_documents(docs, 2048)
+
+
+STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates), ("repeated_passages", cut_repeats), ("packing", pack)]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = write_through(stage(spark, docs, sf_dir), name)
+        docs = write_through(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, chat, html_text, minhash, packing, rabitq, sharding, syncmers, toxicity
+from millrace.llm import bpe, chaining, chat, html_text, minhash, packing, rabitq, sharding, syncmers, toxicity
 from millrace.llm.common import table
 from millrace.catalog.registry import Query
 
@@ -109,6 +109,11 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
+@query("op8_chaining")
+def op8_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op9_bpe")
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
