@@ -122,8 +122,20 @@ def chain(x: np.ndarray, y: np.ndarray) -> list[list[int]]:
     return [c for c in out if len(c) > 1]
 
 
+def returning(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int]]:
+    """(first, last, owner position) of seeds that come again and again, as in a line said many times."""
+    out = []
+    order = np.lexsort((x, y))
+    xs, ys = x[order], y[order]
+    cut = np.flatnonzero((np.diff(ys) != 0) | (np.diff(xs) > MAX_GAP)) + 1
+    for a, b in zip([0, *cut], [*cut, len(xs)]):
+        if b - a > 2 and xs[b - 1] - xs[a] >= MIN_PIECE:
+            out.append((int(xs[a]), int(xs[b - 1]), int(ys[a])))
+    return out
+
+
 def chains(found: DataFrame) -> DataFrame:
-    """(doc, owner, xs, ys): chained seed positions. Rows of a document are bounded by its own seeds."""
+    """(doc, owner, xs, ys, reach): chained seed positions, and how far a returning seed goes on. Rows of a document are bounded by its own seeds."""
 
     def flush(table: pa.Table, out: dict) -> None:
         doc, owner, x, y = (table.column(c).to_numpy() for c in ("doc", "owner", "pos", "owner_pos"))
@@ -132,14 +144,17 @@ def chains(found: DataFrame) -> DataFrame:
             if b - a > 1:
                 for c in chain(x[a:b], y[a:b]):
                     out["doc"].append(doc[a]), out["owner"].append(owner[a])
-                    out["xs"].append(x[a:b][c]), out["ys"].append(y[a:b][c])
+                    out["xs"].append(x[a:b][c]), out["ys"].append(y[a:b][c]), out["reach"].append(0)
+                for x0, x1, y0 in returning(x[a:b], y[a:b]):
+                    out["doc"].append(doc[a]), out["owner"].append(owner[a])
+                    out["xs"].append([x0]), out["ys"].append([y0]), out["reach"].append(x1 - x0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        kinds = pa.schema([("doc", pa.int64()), ("owner", pa.int64()), ("xs", pa.list_(pa.int32())), ("ys", pa.list_(pa.int32()))])
+        kinds = pa.schema([("doc", pa.int64()), ("owner", pa.int64()), ("xs", pa.list_(pa.int32())), ("ys", pa.list_(pa.int32())), ("reach", pa.int32())])
 
         def made(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-            out: dict = {"doc": [], "owner": [], "xs": [], "ys": []}
+            out: dict = {c: [] for c in kinds.names}
             if parts and sum(map(len, parts)):
                 flush(pa.Table.from_batches(parts).combine_chunks(), out)
             return pa.RecordBatch.from_pydict(out, kinds)
@@ -160,7 +175,7 @@ def chains(found: DataFrame) -> DataFrame:
         yield made(held)
 
     return found.repartition("doc").sortWithinPartitions("doc", "owner", "pos").mapInArrow(
-        run, "doc long, owner long, xs array<int>, ys array<int>"
+        run, "doc long, owner long, xs array<int>, ys array<int>, reach int"
     )
 
 
@@ -187,9 +202,9 @@ def align(a: np.ndarray, b: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> list[
 
     def close(i: int) -> None:
         x0, y0, x1, y1 = int(xs[first]), int(ys[first]), int(xs[i]) + K, int(ys[i]) + K
-        n = min(x0, y0, MARGIN)
+        n = min(x0, y0)
         left = _outwards((a[x0 - n : x0] == b[y0 - n : y0])[::-1])
-        n = min(len(a) - x1, len(b) - y1, MARGIN)
+        n = min(len(a) - x1, len(b) - y1)
         right = _outwards(a[x1 : x1 + n] == b[y1 : y1 + n])
         out.append((x0 - left[0], x1 + right[0], y0 - left[0], y1 + right[0], equal + K + left[1] + right[1], columns + K + left[0] + right[0]))
 
@@ -227,7 +242,7 @@ def pieces(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, start, end, owner, owner_start, owner_end, equal, columns): aligned stretches that agree enough."""
     linked = write_through(chains(matches(docs, min_words)), "chain-chains")
     low = lambda c: F.greatest(F.array_min(c) - MARGIN, F.lit(0))
-    high = lambda c: F.array_max(c) + K + MARGIN
+    high = lambda c: F.array_max(c) + K + MARGIN + F.col("reach")
     linked = linked.select("*", low("xs").alias("xa"), high("xs").alias("xb"), low("ys").alias("ya"), high("ys").alias("yb"))
     wanted = linked.select("doc", F.col("xa").alias("a"), F.col("xb").alias("b")).union(linked.select("owner", "ya", "yb")).distinct()
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc"), "text")
