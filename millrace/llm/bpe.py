@@ -2,9 +2,9 @@
 
 A merge joins neighbouring symbols only into a token of the vocabulary. So where two symbols
 stand side by side in a word but in no token of the vocabulary, no merge can ever join them:
-that place is a certain cut. A word is cut there, its fragments are encoded independently (and
-remembered), and the ids are concatenated. Fragments are merged with a heap over a linked list,
-so a text without spaces costs n log n.
+that place is a certain cut. A word is cut there, its fragments are encoded independently, and
+the ids are concatenated; a task remembers the ids of words. Long fragments are merged with a heap
+over a linked list, so a text without spaces costs n log n.
 
 Defined results: null and empty texts have no ids and decode to the empty text; texts of any
 length are encoded whole; repeated rows and other columns pass through.
@@ -25,8 +25,12 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Words remembered by one task, and the longest word worth remembering.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 LONGEST = 64
+#: Fragments up to this many symbols are merged by plain search.
+SHORT = 32
+#: Rows handled at a time.
+STEP = 512
 
 
 def _byte_letters() -> list[str]:
@@ -50,9 +54,6 @@ class WordBpe:
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.ranks = {(a, b): i for i, (a, b) in enumerate(pairs)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = [""] * (max([*self.ids.values(), *self.special.values()]) + 1)
-        for token, i in [*self.ids.items(), *self.special.items()]:
-            self.tokens[i] = token
         self.letters = _byte_letters()
         self.pieces = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", r"\t-\r \x85\p{Z}"))
         self.marks = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
@@ -61,7 +62,6 @@ class WordBpe:
             symbols = self._symbols(token.removesuffix(self.end), token.endswith(self.end))
             self.inside.update(zip(symbols, symbols[1:], strict=False))
         self.words: dict[str, bytes] = {}
-        self.fragments: dict[tuple[str, ...], bytes] = {}
 
     def _symbols(self, letters: str, closed: bool) -> list[str]:
         symbols = list(letters)
@@ -69,8 +69,24 @@ class WordBpe:
             symbols[-1] += self.end
         return symbols
 
-    def _merge(self, symbols: tuple[str, ...]) -> bytes:
+    def _merge_short(self, items: list[str]) -> bytes:
+        """As ``_merge``, by looking at all pairs after each step: quicker for few symbols."""
+        ranks, worst = self.ranks, len(self.ranks)
+        found = [ranks.get(p, worst) for p in zip(items, items[1:])]
+        while found and (best := min(found)) < worst:
+            i = found.index(best)
+            items[i] += items.pop(i + 1)
+            del found[i]
+            if i:
+                found[i - 1] = ranks.get((items[i - 1], items[i]), worst)
+            if i < len(found):
+                found[i] = ranks.get((items[i], items[i + 1]), worst)
+        return array("i", [self.ids[x] for x in items]).tobytes()
+
+    def _merge(self, symbols: list[str]) -> bytes:
         """Ids of one fragment: the best-ranked pair is joined first, the leftmost of equal ones."""
+        if len(symbols) <= SHORT:
+            return self._merge_short(symbols)
         items, n = list(symbols), len(symbols)
         after = [*range(1, n), -1]
         before = list(range(-1, n - 1))
@@ -102,16 +118,8 @@ class WordBpe:
         inside, out, start = self.inside, [], 0
         for i in range(1, len(symbols) + 1):
             if i == len(symbols) or (symbols[i - 1], symbols[i]) not in inside:
-                fragment = tuple(symbols[start:i])
+                out.append(self._merge(symbols[start:i]))
                 start = i
-                found = self.fragments.get(fragment)
-                if found is None:
-                    found = self._merge(fragment)
-                    if len(fragment) <= LONGEST:
-                        if len(self.fragments) >= REMEMBERED:
-                            self.fragments.clear()
-                        self.fragments[fragment] = found
-                out.append(found)
         return b"".join(out)
 
     def _plain(self, text: str, out: list[bytes]) -> None:
@@ -139,23 +147,34 @@ class WordBpe:
             self._plain(text[at:] if at else text, out)
         return np.frombuffer(b"".join(out), dtype=np.int32)
 
-    def decode(self, ids) -> str:
-        """Tokens joined by a space: the file states no decoder of its own."""
-        tokens = self.tokens
-        return " ".join([tokens[i] for i in ids])
-
 
 @lru_cache(maxsize=2)
 def load(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+@lru_cache(maxsize=2)
+def load_tokens(path: str) -> list[str]:
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    known = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec["added_tokens"]}}
+    tokens = [""] * (max(known.values()) + 1)
+    for token, i in known.items():
+        tokens[i] = token
+    return tokens
+
+
+def decode(ids, tokens: list[str]) -> str:
+    """Tokens joined by a space: the file states no decoder of its own."""
+    return " ".join([tokens[i] for i in ids])
+
+
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids) of every whole text; ``path`` is a tokenizer file that every executor can read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for batch in batches:
+        for batch in (whole.slice(at, STEP) for whole in batches for at in range(0, len(whole), STEP)):
             found = [bpe.encode(t) for t in batch.column("text").to_pylist()]
             ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *found])))
@@ -170,9 +189,9 @@ def decoder(path: str):
 
     @F.arrow_udf("string")
     def decoded(ids: pa.Array) -> pa.Array:
-        bpe = load(path)
+        tokens = load_tokens(path)
         values, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-        return pa.array([bpe.decode(values[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.string())
+        return pa.array([decode(values[a:b].tolist(), tokens) for a, b in zip(ends, ends[1:])], pa.string())
 
     return decoded
 
