@@ -79,9 +79,10 @@ def seeds(docs: DataFrame, min_words: int) -> DataFrame:
 def matches(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, owner, pos, owner_pos): seeds of a document that an earlier one owns."""
     found = write_through(seeds(docs, min_words), "chain-seeds")
-    shared = found.groupBy("seed").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).where("owner < last")
+    # Written, so that the join below has a shuffle on either side and its hot seeds can be split.
+    shared = write_through(found.groupBy("seed").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).where("owner < last"), "chain-owners")
     rows = write_through(found.join(shared.select("seed", "owner"), "seed"), "chain-shared")
-    owned = rows.where("doc = owner").groupBy("seed").agg(F.min("pos").alias("owner_pos"))
+    owned = write_through(rows.where("doc = owner").groupBy("seed").agg(F.min("pos").alias("owner_pos")), "chain-owned")
     return rows.where("doc > owner").join(owned, "seed").select("doc", "owner", "pos", "owner_pos")
 
 
