@@ -213,7 +213,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, growth:
         "minhash-classes",
     )
     members = classes.select("node", F.explode("bands").alias("bucket"))
-    stars = members.groupBy("bucket").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written, so that the joins have a shuffle on either side and their hot buckets can be split.
+    stars = write_through(members.groupBy("bucket").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1"), "minhash-stars")
     pairs = members.join(stars, "bucket").where("node != a").select("a", F.col("node").alias("b")).distinct()
     linker = _Linker(docs, classes, width, percent)
     links = linker.confirm(pairs)
@@ -239,7 +240,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, growth:
         rest = write_through(_open_buckets(_labelled(rest.drop("root"), links), last + 2), "minhash-rest")
         first, last = last + 1, last * growth + growth
     roots = components(links)
-    named = classes.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
+    named = write_through(classes.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root")), "minhash-named")
     return made.select("doc_id", "n_shingles", "key").join(named, "key", "left").select(
         "doc_id",
         "n_shingles",
