@@ -94,7 +94,7 @@ def pack_group(items: Iterable[tuple[int, object, object]], capacity: int) -> li
 
 def pieces(docs: DataFrame, capacity: int) -> DataFrame:
     """(doc_id, source, cluster, piece, start, n_words): cluster is the same for texts of equal words."""
-    words = F.regexp_replace(F.lower(F.trim(F.coalesce("text", F.lit("")))), r"\s+", " ")
+    words = F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"\s+", " "))
     cut = docs.select("doc_id", "source", words.alias("w")).select(
         "doc_id", "source", F.xxhash64("w").alias("cluster"),
         F.when(F.col("w") == "", 0).otherwise(F.length("w") - F.length(F.replace("w", F.lit(" "), F.lit(""))) + 1).alias("words"),

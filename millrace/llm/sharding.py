@@ -45,7 +45,7 @@ def propagate(linked: DataFrame, capacity: list[int], shards: int, rounds: int)
         votes = linked.groupBy("grp", "shard").agg(F.count(F.lit(1)).alias("n"))
         # Cut here, so that the join has a shuffle on either side and its hot groups can be split.
         best = cut_lineage(votes.groupBy("grp").agg(
-            F.max(F.struct("n", F.xxhash64("grp", "shard").alias("tie"), "shard")).alias("best"), F.sum("n").alias("members")
+            F.max(F.struct("n", F.xxhash64("grp", "shard", F.lit(turn)).alias("tie"), "shard")).alias("best"), F.sum("n").alias("members")
         ))
         wishes = linked.join(best.select("grp", F.col("best.shard").alias("target"), "members"), "grp")
         held = {(r["shard"], r["target"]): r["n"] for r in wishes.groupBy("shard", "target").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -85,9 +85,9 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 6) -> DataFr
     sizes = cut_lineage(base.groupBy("grp").agg(F.count(F.lit(1)).alias("members")).where("members > 1"))
     start = base.select("rid", "grp", F.pmod(F.xxhash64("rid"), F.lit(shards)).cast("int").alias("shard"))
     linked = propagate(cut_lineage(start.join(sizes.select("grp"), "grp")), quota, shards, rounds)
-    # Largest groups stay first when a shard holds more than its quota.
+    # What a shard holds above its quota comes out of its largest groups.
     ranked = number_rows(
-        linked.join(sizes, "grp").select("rid", "grp", "shard", (-F.col("members")).alias("order")),
+        linked.join(sizes, "grp").select("rid", "grp", "shard", F.col("members").alias("order")),
         ["shard"], ["order", "grp", "rid"], "place", "shard-linked",
     )
     stays = F.col("place") < _by_shard(quota)
