@@ -1,10 +1,11 @@
 """Sharding by balanced label propagation.
 
 Documents with equal texts are linked. Every document starts in a shard chosen by its row
-number. In each round a linked document wants to go where most of its neighbours are; a shard
+number. In each round a linked document wants to go where, of the shards with room, most of its neighbours
+are, if that is more than around it; a shard
 accepts, in the mean, as many as it has room for (its quota, less what it holds, plus what
 leaves it). Small groups are accepted whole, groups above one per cent of a shard row by row,
-so a group larger than a shard fills one and is cut there. Rounds end when nobody moves or after
+so a group larger than a shard fills one and goes on in the next. Rounds end when nobody moves or after
 ``rounds``. At the end what a shard holds above its quota joins the unlinked documents, and this
 pool fills the quotas exactly: row counts differ by one at most.
 
@@ -42,12 +43,15 @@ def propagate(linked: DataFrame, capacity: list[int], shards: int, rounds: int)
     """(rid, grp, shard) of the linked documents after label propagation."""
     large = max(1, min(capacity) // 100)
     for turn in range(rounds):
-        votes = linked.groupBy("grp", "shard").agg(F.count(F.lit(1)).alias("n"))
+        votes = cut_lineage(linked.groupBy("grp", "shard").agg(F.count(F.lit(1)).alias("n")))
+        now = {r["shard"]: r["n"] for r in votes.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
+        free = [s for s in range(shards) if now.get(s, 0) < capacity[s]]
+        vote = F.struct("n", F.xxhash64("grp", "shard", F.lit(turn)).alias("tie"), "shard")
         # Cut here, so that the join has a shuffle on either side and its hot groups can be split.
-        best = cut_lineage(votes.groupBy("grp").agg(
-            F.max(F.struct("n", F.xxhash64("grp", "shard", F.lit(turn)).alias("tie"), "shard")).alias("best"), F.sum("n").alias("members")
-        ))
-        wishes = linked.join(best.select("grp", F.col("best.shard").alias("target"), "members"), "grp")
+        per = cut_lineage(votes.groupBy("grp").agg(F.collect_list(vote).alias("votes"), F.sum("n").alias("members")))
+        own = F.get(F.filter("votes", lambda v: v["shard"] == F.col("shard")), F.lit(0))
+        best = F.array_max(F.filter("votes", lambda v: v["shard"].isin(free) if free else F.lit(False)))
+        wishes = linked.join(per, "grp").select("rid", "grp", "shard", "members", F.when(best > own, best["shard"]).otherwise(F.col("shard")).alias("target"))
         held = {(r["shard"], r["target"]): r["n"] for r in wishes.groupBy("shard", "target").agg(F.count(F.lit(1)).alias("n")).collect()}
         occupied, leaving, coming = [0] * shards, [0] * shards, [0] * shards
         for (a, b), n in held.items():
@@ -67,7 +71,7 @@ def propagate(linked: DataFrame, capacity: list[int], shards: int, rounds: int)
     return linked
 
 
-def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 6) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 8) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot): law ``rows``, groups of equal texts kept together."""
     text = F.coalesce("text", F.lit(""))
     base = number_rows(
