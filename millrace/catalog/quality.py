@@ -306,6 +306,14 @@ def ge_suite_a(spark, sf_dir):
     return _validated(df.withColumn("TotalCharges", F.nullif(F.trim("TotalCharges"), F.lit(""))), SUITE_A)
 
 
+@query("ge_suite_a_raw", suite_sql(SUITE_A, BLANK_AMOUNT_SQL))
+def ge_suite_a_raw(spark, sf_dir):
+    """As the stage does it: the raw source, blank cells and all."""
+    from millrace.plans.stages import suite_results
+
+    return suite_results(source_a(spark, sf_dir), SUITE_A).withColumn("unexpected_percent", F.round("unexpected_percent", 6))
+
+
 @query("ge_suite_b", suite_sql(SUITE_B, SOURCE_B_SQL))
 def ge_suite_b(spark, sf_dir):
     return _validated(source_b(spark, sf_dir), SUITE_B)

@@ -126,59 +126,50 @@ def fs_online_lookup(spark, sf_dir):
     return fs.online_lookup(requests, _online(spark, sf_dir), [view(spark, sf_dir)])
 
 
-REQUEST = fs.RequestSource(
-    "vals_to_add", T.StructType([T.StructField("val_to_add", T.LongType()), T.StructField("val_to_add_2", T.LongType())])
+BASKET = fs.RequestSource(
+    "basket", T.StructType([T.StructField("pieces", T.LongType()), T.StructField("budget", T.LongType())])
 )
 
 
-def on_demand(stored: fs.FeatureView, batches: bool = False) -> fs.OnDemandView:
-    fields = (fs.Feature("value_plus_val1", T.DoubleType()), fs.Feature("value_plus_val2", T.DoubleType()))
+def basket_check(stored: fs.FeatureView, batches: bool = False) -> fs.OnDemandView:
+    """What a basket of the last viewed item costs, and what is left of the request's budget."""
+    fields = (fs.Feature("basket_cost", T.DoubleType()), fs.Feature("budget_left", T.DoubleType()))
     if batches:
 
-        def added(pdf):
-            return pdf.assign(
-                value_plus_val1=pdf["value"] + pdf["val_to_add"], value_plus_val2=pdf["value"] + pdf["val_to_add_2"]
-            )
-
-        return fs.OnDemandView("shifted_value", (stored, REQUEST), fields, batches=added)
-    return fs.OnDemandView(
-        "shifted_value",
-        (stored, REQUEST),
-        fields,
-        {
-            "value_plus_val1": F.col("value") + F.col("val_to_add"),
-            "value_plus_val2": F.col("value") + F.col("val_to_add_2"),
-        },
-    )
+        def priced(pdf):
+            cost = pdf["value"] * pdf["pieces"]
+            return pdf.assign(basket_cost=cost, budget_left=pdf["budget"] - cost)
+
+        return fs.OnDemandView("basket_check", (stored, BASKET), fields, batches=priced)
+    cost = F.col("value") * F.col("pieces")
+    return fs.OnDemandView("basket_check", (stored, BASKET), fields, {"basket_cost": cost, "budget_left": F.col("budget") - cost})
 
 
 def _requested(spark, sf_dir):
-    return spine(spark, sf_dir).withColumns(
-        {"val_to_add": F.col("event_id") % 10, "val_to_add_2": F.col("event_id") % 10 * 10}
-    )
+    return spine(spark, sf_dir).withColumns({"pieces": F.col("event_id") % 5 + 1, "budget": F.col("event_id") % 700 + 100})
 
 
 ON_DEMAND_SQL = (
-    "select s.event_id, s.user_id, s.ts, s.event_id % 10 as val_to_add, s.event_id % 10 * 10 as val_to_add_2, "
-    "f.value + s.event_id % 10 as value_plus_val1, f.value + s.event_id % 10 * 10 as value_plus_val2 "
+    "select s.event_id, s.user_id, s.ts, s.event_id % 5 + 1 as pieces, s.event_id % 700 + 100 as budget, "
+    "f.value * (s.event_id % 5 + 1) as basket_cost, (s.event_id % 700 + 100) - f.value * (s.event_id % 5 + 1) as budget_left "
     f"from {SPINE_SQL} s asof left join {LOG_SQL} f on s.user_id = f.user_id and s.ts >= f.f_ts"
 )
 
 
 @query("fs_on_demand", ON_DEMAND_SQL)
 def fs_on_demand(spark, sf_dir):
-    return fs.historical_features(_requested(spark, sf_dir), [on_demand(view(spark, sf_dir))], ts="ts")
+    return fs.historical_features(_requested(spark, sf_dir), [basket_check(view(spark, sf_dir))], ts="ts")
 
 
 @query("fs_on_demand_batches", ON_DEMAND_SQL)
 def fs_on_demand_batches(spark, sf_dir):
-    return fs.historical_features(_requested(spark, sf_dir), [on_demand(view(spark, sf_dir), batches=True)], ts="ts")
+    return fs.historical_features(_requested(spark, sf_dir), [basket_check(view(spark, sf_dir), batches=True)], ts="ts")
 
 
-@query("fs_feature_service", ON_DEMAND_SQL.replace("f.value + s.event_id % 10 as", "f.value, f.value + s.event_id % 10 as"))
+@query("fs_feature_service", ON_DEMAND_SQL.replace("f.value * (s.event_id % 5 + 1) as basket_cost", "f.value, f.f_event, f.value * (s.event_id % 5 + 1) as basket_cost"))
 def fs_feature_service(spark, sf_dir):
     v = view(spark, sf_dir)
-    service = fs.FeatureService("activity_v1", (v[["value"]], on_demand(v)))
+    service = fs.FeatureService("basket_offers", (v, basket_check(v)))
     return fs.historical_features(_requested(spark, sf_dir), service, ts="ts")
 
 

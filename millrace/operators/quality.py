@@ -308,7 +308,8 @@ def quality_report(df: DataFrame, rules: Rules, max_listed: int = MAX_LISTED_VAL
     key = rules.key
     expected_numbers = [c for c in rules.ranges if c in df.columns]
     extra_numbers = numeric_columns(df, exclude=[*rules.ranges, *rules.ignore])
-    extra_texts = text_columns(df, exclude=[*rules.sets, *([key] if key else [])])
+    # A text column with a range is read as numbers, so it is no text here.
+    extra_texts = text_columns(df, exclude=[*rules.ranges, *rules.sets, *([key] if key else [])])
     counts_by = _cardinalities(df, extra_numbers, extra_texts, max_listed)
     wide_numbers = [c for c in extra_numbers if counts_by[c]["high_cardinality"]]
     plain_numbers = [c for c in extra_numbers if c not in wide_numbers]

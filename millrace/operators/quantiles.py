@@ -1,9 +1,9 @@
 """Exact quantiles that never gather a column in one task.
 
 Spark's ``percentile`` keeps every distinct value of a group in one hash map on one
-reducer, which is fine for small tables only. For others a bounded sketch brackets each wanted rank first; a second pass counts what
-lies outside the brackets and keeps single values only inside them, about 4/accuracy of
-the rows. The sketch only decides how much work is left, never the result: a rank outside
+reducer. Here, at every size, a bounded sketch brackets each wanted rank first; a second pass
+counts what lies outside the brackets and keeps single values only inside them, about
+4/accuracy of the rows. The sketch only decides how much work is left, never the result: a rank outside
 its bracket raises an error.
 """
 
@@ -17,10 +17,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.functions.scalars import to_number
 from millrace.operators.schema import dtype_of
+from millrace.session import cut_lineage
 
-# Up to this many rows, all values fit in one task's hash map with ease.
-DIRECT_ROWS = 200_000
-MAX_GROUPS = 10_000
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
@@ -38,20 +36,11 @@ def exact_quantiles(
     probs: Mapping[str, float] = QUARTILES,
     by: Sequence[str] = (),
     accuracy: int = 100_000,
-    direct_rows: int = DIRECT_ROWS,
 ) -> DataFrame:
-    """Linearly interpolated quantiles per column and group: (*by, column_name, n, *probs).
-
-    A table of up to ``direct_rows`` rows goes through the built-in; counting them reads no
-    column of a Parquet table.
-    """
+    """Linearly interpolated quantiles per column and group: (*by, column_name, n, *probs)."""
     long = long_numbers(df, columns, by)
     keys = [*by, "column_name"]
     names = list(probs)
-    if direct_rows and df.count() <= direct_rows:
-        exact = F.percentile("x", F.array(*[F.lit(float(p)) for p in probs.values()]))
-        found = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), exact.alias("q"))
-        return found.select(*keys, "n", *[F.col("q")[i].alias(name) for i, name in enumerate(names)])
     margin = 2.0 / accuracy
     wanted = []
     for p in probs.values():
@@ -65,9 +54,7 @@ def exact_quantiles(
         *[F.col("b")[2 * i].alias(f"lo{i}") for i in range(len(names))],
         *[F.col("b")[2 * i + 1].alias(f"hi{i}") for i in range(len(names))],
     )
-    rows = sketch.limit(MAX_GROUPS + 1).collect()
-    few = len(rows) <= MAX_GROUPS
-    brackets = F.broadcast(df.sparkSession.createDataFrame(rows, sketch.schema)) if few else sketch
+    brackets = cut_lineage(sketch)
     match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
 
     x = F.col("x")

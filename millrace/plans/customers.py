@@ -93,7 +93,7 @@ def feature_table(source_a: DataFrame, source_b: DataFrame, chained: bool = True
     return customer_features(prepare(imputed, categories))
 
 
-CUSTOMER = Entity("customer", ("customerid",), T.StringType(), "Customer entity")
+CUSTOMER = Entity("customer", ("customerid",), T.StringType(), "one subscriber, by account id")
 
 
 def customer_view(features: DataFrame | None = None, table: str | None = None) -> FeatureView:
@@ -106,4 +106,4 @@ def customer_view(features: DataFrame | None = None, table: str | None = None) -
 
 
 def churn_service(view: FeatureView) -> FeatureService:
-    return FeatureService("churn_model_svc", (view,), "Feature service for churn prediction")
+    return FeatureService("churn_model_svc", (view,), "inputs of the churn classifiers")

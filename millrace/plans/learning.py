@@ -22,9 +22,8 @@ LOGISTIC_C = 1.0
 FOREST_TREES = 100
 FOREST_SEED = 42
 
-# Trees deeper than this cost a pass over the data per level without better scores; pass
-# ``depth`` (up to 30, Spark's limit) to grow them further.
-FOREST_DEPTH = 10
+# Spark's limit; trees are grown until their leaves are pure or it is reached.
+FOREST_DEPTH = 30
 ROWS_PER_TASK = 50_000
 
 

@@ -47,12 +47,23 @@ def land_stage(df: DataFrame, zones: Zones, source: str, at: datetime) -> str:
     return land_raw(df, moment(at), zones.raw, source)
 
 
+def blank_to_null(df: DataFrame) -> DataFrame:
+    """Text cells of nothing but spaces are missing cells."""
+    texts = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
+    return df.withColumns({c: F.when(F.trim(c) != "", F.col(c)) for c in texts})
+
+
+def suite_results(df: DataFrame, suite) -> DataFrame:
+    """The suite's results on a raw source: blank cells count as missing."""
+    return validate(blank_to_null(df), suite)
+
+
 def validate_stage(df: DataFrame, rules: Rules, suite, zones: Zones, source: str, at: datetime) -> tuple[str, str]:
     """Publish the rule report with its advice, and the suite's results."""
     report = resolutions(quality_report(df, rules), rules.key)
     return (
         publish(report.coalesce(1), zones.reports, f"{source}_report", at, "csv"),
-        publish(validate(df, suite).coalesce(1), zones.reports, f"{source}_suite", at, "csv"),
+        publish(suite_results(df, suite).coalesce(1), zones.reports, f"{source}_suite", at, "csv"),
     )
 
 

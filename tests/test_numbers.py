@@ -15,11 +15,11 @@ from millrace.operators.quantiles import exact_quantiles
 @pytest.mark.parametrize("values", [
     [1.0], [1.0, 2.0], [3.0, 1.0, 2.0, 2.0], list(range(101)), [5.0] * 40 + [6.0], [float(v) ** 3 for v in range(-50, 51)],
 ])
-@pytest.mark.parametrize("accuracy,direct_rows", [(100_000, 1000), (100_000, 0), (20, 0)])
-def test_quantiles_equal_numpy(spark, values, accuracy, direct_rows):
+@pytest.mark.parametrize("accuracy", [100_000, 1000, 20])
+def test_quantiles_equal_numpy(spark, values, accuracy):
     probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "x double")
-    row = exact_quantiles(df, ["x"], probs, accuracy=accuracy, direct_rows=direct_rows).first()
+    row = exact_quantiles(df, ["x"], probs, accuracy=accuracy).first()
     assert row.n == len(values)
     for name, p in probs.items():
         assert row[name] == pytest.approx(np.quantile(values, p))
@@ -30,7 +30,7 @@ def test_coarse_brackets_stay_exact(spark):
     rnd = np.random.default_rng(1)
     values = rnd.lognormal(size=20_000)
     df = spark.createDataFrame(pd.DataFrame({"x": values, "g": rnd.integers(0, 2, 20_000)}))
-    got = {r.g: r for r in exact_quantiles(df, ["x"], by=["g"], accuracy=100, direct_rows=0).collect()}
+    got = {r.g: r for r in exact_quantiles(df, ["x"], by=["g"], accuracy=100).collect()}
     pdf = df.toPandas()
     for g, part in pdf.groupby("g"):
         for name, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
