@@ -6,10 +6,10 @@ copies costs one row from there on. Each class gets ``BANDS * ROWS`` minima; who
 the band keys, and only the lowest ``BITS`` bits of each are kept, packed into longs.
 
 Candidates are never all pairs of a bucket. First every member is paired with the bucket's
-smallest. Buckets whose members then still lie in different components go on with 8, then 64,
-... pivots, against later members of other components only, until no pair across components is
+smallest. Buckets whose members then still lie in different components go on with 1, then 8,
+64, ... pivots, against later members of other components only, until no pair across components is
 left that could be alike, judged by the shingles that a class shares with any other. A pair's similarity is first estimated from the packed bits, corrected for
-chance collisions; pairs far below the limit (five standard deviations) go, all others are
+chance collisions; pairs far below the limit (four standard deviations) go, all others are
 confirmed on the full sets. A pair at the limit misses every band with probability 5e-8.
 
 Defined results: null, empty and blank texts have no shingles and are linked with nothing;
@@ -33,8 +33,10 @@ from millrace.session import cut_lineage, write_through
 BANDS, ROWS, BITS = 32, 4, 2
 MINIMA = BANDS * ROWS
 LONGS = MINIMA * BITS // 64
-#: Five standard deviations of the estimate at the usual limit of 0.8.
-MARGIN = 0.22
+#: Four standard deviations of the estimate at the usual limit of 0.8.
+MARGIN = 0.17
+#: Minima of one bit for the classes of open buckets, and four standard deviations of their estimate.
+FINE, FINE_MARGIN = 1024, 0.075
 REMEMBERED = 500_000
 
 
@@ -127,15 +129,35 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
 
 
-def estimate(a: Column, b: Column) -> Column:
+def fine_bits(sets: DataFrame) -> DataFrame:
+    """(node, fine): one bit of each of ``FINE`` minima of (node, shingles), for the classes of open buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        draw = np.random.default_rng(21)
+        a, b = draw.integers(0, 2**63, FINE, np.uint64) * np.uint64(2) + np.uint64(1), draw.integers(0, 2**63, FINE, np.uint64)
+        for batch in batches:
+            out = []
+            for s in batch.column("shingles"):
+                s = s.values.to_numpy().view(np.uint64)
+                least = np.full(FINE, np.uint64(2**64 - 1))
+                for at in range(0, len(s), 256):
+                    x = s[at : at + 256, None] * a + b
+                    least = np.minimum(least, (x ^ (x >> np.uint64(32))).min(axis=0))
+                out.append(np.packbits((_mix(least) & np.uint64(1)).astype(bool)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.list_(pa.int64()))], ["node", "fine"])
+
+    return sets.mapInArrow(run, "node long, fine array<long>")
+
+
+def estimate(a: Column, b: Column, minima: int = MINIMA, bits: int = BITS) -> Column:
     """Similarity from packed low bits: the share of equal lanes, less what chance makes equal."""
     odd = int("01" * 32, 2)
     differ = F.lit(0)
-    for i in range(LONGS):
+    for i in range(minima * bits // 64):
         x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
-        differ = differ + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(odd)))
-    chance = 1.0 / 2**BITS
-    return (1 - differ / F.lit(float(MINIMA)) - chance) / (1 - chance)
+        differ = differ + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(odd)) if bits == 2 else x)
+    chance = 1.0 / 2**bits
+    return (1 - differ / F.lit(float(minima)) - chance) / (1 - chance)
 
 
 class _Linker:
@@ -227,18 +249,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, growth:
     rest = write_through(_open_buckets(_labelled(big, links), 1), "minhash-rest")
     own = linker.own(rest.select("node").distinct())
     can = F.col("size") - F.col("own")
-    rest = rest.join(own, "node").where(100 * can >= percent * F.col("size"))
+    rest = rest.join(own, "node").where(100 * can >= percent * F.col("size")).join(fine_bits(linker.sets), "node")
     order = Window.partitionBy("bucket").orderBy("own", "node")
-    rest = write_through(rest.select("bucket", "node", "root", "size", can.alias("can"), (F.row_number().over(order) - 1).alias("place")), "minhash-rest")
-    first, last = 0, growth - 1
+    rest = write_through(rest.select("bucket", "node", "root", "size", "fine", can.alias("can"), (F.row_number().over(order) - 1).alias("place")), "minhash-rest")
+    first, last = 0, 0
     while not rest.isEmpty():
-        pivots = rest.where(F.col("place").between(first, last)).select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("node", "root", "size", "can", "place")])
+        pivots = rest.where(F.col("place").between(first, last)).select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("node", "root", "size", "fine", "can", "place")])
         most = F.least("can", "can_a")
         possible = 100 * most >= percent * (F.col("size") + F.col("size_a") - most)
-        pairs = pivots.join(rest, "bucket").where((F.col("place") > F.col("place_a")) & (F.col("root") != F.col("root_a")) & possible)
+        pairs = pivots.join(rest, "bucket").where((F.col("place") > F.col("place_a")) & (F.col("root") != F.col("root_a")) & possible & (estimate(F.col("fine"), F.col("fine_a"), FINE, 1) >= percent / 100 - FINE_MARGIN))
         links = cut_lineage(links.union(linker.confirm(pairs.select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b")).distinct())).distinct())
         rest = write_through(_open_buckets(_labelled(rest.drop("root"), links), last + 2), "minhash-rest")
-        first, last = last + 1, last * growth + growth
+        first, last = last + 1, (last + 1) * growth
     roots = components(links)
     named = write_through(classes.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root")), "minhash-named")
     return made.select("doc_id", "n_shingles", "key").join(named, "key", "left").select(
