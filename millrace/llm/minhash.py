@@ -6,8 +6,8 @@ copies costs one row from there on. Each class gets ``BANDS * ROWS`` minima; who
 the band keys, and only the lowest ``BITS`` bits of each are kept, packed into longs.
 
 Candidates are never all pairs of a bucket. First every member is paired with the bucket's
-smallest. Buckets whose members then still lie in different components go on with 1, then 8,
-64, ... pivots, against later members of other components only, until no pair across components is
+smallest. Buckets whose members then still lie in different components go on with 1, then 15,
+240, ... pivots, against later members of other components only, until no pair across components is
 left that could be alike, judged by the shingles that a class shares with any other. A pair's similarity is first estimated from the packed bits, corrected for
 chance collisions; pairs far below the limit (four standard deviations) go, all others are
 confirmed on the full sets. A pair at the limit misses every band with probability 5e-8.
@@ -209,8 +209,7 @@ class _Linker:
         )
 
 
-def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    roots = components(links)
+def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
@@ -221,7 +220,7 @@ def _open_buckets(rest: DataFrame, most: int) -> DataFrame:
     return rest.join(per.where((F.col("r0") != F.col("r1")) & (F.col("n") > most)).select("bucket"), "bucket")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, growth: int = 8) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, growth: int = 16) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
     Linked: 100 * intersection >= percent * union. component_id is the smallest doc_id
@@ -240,13 +239,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, growth:
     pairs = members.join(stars, "bucket").where("node != a").select("a", F.col("node").alias("b")).distinct()
     linker = _Linker(docs, classes, width, percent)
     links = linker.confirm(pairs)
+    roots = cut_lineage(components(links))
 
     # Buckets of three and more that are not one component yet. A shingle that no other class
     # left in them has can't be shared, which bounds what a class can have in common with any
     # other: most strays end here. Classes with few such shingles come first as pivots, since
     # they are nearest to what a group was copied from.
     big = members.join(stars.where("n > 2").select("bucket"), "bucket")
-    rest = write_through(_open_buckets(_labelled(big, links), 1), "minhash-rest")
+    rest = write_through(_open_buckets(_labelled(big, roots), 1), "minhash-rest")
     own = linker.own(rest.select("node").distinct())
     can = F.col("size") - F.col("own")
     rest = rest.join(own, "node").where(100 * can >= percent * F.col("size")).join(fine_bits(linker.sets), "node")
@@ -258,10 +258,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, growth:
         most = F.least("can", "can_a")
         possible = 100 * most >= percent * (F.col("size") + F.col("size_a") - most)
         pairs = pivots.join(rest, "bucket").where((F.col("place") > F.col("place_a")) & (F.col("root") != F.col("root_a")) & possible & (estimate(F.col("fine"), F.col("fine_a"), FINE, 1) >= percent / 100 - FINE_MARGIN))
-        links = cut_lineage(links.union(linker.confirm(pairs.select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b")).distinct())).distinct())
-        rest = write_through(_open_buckets(_labelled(rest.drop("root"), links), last + 2), "minhash-rest")
+        found = linker.confirm(pairs.select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b")).distinct())
+        if not found.isEmpty():
+            links = cut_lineage(links.union(found).distinct())
+            roots = cut_lineage(components(links))
+        rest = write_through(_open_buckets(_labelled(rest.drop("root"), roots), last + 2), "minhash-rest")
         first, last = last + 1, (last + 1) * growth
-    roots = components(links)
     named = write_through(classes.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root")), "minhash-named")
     return made.select("doc_id", "n_shingles", "key").join(named, "key", "left").select(
         "doc_id",
