@@ -184,8 +184,8 @@ class _Linker:
         alone = each.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
         return each.groupBy("node").agg(F.first("size").alias("size")).join(alone, "node", "left").fillna(0, ["own"])
 
-    def confirm(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are links."""
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose sizes and packed bits leave a link possible, with their sets fetched."""
         left = self.bits.select(F.col("node").alias("a"), F.col("bits").alias("bits_a"), F.col("size").alias("size_a"))
         right = self.bits.select(F.col("node").alias("b"), F.col("bits").alias("bits_b"), F.col("size").alias("size_b"))
         limit = self.percent / 100
@@ -193,10 +193,14 @@ class _Linker:
             pairs.join(left, "a")
             .join(right, "b")
             .where((F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * self.percent) & (estimate(F.col("bits_a"), F.col("bits_b")) >= limit - MARGIN))
-            .select("a", "b", "size_a", "size_b"),
+            .select("a", "b"),
             "minhash-likely",
         )
         self.fetch(likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct())
+        return likely
+
+    def confirm(self, likely: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are links; the sets of both must be fetched."""
         one = self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
         two = self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
         shared = F.size(F.array_intersect("set_a", "set_b"))
@@ -238,27 +242,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, growth:
     stars = write_through(members.groupBy("bucket").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1"), "minhash-stars")
     pairs = members.join(stars, "bucket").where("node != a").select("a", F.col("node").alias("b")).distinct()
     linker = _Linker(docs, classes, width, percent)
-    links = linker.confirm(pairs)
+    links = linker.confirm(linker.likely(pairs))
     roots = cut_lineage(components(links))
 
     # Buckets of three and more that are not one component yet. A shingle that no other class
     # left in them has can't be shared, which bounds what a class can have in common with any
     # other: most strays end here. Classes with few such shingles come first as pivots, since
     # they are nearest to what a group was copied from.
-    big = members.join(stars.where("n > 2").select("bucket"), "bucket")
+    placed = classes.select("node", "bands", F.posexplode("bands").alias("band", "bucket")).select("node", "bucket", F.slice("bands", 1, F.col("band")).alias("earlier"))
+    big = placed.join(stars.where("n > 2").select("bucket"), "bucket")
     rest = write_through(_open_buckets(_labelled(big, roots), 1), "minhash-rest")
     own = linker.own(rest.select("node").distinct())
     can = F.col("size") - F.col("own")
     rest = rest.join(own, "node").where(100 * can >= percent * F.col("size")).join(fine_bits(linker.sets), "node")
     order = Window.partitionBy("bucket").orderBy("own", "node")
-    rest = write_through(rest.select("bucket", "node", "root", "size", "fine", can.alias("can"), (F.row_number().over(order) - 1).alias("place")), "minhash-rest")
+    rest = write_through(rest.select("bucket", "node", "root", "size", "fine", "earlier", can.alias("can"), (F.row_number().over(order) - 1).alias("place")), "minhash-rest")
     first, last = 0, 0
     while not rest.isEmpty():
-        pivots = rest.where(F.col("place").between(first, last)).select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("node", "root", "size", "fine", "can", "place")])
+        pivots = rest.where(F.col("place").between(first, last)).select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("node", "root", "size", "fine", "earlier", "can", "place")])
         most = F.least("can", "can_a")
         possible = 100 * most >= percent * (F.col("size") + F.col("size_a") - most)
-        pairs = pivots.join(rest, "bucket").where((F.col("place") > F.col("place_a")) & (F.col("root") != F.col("root_a")) & possible & (estimate(F.col("fine"), F.col("fine_a"), FINE, 1) >= percent / 100 - FINE_MARGIN))
-        found = linker.confirm(pairs.select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b")).distinct())
+        alike = estimate(F.col("fine"), F.col("fine_a"), FINE, 1) >= percent / 100 - FINE_MARGIN
+        # A pair meets in its first common bucket only. Where that one is not open, the two are in one component or were judged above.
+        once = ~F.arrays_overlap("earlier", "earlier_a")
+        pairs = pivots.join(rest, "bucket").where((F.col("place") > F.col("place_a")) & (F.col("root") != F.col("root_a")) & possible & alike & once)
+        found = linker.confirm(pairs.select(F.col("node_a").alias("a"), F.col("node").alias("b")))
         if not found.isEmpty():
             links = cut_lineage(links.union(found).distinct())
             roots = cut_lineage(components(links))
