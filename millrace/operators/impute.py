@@ -12,7 +12,8 @@ from millrace.operators.counts import category_codes, fit_categories, modes
 from millrace.operators.quantiles import fit_quantiles
 from millrace.operators.schema import dtype_of
 
-MAX_HOLED_COLUMNS = 16
+#: Missingness patterns a fitted model may hold; it has one small matrix for each.
+MAX_PATTERNS = 100_000
 
 
 def fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
@@ -78,116 +79,89 @@ def mean_codes_of(categories: Mapping[str, Sequence[tuple[str, int]]]) -> dict[s
 #
 # Rows that miss the same cells get the same affine map of their observed cells at every
 # round. So one pass over the data, summing products per missingness pattern, holds all the
-# regressions need; the rounds run on k x k matrices, and one projection fills the holes.
+# regressions need; the rounds run on k x k matrices, one for each pattern, stacked. A table of
+# fill-in weights per pattern then goes to the rows by a join, so the plan has one expression
+# for each column with holes, however many patterns there are.
 
 
-def fit_chained(
-    df: DataFrame, columns: Sequence[str], rounds: int = 20, tolerance: float = 1e-3
-) -> dict:
+def fit_chained(df: DataFrame, columns: Sequence[str], rounds: int = 20, max_patterns: int = MAX_PATTERNS) -> dict:
     """Learn the fill-in maps of round-robin Bayesian ridge regression.
 
     Starts from the means, fits each column with holes on all others (fewest holes first)
-    and repeats. Returns per pattern the intercepts and weights of its missing columns.
+    and does so ``rounds`` times. Returns per pattern the intercepts and weights of its
+    missing columns. Any number of columns may have holes; more than ``max_patterns``
+    different patterns are an error, since the model is held on the driver.
     """
     columns = list(columns)
+    k = len(columns)
     numbers = [to_number(F.col(c), dtype_of(df, c)) for c in columns]
     summary = df.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count(x).alias(f"n{i}") for i, x in enumerate(numbers)],
         *[F.avg(x).alias(f"a{i}") for i, x in enumerate(numbers)],
-        *[F.min(x).alias(f"lo{i}") for i, x in enumerate(numbers)],
-        *[F.max(x).alias(f"hi{i}") for i, x in enumerate(numbers)],
     ).first()
-    counts = np.array([summary[f"n{i}"] for i in range(len(columns))])
+    counts = np.array([summary[f"n{i}"] for i in range(k)])
     if summary["rows"] and (counts == 0).any():
         raise ValueError(f"nothing observed in {[c for c, n in zip(columns, counts) if n == 0]}")
-    holed = [i for i in range(len(columns)) if counts[i] < summary["rows"]]
-    if len(holed) > MAX_HOLED_COLUMNS:
-        raise ValueError(f"{len(holed)} columns with holes; at most {MAX_HOLED_COLUMNS} keep the patterns countable")
-    means = np.array([summary[f"a{i}"] for i in range(len(columns))], dtype=float)
-    largest = max([abs(summary[f"{e}{i}"]) for e in ("lo", "hi") for i in range(len(columns))], default=0.0)
+    holed = [i for i in range(k) if counts[i] < summary["rows"]]
+    means = np.array([summary[f"a{i}"] for i in range(k)], dtype=float)
     model = {"columns": columns, "holed": holed, "means": means, "patterns": {}}
-    if not holed or len(columns) < 2:
-        for i in holed:
-            model["patterns"][1] = {i: (float(means[i]), {})}
+    if not holed or k < 2:
         return model
 
-    grams = _pattern_grams(df, columns, numbers, holed, means)
-    maps = _start_maps(grams, holed, len(columns))
+    patterns, grams = _pattern_grams(df, columns, numbers, holed, means, max_patterns)
+    missing = np.zeros((len(patterns), k), dtype=bool)
+    missing[:, holed] = [[mark == "1" for mark in p] for p in patterns]
+    # Observed cells map to themselves; a missing cell starts at the mean, which is 0 here.
+    maps = np.broadcast_to(np.eye(k + 1), grams.shape).copy()
+    at, column = np.nonzero(missing)
+    maps[at, column + 1, column + 1] = 0.0
     order = sorted(holed, key=lambda i: (summary["rows"] - counts[i], i))
     for _ in range(rounds):
-        before = {p: m.copy() for p, m in maps.items()}
         for target in order:
-            intercept, weights = _regress(grams, maps, holed, target)
-            for bits, m in maps.items():
-                if _misses(bits, holed, target):
-                    m[target + 1] = weights @ np.delete(m[1:], target, axis=0)
-                    m[target + 1, 0] += intercept
-        if _rms_change(grams, before, maps, summary["rows"]) <= tolerance * largest:
-            break
-    for bits, m in maps.items():
-        fills = {}
-        for i in holed:
-            if _misses(bits, holed, i):
-                weights = {j: float(m[i + 1, j + 1]) for j in range(len(columns)) if m[i + 1, j + 1] != 0.0}
-                base = float(means[i] + m[i + 1, 0] - sum(w * means[j] for j, w in weights.items()))
-                fills[i] = (base, weights)
-        if fills:
-            model["patterns"][bits] = fills
+            intercept, weights = _regress(grams, maps, missing, target)
+            lacking = missing[:, target]
+            others = np.delete(maps[lacking][:, 1:], target, axis=1)
+            filled = np.einsum("j,pjc->pc", weights, others)
+            filled[:, 0] += intercept
+            maps[lacking, target + 1] = filled
+    # Back from centred cells: means move into the constants.
+    maps[:, 1:, 0] += means - maps[:, 1:, 1:] @ means
+    model["patterns"] = {p: {i: maps[at, i + 1] for i in holed if missing[at, i]} for at, p in enumerate(patterns) if "1" in p}
     return model
 
 
-def _bits(numbers, holed):
-    """The missingness pattern of a row as an integer over the columns with holes."""
-    out = F.lit(0)
-    for place, i in enumerate(holed):
-        out = out + F.when(numbers[i].isNull(), 1 << place).otherwise(0)
-    return out
-
-
-def _misses(bits: int, holed: Sequence[int], column: int) -> bool:
-    return column in holed and bool(bits >> list(holed).index(column) & 1)
+def _pattern(numbers, holed):
+    """The missingness pattern of a row: a 1 for each missing cell among the columns with holes."""
+    return F.concat(*[F.when(numbers[i].isNull(), "1").otherwise("0") for i in holed])
 
 
-def _pattern_grams(df, columns, numbers, holed, means) -> dict[int, np.ndarray]:
-    """Per pattern the (k+1)x(k+1) product sums of (1, centred observed cells)."""
+def _pattern_grams(df, columns, numbers, holed, means, max_patterns) -> tuple[list[str], np.ndarray]:
+    """The patterns and, for each, the (k+1)x(k+1) product sums of (1, centred observed cells)."""
     k = len(columns)
     centred = df.select(
-        _bits(numbers, holed).alias("bits"),
+        _pattern(numbers, holed).alias("pattern"),
         *[F.coalesce(numbers[i] - F.lit(float(means[i])), F.lit(0.0)).alias(f"x{i}") for i in range(k)],
     )
     sums = [F.count(F.lit(1)).alias("g_0_0")]
     sums += [F.sum(f"x{i}").alias(f"g_0_{i + 1}") for i in range(k)]
     sums += [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"g_{i + 1}_{j + 1}") for i in range(k) for j in range(i, k)]
-    out = {}
-    for r in centred.groupBy("bits").agg(*sums).collect():
-        g = np.zeros((k + 1, k + 1))
-        for i in range(k + 1):
-            for j in range(i, k + 1):
-                g[i, j] = g[j, i] = r[f"g_{i}_{j}"]
-        out[r["bits"]] = g
-    return out
-
-
-def _start_maps(grams, holed, k) -> dict[int, np.ndarray]:
-    """Observed cells map to themselves; a missing cell starts at the mean, which is 0 here."""
-    maps = {}
-    for bits in grams:
-        m = np.eye(k + 1)
-        for i in range(k):
-            if _misses(bits, holed, i):
-                m[i + 1, i + 1] = 0.0
-        maps[bits] = m
-    return maps
-
-
-def _filled(gram, m):
-    return m @ gram @ m.T
-
-
-def _regress(grams, maps, holed, target):
+    found = centred.groupBy("pattern").agg(*sums).limit(max_patterns + 1).collect()
+    if len(found) > max_patterns:
+        raise ValueError(f"more than {max_patterns} missingness patterns; raise max_patterns")
+    found.sort(key=lambda r: r["pattern"])
+    upper = np.triu_indices(k + 1)
+    grams = np.zeros((len(found), k + 1, k + 1))
+    grams[:, upper[0], upper[1]] = [[r[f"g_{i}_{j}"] for i, j in zip(*upper)] for r in found]
+    grams[:, upper[1], upper[0]] = grams[:, upper[0], upper[1]]
+    return [r["pattern"] for r in found], grams
+
+
+def _regress(grams, maps, missing, target):
     """Bayesian ridge of one column on the others, over the rows where it is observed."""
-    g = sum(_filled(gram, maps[bits]) for bits, gram in grams.items() if not _misses(bits, holed, target))
+    known = ~missing[:, target]
+    m = maps[known]
+    g = (m @ grams[known] @ m.transpose(0, 2, 1)).sum(axis=0)
     n = g[0, 0]
     x_index = [i for i in range(1, g.shape[0]) if i != target + 1]
     x_mean, y_mean = g[0, x_index] / n, g[0, target + 1] / n
@@ -225,33 +199,32 @@ def bayesian_ridge(xx, xy, yy, n, max_iter: int = 300, tol: float = 1e-3, prior:
     return solve(noise, decay)[0]
 
 
-def _rms_change(grams, before, after, rows) -> float:
-    moved = sum(np.trace(_filled(g, after[b] - before[b])[1:, 1:]) for b, g in grams.items())
-    return float(np.sqrt(max(moved, 0.0) / max(rows, 1)))
-
-
 def apply_chained(df: DataFrame, model: dict) -> DataFrame:
-    """Fill the holes: one projection, a branch per pattern that has the hole."""
+    """Fill the holes: the row's pattern fetches its weights, one product sum fills each column.
+
+    The table of weights has a row for each pattern of the model, so its size is known when
+    the join is planned. A pattern not seen when fitting is filled with the means.
+    """
     columns, holed = model["columns"], model["holed"]
     numbers = [to_number(F.col(c), dtype_of(df, c)) for c in columns]
-    bits = _bits(numbers, holed)
     out = {c: numbers[i] for i, c in enumerate(columns)}
-    for i in holed:
-        filled = numbers[i]
-        branch = None
-        for pattern, fills in model["patterns"].items():
-            if i not in fills:
-                continue
-            base, weights = fills[i]
-            value = F.lit(base)
-            for j, w in weights.items():
-                value = value + F.lit(w) * numbers[j]
-            here = bits == pattern
-            branch = F.when(here, value) if branch is None else branch.when(here, value)
-        if branch is not None:
-            filled = F.coalesce(numbers[i], branch, F.lit(float(model["means"][i])))
-        out[columns[i]] = filled
-    return df.withColumns(out)
+    if not model["patterns"]:
+        out |= {columns[i]: F.coalesce(numbers[i], F.lit(float(model["means"][i]))) for i in holed}
+        return df.withColumns(out)
+    rows = [
+        (p, *[fills[i].tolist() if i in fills else None for i in holed]) for p, fills in model["patterns"].items()
+    ]
+    pattern, weights = "__pattern", {i: f"__weights_{i}" for i in holed}
+    schema = ", ".join([f"{pattern} string", *[f"{w} array<double>" for w in weights.values()]])
+    table = df.sparkSession.createDataFrame(rows, schema)
+    joined = df.join(table, _pattern(numbers, holed) == F.col(pattern), "left")
+    for i, w in weights.items():
+        value = F.get(w, F.lit(0))
+        for j in range(len(columns)):
+            if j != i:
+                value = value + F.get(w, F.lit(j + 1)) * F.coalesce(numbers[j], F.lit(0.0))
+        out[columns[i]] = F.coalesce(numbers[i], value, F.lit(float(model["means"][i])))
+    return joined.withColumns(out).select(*df.columns)
 
 
 def impute_chained(df: DataFrame, columns: Sequence[str], rounds: int = 20) -> DataFrame:
