@@ -249,12 +249,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, growth:
     # left in them has can't be shared, which bounds what a class can have in common with any
     # other: most strays end here. Classes with few such shingles come first as pivots, since
     # they are nearest to what a group was copied from.
-    placed = classes.select("node", "bands", F.posexplode("bands").alias("band", "bucket")).select("node", "bucket", F.slice("bands", 1, F.col("band")).alias("earlier"))
+    placed = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
     big = placed.join(stars.where("n > 2").select("bucket"), "bucket")
     rest = write_through(_open_buckets(_labelled(big, roots), 1), "minhash-rest")
     own = linker.own(rest.select("node").distinct())
     can = F.col("size") - F.col("own")
     rest = rest.join(own, "node").where(100 * can >= percent * F.col("size")).join(fine_bits(linker.sets), "node")
+    # Half of each key is enough to see a common bucket; another one looks the same with probability 1e-7.
+    halves = classes.select("node", F.transform("bands", lambda x: x.bitwiseAND(F.lit(2**31 - 1)).cast("int")).alias("halves"))
+    rest = rest.join(halves, "node").withColumn("earlier", F.slice("halves", 1, F.col("band")))
     order = Window.partitionBy("bucket").orderBy("own", "node")
     rest = write_through(rest.select("bucket", "node", "root", "size", "fine", "earlier", can.alias("can"), (F.row_number().over(order) - 1).alias("place")), "minhash-rest")
     first, last = 0, 0
