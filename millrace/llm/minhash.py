@@ -77,11 +77,11 @@ def _families() -> tuple[np.ndarray, np.ndarray]:
 def signature(s: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(band keys, packed low bits) of a shingle set."""
     least = np.full(MINIMA, np.uint64(2**64 - 1))
-    for at in range(0, len(s), 4096):  # bounded memory for very long texts
-        part = s[at : at + 4096]
-        for j in range(MINIMA):
-            x = part * a[j] + b[j]
-            least[j] = min(least[j], (x ^ (x >> np.uint64(32))).min())
+    for at in range(0, len(s), 256):  # all minima of a few shingles at once: few calls for short texts, bounded memory for long ones
+        x = s[at : at + 256, None] * a
+        x += b
+        x ^= x >> np.uint64(32)
+        np.minimum(least, x.min(axis=0), out=least)
     low = _mix(least) & np.uint64(2**BITS - 1)
     per = 64 // BITS
     packed = (low.reshape(LONGS, per) << (np.arange(per, dtype=np.uint64) * np.uint64(BITS))).sum(axis=1, dtype=np.uint64)
