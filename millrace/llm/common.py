@@ -44,7 +44,7 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the smallest node reachable.
 
-    Alternates large-star and small-star steps until nothing changes; both are one
+    Alternates large-star and small-star steps until every component is a star; both are one
     aggregate and one join on narrow rows, and a hub with very many links is split by the
     skew handling of the join. The links are never gathered.
     """
@@ -53,8 +53,7 @@ def components(edges: DataFrame) -> DataFrame:
         .select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
         .distinct()
     )
-    before = None
-    while True:
+    while not _all_stars(links):
         both = links.select(F.col("lo").alias("u"), F.col("hi").alias("v")).union(
             links.select(F.col("hi").alias("u"), F.col("lo").alias("v"))
         )
@@ -74,9 +73,15 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
         links = cut_lineage(small)
-        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
-        if before == tuple(state):
-            break
-        before = tuple(state)
-    roots = links.groupBy("hi").agg(F.min("lo").alias("root")).withColumnRenamed("hi", "node")
+    roots = links.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+
+
+def _all_stars(links: DataFrame) -> bool:
+    """Whether every upper end of the links (lo, hi) has one link only and is no lower end."""
+    ends = links.select(F.inline(F.array(
+        F.struct(F.col("lo").alias("node"), F.lit(0).alias("up")),
+        F.struct(F.col("hi").alias("node"), F.lit(1).alias("up")),
+    )))
+    per = ends.groupBy("node").agg(F.min("up").alias("least"), F.sum("up").alias("ups"))
+    return per.where("ups > 1 or (ups = 1 and least = 0)").isEmpty()
