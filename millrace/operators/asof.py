@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from millrace.session import write_through
 
 HOT_ROWS = 20_000_000
-MAX_HOT_ENTITIES = 1_000
 SLICE_GRID = 32
 
 
@@ -92,19 +91,17 @@ def as_of_join(
 
 
 def _hot_entities(spine: DataFrame, features: DataFrame, names: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Up to MAX_HOT_ENTITIES entities above ``hot_rows``, as a broadcast table.
+    """All entities above ``hot_rows``, written once; None without any.
 
-    With more than that many, the rest each hold under 1/1000 of the rows and stay in the
-    plain plan.
+    There are at most all rows / ``hot_rows`` of them. Spark sees the size of the written
+    table and broadcasts or shuffles it.
     """
     keyed = spine
     for n in names:
         keyed = keyed.where(F.col(n).isNotNull())
     counts = keyed.unionByName(features.select(*names)).groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.where(F.col("n") > hot_rows).orderBy(F.desc("n")).limit(MAX_HOT_ENTITIES).drop("n").collect()
-    if not rows:
-        return None
-    return F.broadcast(spine.sparkSession.createDataFrame(rows, spine.schema))
+    hot = write_through(counts.where(F.col("n") > hot_rows).drop("n"), "hot-entities")
+    return None if hot.isEmpty() else hot
 
 
 def _tagged(features: DataFrame, spine: DataFrame) -> DataFrame:
@@ -138,14 +135,14 @@ def _carry_in_slices(spine: DataFrame, features: DataFrame, names: Sequence[str]
     pieces = SLICE_GRID * SLICE_GRID
     cuts = [i / pieces for i in range(1, pieces)]
     every = F.sequence(F.lit(SLICE_GRID), F.lit(pieces - 1), F.lit(SLICE_GRID))
-    bounds = (
+    bounds = write_through(
         line.groupBy(*names)
         .agg(F.percentile_approx("t", cuts, 4 * pieces).alias("bounds"))
-        .withColumn("tops", F.transform(every, lambda i: F.element_at("bounds", i)))
+        .withColumn("tops", F.transform(every, lambda i: F.element_at("bounds", i))),
+        "slice-bounds",
     )
-    # One row per hot entity, so at most MAX_HOT_ENTITIES arrays of pieces - 1 timestamps.
     piece = _slice_number(F.col("t"), F.col("bounds"), F.col("tops"))
-    line = line.join(F.broadcast(bounds), names).withColumn("piece", piece).drop("bounds", "tops")
+    line = line.join(bounds, names).withColumn("piece", piece).drop("bounds", "tops")
 
     before = Window.partitionBy(*names).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     handed = (

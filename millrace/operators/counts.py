@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.session import cut_lineage
 
-MAX_CODED_IN_ONE_TASK = 1_000_000
 MAX_FITTED_VALUES = 50_000
 
 
@@ -55,24 +54,14 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def category_codes(
-    df: DataFrame, columns: Sequence[str], one_task: int = MAX_CODED_IN_ONE_TASK
-) -> DataFrame:
+def category_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, value, n, code): 0-based alphabetical codes of the non-missing values.
 
-    The ranking runs over distinct values, never over data rows. If a column has more than
-    ``one_task`` of them, they are range-sorted across tasks, written once, and numbered
-    by the offset of their partition, so no task holds them all.
+    The ranking runs over distinct values, never over data rows. They are range-sorted across
+    tasks, written once, and numbered by the offset of their partition, so no task holds the
+    values of a column.
     """
-    counts = cut_lineage(value_counts(df, columns).where("value is not null"))
-    widest = counts.groupBy("column_name").count().agg(F.max("count")).first()[0] or 0
-    if widest <= one_task:
-        order = Window.partitionBy("column_name").orderBy("value")
-        return counts.withColumn("code", (F.row_number().over(order) - 1).cast("int"))
-    return _codes_across_tasks(counts)
-
-
-def _codes_across_tasks(counts: DataFrame) -> DataFrame:
+    counts = value_counts(df, columns).where("value is not null")
     placed = cut_lineage(
         counts.repartitionByRange("column_name", "value")
         .sortWithinPartitions("column_name", "value")

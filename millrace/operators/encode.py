@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 from millrace.functions.scalars import to_number
 from millrace.operators.counts import category_codes, fit_categories
 from millrace.operators.schema import dtype_of
+from millrace.session import write_through
 
 MAX_CATEGORIES = 1_000
 
@@ -95,27 +96,20 @@ def onehot(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -
     return apply_onehot(df, fit_onehot(df, columns, limit))
 
 
-def _with_code(df: DataFrame, column: str, out: str, max_rows: int) -> DataFrame:
-    """Join the codes: fitted in one job and broadcast if few, ranked in Spark and shuffled if many."""
-    small = fit_categories(df, [column], max_rows)
-    if small is None:
-        table = category_codes(df, [column]).select(F.col("value").alias("_value"), F.col("code").alias(out))
-    else:
-        rows = [(value, code) for code, (value, _) in enumerate(small[column])]
-        table = F.broadcast(df.sparkSession.createDataFrame(rows, f"_value string, `{out}` bigint"))
+def _with_code(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Join the written codes; Spark sees their size and broadcasts them or shuffles."""
+    codes = category_codes(df, [column]).select(F.col("value").alias("_value"), F.col("code").alias(out))
+    table = write_through(codes, "codes")
     return df.join(table, F.col(column).cast("string") == F.col("_value"), "left").drop("_value")
 
 
-def with_category_code(df: DataFrame, column: str, out: str, max_broadcast: int = 10_000) -> DataFrame:
-    """Alphabetical code of the value, -1 where it is missing.
-
-    The code table is broadcast up to ``max_broadcast`` categories and shuffled beyond.
-    """
-    coded = _with_code(df, column, out, max_broadcast)
+def with_category_code(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Alphabetical code of the value, -1 where it is missing."""
+    coded = _with_code(df, column, out)
     return coded.withColumn(out, F.coalesce(F.col(out), F.lit(-1)).cast("int"))
 
 
-def encode_label(df: DataFrame, column: str, out: str, max_broadcast: int = 10_000) -> DataFrame:
+def encode_label(df: DataFrame, column: str, out: str) -> DataFrame:
     """Sorted classes to 0..k-1; a missing label stays missing."""
-    coded = _with_code(df, column, out, max_broadcast)
+    coded = _with_code(df, column, out)
     return coded.withColumn(out, F.col(out).cast("int"))

@@ -48,7 +48,7 @@ def mean_code_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     means = (
         codes.groupBy("column_name")
         .agg((F.sum(F.col("n") * F.col("code")) / F.sum("n")).alias("mean_code"), F.max("code").alias("top"))
-        .withColumn("code", F.greatest(F.lit(0), F.least(F.col("top"), F.rint("mean_code"))).cast("int"))
+        .withColumn("code", F.greatest(F.lit(0), F.least(F.col("top"), F.rint("mean_code"))).cast("bigint"))
     )
     return codes.select("column_name", "code", "value").join(
         means.select("column_name", "code", "mean_code"), ["column_name", "code"]

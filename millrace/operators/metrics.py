@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_CLASSES = 10_000
+from millrace.session import write_through
 
 
 def binary_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -39,16 +39,9 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_balanced_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Add each row's class weight; the classes are counted in one job."""
-    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    classes = counts.limit(MAX_CLASSES + 1).collect()
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    rows = sum(c["n"] for c in classes)
-    weights = [(c[label], rows / (len(classes) * c["n"])) for c in classes]
-    schema = T.StructType([T.StructField("_label", df.schema[label].dataType), T.StructField(out, T.DoubleType())])
-    table = F.broadcast(df.sparkSession.createDataFrame(weights, schema))
-    return df.join(table, F.col(label) == F.col("_label"), "left").drop("_label")
+    """Add each row's class weight. The counts are written once and joined, however many classes there are."""
+    counts = write_through(class_weights(df, label).select(F.col("label").alias("_label"), F.col("weight").alias(out)), "class-weights")
+    return df.join(counts, F.col(label) == F.col("_label"), "left").drop("_label")
 
 
 def split_fraction(key: Column, seed: int = 42) -> Column:

@@ -75,20 +75,22 @@ def prepare(imputed: DataFrame, categories: dict | None = None) -> DataFrame:
     return clean_names(apply_onehot(apply_zscore(filled, scaling), flags), churn.COLUMN_RENAMES)
 
 
-def feature_table(source_a: DataFrame, source_b: DataFrame, chained: bool = True) -> DataFrame:
+def feature_table(
+    source_a: DataFrame, source_b: DataFrame, chained: bool = True, max_categories: int = MAX_CATEGORIES
+) -> DataFrame:
     """Both raw sources to the derived feature table.
 
     The merged table is read by the fits and by the result, so it is written once to the
     shared folder. Each fit reads its own columns of that copy: two passes over the numbers
     for the imputation, one over the categories, one for the scaling; the rest is one
-    projection.
+    projection. A column with more than ``max_categories`` values is an error, as each
+    becomes a column.
     """
     merged = write_through(merge_sources(source_a, source_b), "merged")
     _, _, texts = _columns(merged)
-    limit = MAX_CATEGORIES * len(texts)
-    categories = fit_categories(merged, texts, limit)
-    if categories is None or any(len(pairs) > MAX_CATEGORIES for pairs in categories.values()):
-        raise ValueError(f"a column has more than {MAX_CATEGORIES} categories; exclude it or encode it by code")
+    categories = fit_categories(merged, texts, max_categories * len(texts))
+    if categories is None or any(len(pairs) > max_categories for pairs in categories.values()):
+        raise ValueError(f"a column has more than {max_categories} categories; exclude it or encode it by code")
     imputed = impute_merged(merged, chained, categories)
     return customer_features(prepare(imputed, categories))
 

@@ -11,9 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from millrace.functions.scalars import ensure_text, moment
 from millrace.operators.asof import HOT_ROWS, as_of_join, latest_per_entity
 from millrace.operators.schema import require, schema_report
-from millrace.session import settle_small
-
-MAX_LOOKUP_BROADCAST = 100_000
 
 
 @dataclass(frozen=True)
@@ -261,21 +258,18 @@ def online_lookup(
     requests: DataFrame,
     online: DataFrame,
     views: Sequence[FeatureView | OnDemandView] | FeatureService,
-    max_broadcast: int = MAX_LOOKUP_BROADCAST,
 ) -> DataFrame:
     """Online values for request rows; unknown entities keep their row, with NULLs.
 
-    A short request list (measured) is broadcast: the online table is then filtered where
-    it is read. A long one is joined by shuffle.
+    A semi join first leaves the online rows of the requested entities, so a short list
+    (Spark measures it) is broadcast to where the table is read.
     """
     chosen = views.views if isinstance(views, FeatureService) else tuple(views)
     out = requests
     for view, columns in _stored_inputs(chosen):
         keys = list(view.entity.join_keys)
-        asked, small = settle_small(requests.select(*keys).distinct(), max_broadcast)
-        stored = online.select(*keys, *columns)
-        if small:
-            stored = stored.join(asked, keys, "left_semi")
+        asked = requests.select(*keys).distinct()
+        stored = online.select(*keys, *columns).join(asked, keys, "left_semi")
         out = out.join(stored, keys, "left")
     return _finish(out, requests.columns, chosen)
 

@@ -213,11 +213,10 @@ def test_materializing_in_steps_equals_at_once(spark):
     assert fs.materialize_increment(view, late, None, end, once).exceptAll(once).count() == 0
 
 
-@pytest.mark.parametrize("max_broadcast", [100, 0])
-def test_online_lookup_keeps_unknown_entities(spark, max_broadcast):
+def test_online_lookup_keeps_unknown_entities(spark):
     online = spark.createDataFrame([("a", D, D, 1)], LOG)
     asked = spark.createDataFrame([("a",), ("b",), ("a",)], "k string")
-    got = fs.online_lookup(asked, online, [_view(online)], max_broadcast)
+    got = fs.online_lookup(asked, online, [_view(online)])
     assert sorted((r.k, r.v or 0) for r in got.collect()) == [("a", 1), ("a", 1), ("b", 0)]
 
 
