@@ -1,11 +1,14 @@
 """Repeated passages by collinear chaining of shared word seeds.
 
 Seeds are the runs of ``K`` words with the smallest hash of any ``WINDOW`` consecutive runs, so
-every exact stretch of K + WINDOW - 1 words has one. The first document with a seed owns it; any
-other document is matched with the owner only, so a passage in n documents makes n matches.
-Matches of a document with one owner are chained: in order in both, with a cost per word of gap,
-by a Fenwick tree over owner positions that holds the best chain end so far. Chains are aligned
-word by word: between seeds, and outwards from both ends while it pays. Stretches whose words
+every exact stretch of K + WINDOW - 1 words has one. A document is matched at each seed with the
+first place of the first document that has it and with the last place of the document before it
+that has it, so a passage in n documents makes at most 2 n matches. Matches of a document with
+one owner are chained: in order in both, with a cost per word of gap, by a Fenwick tree over owner
+positions that holds the best chain end so far; a match alone is a chain too. Chains are aligned
+word by word: between seeds, and outwards from both ends while it pays, with more text each time
+the end of what was read is reached. One match thus suffices for a passage of any length whose
+words stay in step, whoever owns its other seeds. Stretches whose words
 agree to ``ALIKE`` are pieces; pieces that touch in a document form a passage, also when their
 owners differ, and passages of at least ``min_words`` words count.
 
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from millrace.llm.minhash import _mix, _Words
 from millrace.session import write_through
 
-K, WINDOW = 5, 16
+K, WINDOW = 5, 4
 GAP = 0.1
 MAX_GAP, MARGIN = 30, 64
 MIN_WORDS, MIN_PIECE, ALIKE = 50, 20, 0.8
@@ -77,17 +80,67 @@ def seeds(docs: DataFrame, min_words: int) -> DataFrame:
 
 
 def matches(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, owner, pos, owner_pos): seeds of a document that an earlier one owns."""
+    """(doc, owner, pos, owner_pos): seeds of a document that an earlier one has, at its first and its latest place before.
+
+    Where both are the same, the match comes twice; ``chains`` drops the second.
+    """
     found = write_through(seeds(docs, min_words), "chain-seeds")
     # Written, so that the join below has a shuffle on either side and its hot seeds can be split.
     shared = write_through(found.groupBy("seed").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).where("owner < last"), "chain-owners")
     rows = write_through(found.join(shared.select("seed", "owner"), "seed"), "chain-shared")
     owned = write_through(rows.where("doc = owner").groupBy("seed").agg(F.min("pos").alias("owner_pos")), "chain-owned")
-    return rows.where("doc > owner").join(owned, "seed").select("doc", "owner", "pos", "owner_pos")
+    first = rows.where("doc > owner").join(owned, "seed").select("doc", "owner", "pos", "owner_pos")
+    return first.unionByName(previous(rows.select("seed", "doc", "pos")))
+
+
+def previous(rows: DataFrame) -> DataFrame:
+    """(doc, owner, pos, owner_pos): each seed with its last place in the nearest earlier document that has it.
+
+    Rows are sorted by range, so a seed of very many documents spans tasks. A task also gives the
+    last two documents of its last seed; the rows of its first document look there.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, held = None, [np.empty(0, np.int64)] * 3
+
+        def made(kind: int, seed, doc, owner, pos, owner_pos) -> pa.RecordBatch:
+            cells = [np.full(len(seed), kind, np.int32), seed, doc, owner, pos.astype(np.int32), owner_pos.astype(np.int32)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cells], ["kind", "seed", "doc", "owner", "pos", "owner_pos"])
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            old = len(held[0])
+            seed, doc, pos = (np.concatenate([h, batch.column(c).to_numpy().astype(np.int64)]) for h, c in zip(held, ("seed", "doc", "pos")))
+            head = head or (seed[0], doc[0])
+            starts = np.flatnonzero(np.r_[True, (np.diff(seed) != 0) | (np.diff(doc) != 0)])
+            ends = np.r_[starts[1:], len(seed)] - 1
+            group = np.repeat(np.arange(len(starts)), ends - starts + 1)
+            before = ends[np.maximum(group - 1, 0)]
+            new = np.arange(len(seed)) >= old
+            known = np.flatnonzero(new & (group > 0) & (seed[before] == seed))
+            at = before[known]
+            yield made(0, seed[known], doc[known], doc[at], pos[known], pos[at])
+            first = np.flatnonzero(new & (seed == head[0]) & (doc == head[1]))
+            yield made(1, seed[first], doc[first], doc[first], pos[first], pos[first])
+            last = ends[-2:]
+            last = last[seed[last] == seed[-1]]
+            held = [c[last] for c in (seed, doc, pos)]
+        yield made(2, held[0], held[1], held[1], held[2], held[2])
+
+    placed = rows.repartitionByRange("seed", "doc", "pos").sortWithinPartitions("seed", "doc", "pos")
+    found = write_through(placed.mapInArrow(run, "kind int, seed long, doc long, owner long, pos int, owner_pos int"), "chain-previous")
+    heads = found.where("kind = 1").select("seed", "doc", "pos")
+    tails = found.where("kind = 2").select("seed", "owner", "owner_pos")
+    over = (
+        heads.join(tails, "seed").where("owner < doc").groupBy("seed", "doc", "pos").agg(F.max(F.struct("owner", "owner_pos")).alias("o"))
+        .select("doc", "o.owner", "pos", "o.owner_pos")
+    )
+    return found.where("kind = 0").select("doc", "owner", "pos", "owner_pos").unionByName(over)
 
 
 def chain(x: np.ndarray, y: np.ndarray) -> list[list[int]]:
-    """Chains of matches (x ascending): indices, each match in one chain at most, best chains first."""
+    """Chains of matches (x ascending, then y descending): indices, each match in one chain, best chains first."""
     n = len(x)
     place = (np.unique(y, return_inverse=True)[1] + 1).tolist()
     top = max(place)
@@ -120,19 +173,20 @@ def chain(x: np.ndarray, y: np.ndarray) -> list[list[int]]:
             i = before[i]
         if links:
             out.append(links[::-1])
-    return [c for c in out if len(c) > 1]
+    return out
 
 
-def returning(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int]]:
-    """(first, last, owner position) of seeds that come again and again, as in a line said many times."""
-    out = []
+def returning(x: np.ndarray, y: np.ndarray) -> tuple[list[tuple[int, int, int]], np.ndarray]:
+    """(first, last, owner position) of seeds that come again and again, as in a line said many times; and which matches these are."""
+    out, inside = [], np.zeros(len(x), bool)
     order = np.lexsort((x, y))
     xs, ys = x[order], y[order]
     cut = np.flatnonzero((np.diff(ys) != 0) | (np.diff(xs) > MAX_GAP)) + 1
     for a, b in zip([0, *cut], [*cut, len(xs)]):
         if b - a > 2 and xs[b - 1] - xs[a] >= MIN_PIECE:
             out.append((int(xs[a]), int(xs[b - 1]), int(ys[a])))
-    return out
+            inside[order[a:b]] = True
+    return out, inside
 
 
 def chains(found: DataFrame) -> DataFrame:
@@ -140,15 +194,18 @@ def chains(found: DataFrame) -> DataFrame:
 
     def flush(table: pa.Table, out: dict) -> None:
         doc, owner, x, y = (table.column(c).to_numpy() for c in ("doc", "owner", "pos", "owner_pos"))
+        new = np.r_[True, (np.diff(doc) != 0) | (np.diff(owner) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0)]
+        doc, owner, x, y = doc[new], owner[new], x[new], y[new]
         cut = np.flatnonzero((np.diff(doc) != 0) | (np.diff(owner) != 0)) + 1
         for a, b in zip([0, *cut], [*cut, len(doc)]):
-            if b - a > 1:
-                for c in chain(x[a:b], y[a:b]):
+            often, inside = returning(x[a:b], y[a:b])
+            for c in chain(x[a:b], y[a:b]):
+                if len(c) > 1 or not inside[c[0]]:
                     out["doc"].append(doc[a]), out["owner"].append(owner[a])
                     out["xs"].append(x[a:b][c]), out["ys"].append(y[a:b][c]), out["reach"].append(0)
-                for x0, x1, y0 in returning(x[a:b], y[a:b]):
-                    out["doc"].append(doc[a]), out["owner"].append(owner[a])
-                    out["xs"].append([x0]), out["ys"].append([y0]), out["reach"].append(x1 - x0)
+            for x0, x1, y0 in often:
+                out["doc"].append(doc[a]), out["owner"].append(owner[a])
+                out["xs"].append([x0]), out["ys"].append([y0]), out["reach"].append(x1 - x0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -175,7 +232,7 @@ def chains(found: DataFrame) -> DataFrame:
                 held.append(batch)
         yield made(held)
 
-    return found.repartition("doc").sortWithinPartitions("doc", "owner", "pos").mapInArrow(
+    return found.repartition("doc").sortWithinPartitions("doc", "owner", "pos", F.desc("owner_pos")).mapInArrow(
         run, "doc long, owner long, xs array<int>, ys array<int>, reach int"
     )
 
@@ -239,35 +296,55 @@ def _slices(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.join(wanted, "doc").select("doc", "text", "a", "b").mapInArrow(run, "doc long, a int, b int, words array<int>")
 
 
-def pieces(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, start, end, owner, owner_start, owner_end, equal, columns): aligned stretches that agree enough."""
-    linked = write_through(chains(matches(docs, min_words)), "chain-chains")
-    low = lambda c: F.greatest(F.array_min(c) - MARGIN, F.lit(0))
-    high = lambda c: F.array_max(c) + K + MARGIN + F.col("reach")
+def _aligned(linked: DataFrame, texts: DataFrame, margin: int) -> DataFrame:
+    """Aligned stretches of chains, or, where one ends with the text read, the chain itself (``xs`` not null), to be read further."""
+    low = lambda c: F.greatest(F.array_min(c) - margin, F.lit(0))
+    high = lambda c: F.array_max(c) + K + margin + F.col("reach")
     linked = linked.select("*", low("xs").alias("xa"), high("xs").alias("xb"), low("ys").alias("ya"), high("ys").alias("yb"))
     wanted = linked.select("doc", F.col("xa").alias("a"), F.col("xb").alias("b")).union(linked.select("owner", "ya", "yb")).distinct()
-    texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc"), "text")
     cut = write_through(_slices(texts, wanted), "chain-slices").dropDuplicates(["doc", "a", "b"])
     one = cut.select("doc", F.col("a").alias("xa"), F.col("b").alias("xb"), F.col("words").alias("left"))
     two = cut.select(F.col("doc").alias("owner"), F.col("a").alias("ya"), F.col("b").alias("yb"), F.col("words").alias("right"))
+    kinds = [(c, pa.int64()) for c in ("doc", "start", "end", "owner", "owner_start", "owner_end", "equal", "columns")]
+    schema = pa.schema([*kinds, ("xs", pa.list_(pa.int32())), ("ys", pa.list_(pa.int32())), ("reach", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            columns = [batch.column(c) for c in ("doc", "owner", "xa", "ya", "xs", "ys", "left", "right")]
+            columns = [batch.column(c) for c in ("doc", "owner", "xa", "xb", "ya", "yb", "reach", "xs", "ys", "left", "right")]
             for i in range(len(batch)):
-                doc, owner, xa, ya = (c[i].as_py() for c in columns[:4])
-                xs, ys, a, b = (c[i].values.to_numpy() for c in columns[4:])
-                for x0, x1, y0, y1, equal, wide in align(a, b, xs - xa, ys - ya):
-                    out.append((doc, x0 + xa, x1 + xa, owner, y0 + ya, y1 + ya, equal, wide))
-            frame = pd.DataFrame(out, columns=["doc", "start", "end", "owner", "owner_start", "owner_end", "equal", "columns"])
-            yield pa.RecordBatch.from_pandas(frame.astype({c: "int64" for c in frame}), preserve_index=False)
+                doc, owner, xa, xb, ya, yb, reach = (c[i].as_py() for c in columns[:7])
+                xs, ys, a, b = (c[i].values.to_numpy() for c in columns[7:])
+                found = align(a, b, xs - xa, ys - ya)
+                # Only text that goes on beyond the slice on both sides can be read further.
+                left, right = xa > 0 and ya > 0, len(a) == xb - xa and len(b) == yb - ya
+                if any(left and min(x0, y0) == 0 or right and (x1 == len(a) or y1 == len(b)) for x0, x1, y0, y1, _, _ in found):
+                    out.append((doc, None, None, owner, None, None, None, None, xs, ys, reach))
+                    continue
+                for x0, x1, y0, y1, equal, wide in found:
+                    if equal >= ALIKE * wide and x1 - x0 >= MIN_PIECE:
+                        out.append((doc, x0 + xa, x1 + xa, owner, y0 + ya, y1 + ya, equal, wide, None, None, None))
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], schema.types[j]) for j in range(len(schema))], schema=schema)
 
     rows = linked.join(one, ["doc", "xa", "xb"]).join(two, ["owner", "ya", "yb"])
-    made = rows.select("doc", "owner", "xa", "ya", "xs", "ys", "left", "right").mapInArrow(
-        run, "doc long, start long, end long, owner long, owner_start long, owner_end long, equal long, columns long"
+    return rows.select("doc", "owner", "xa", "xb", "ya", "yb", "reach", "xs", "ys", "left", "right").mapInArrow(
+        run, ", ".join(f"{c} long" for c, _ in kinds) + ", xs array<int>, ys array<int>, reach int"
     )
-    return made.where((F.col("equal") >= ALIKE * F.col("columns")) & (F.col("end") - F.col("start") >= MIN_PIECE))
+
+
+def pieces(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc, start, end, owner, owner_start, owner_end, equal, columns): aligned stretches that agree enough."""
+    linked = write_through(chains(matches(docs, min_words)), "chain-chains")
+    texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc"), "text")
+    made, margin = None, MARGIN
+    while True:
+        found = write_through(_aligned(linked, texts, margin), "chain-aligned")
+        done = found.where("xs is null").drop("xs", "ys", "reach")
+        made = done if made is None else made.unionByName(done)
+        linked = found.where("xs is not null").select("doc", "owner", "xs", "ys", "reach")
+        if linked.isEmpty():
+            return made.distinct()
+        margin *= 4
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
