@@ -1,10 +1,10 @@
 """Toxicity: a learned lexicon, Levenshtein automata over its trie, and context windows.
 
 Learning counts in how many toxic and other documents each word and each word beginning (stem)
-occurs and keeps the terms that mark toxic ones best. The strongest terms form a trie. Every
-distinct word is run against it as a Levenshtein automaton: its states are two bit sets (word
-positions reachable with no or one edit), stepped along the branches of the trie and cut where
-both are empty, so misspelled terms are found without trying every term. A hit inside quotation
+occurs and keeps all terms that mark toxic ones surely enough. Those of 5 letters (stems: 6) and
+more form a trie, without words that begin with a stem in it. Every distinct word is run against
+it as a Levenshtein automaton: its states are two bit sets (word positions reachable with no or
+one edit), stepped along the branches of the trie and cut where both are empty, so misspelled terms are found without trying every term. A hit inside quotation
 marks or after a word of reporting counts as quoted; a misspelled hit counts more when a certain
 hit stands within its window. The sums of these hits feed a logistic model.
 
@@ -31,7 +31,6 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.session import write_through
 
 TRAIN_ROWS = 40_000
-MAX_WORDS, MAX_STEMS, MAX_FUZZY = 1_000, 400, 64
 STEM_LENGTHS = (4, 5, 6)
 #: Shortest words and stems that are matched with one edit.
 FUZZY_WORD, FUZZY_STEM = 5, 6
@@ -58,7 +57,9 @@ class Lexicon:
     def of(words: dict[str, float], stems: dict[str, float]) -> Lexicon:
         strong = sorted([(-w, t, False) for t, w in words.items()] + [(-w, t, True) for t, w in stems.items()])
         made = Lexicon(words, stems)
-        for weight, term, stem in [x for x in strong if len(x[1]) >= (FUZZY_STEM if x[2] else FUZZY_WORD)][:MAX_FUZZY]:
+        for weight, term, stem in [x for x in strong if len(x[1]) >= (FUZZY_STEM if x[2] else FUZZY_WORD)]:
+            if not stem and any(term[:k] in stems for k in STEM_LENGTHS if k >= FUZZY_STEM):
+                continue  # within one edit of the word is within one of its stem
             node = made.trie
             for c in term:
                 node = node.setdefault(c, {})
@@ -220,10 +221,10 @@ def _lexicon(counts: list, n0: int, n1: int) -> Lexicon:
     rated.sort(reverse=True)
     stems: dict[str, float] = {}
     for _, t, odds in rated:
-        if t[0] == "s" and len(stems) < MAX_STEMS and not any(t[1 : 1 + k] in stems for k in STEM_LENGTHS):
+        if t[0] == "s" and not any(t[1 : 1 + k] in stems for k in STEM_LENGTHS):
             stems[t[1:]] = odds
     words = [(t[1:], odds) for _, t, odds in rated if t[0] == "w"]
-    return Lexicon.of(dict(words[:MAX_WORDS]), stems)
+    return Lexicon.of(dict(words), stems)
 
 
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

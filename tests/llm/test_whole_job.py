@@ -2,7 +2,7 @@
 
 import random
 
-from millrace.llm import chaining
+from millrace.llm import chaining, toxicity
 
 
 def _covered(found, doc):
@@ -58,3 +58,13 @@ def test_previous_places_across_tasks(spark):
     df = spark.createDataFrame(rows, "seed long, doc long, pos int").repartition(8)
     got = sorted(map(tuple, chaining.previous(df).select("doc", "owner", "pos", "owner_pos").collect()))
     assert got == sorted([(d, d - 1, p, (d - 1) % 3) for s, d, p in rows if s == 7 and d] + [(9, 3, 4, 1)])
+
+
+def test_misspelled_terms_beyond_the_strongest():
+    draw = random.Random(13)
+    terms = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(1500)]
+    lexicon = toxicity.Lexicon.of({t: 9 - i / 1000 for i, t in enumerate(terms[:1000])} | {terms[1000][:6] + "rest": 9.0}, {t[:6]: 3 - i / 1000 for i, t in enumerate(terms[1000:])})
+    for i, t in enumerate(terms):
+        for word in (t[:3] + t[4:], t[:2] + "é" + t[3:], t[:5] + "é" + t[5:]):
+            assert (found := lexicon.find(word)) and found[1] == (t if i < 1000 else t[:6]), (i, t, word)
+    assert lexicon.find(terms[1000][:6] + "rxst")[1] == terms[1000][:6]
