@@ -82,17 +82,19 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_syncmers")
 def op3_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = syncmers.next_rows(syncmers.fingerprint(table(spark, sf_dir, "documents")), ["text", "anchors"])
-    other = made.select("doc_id", F.length("text").alias("n_chars"), syncmers.edited(F.col("text"), F.col("next_text")).alias("changed"), "anchors", "next_anchors")
+    every = syncmers.fingerprint(table(spark, sf_dir, "documents")).select("doc_id", "text", "anchors_at")
+    made = syncmers.next_rows(every.withColumn("hashes", syncmers.hashes(F.col("anchors_at"))), ["text", "hashes"])
+    changed = syncmers.edited(F.col("text"), F.col("next_text")).alias("changed")
+    other = made.select("doc_id", F.length("text").alias("n_chars"), changed, "anchors_at", "hashes", "next_hashes")
     both = syncmers.with_anchors(other, "changed", "changed_anchors")
     return both.select(
         "doc_id",
         F.col("n_chars").cast("long").alias("n_chars"),
         _sha(F.col("changed")).alias("edited_sha256"),
-        syncmers.as_text(F.col("anchors")).alias("fingerprint"),
-        syncmers.as_text(F.col("changed_anchors")).alias("edited_fingerprint"),
-        syncmers.likeness(F.col("anchors"), F.col("changed_anchors")).alias("near_edited"),
-        syncmers.likeness(F.col("anchors"), F.col("next_anchors")).alias("near_next"),
+        syncmers.placed_text(F.col("anchors_at")).alias("fingerprint"),
+        syncmers.placed_text(F.col("changed_anchors_at")).alias("edited_fingerprint"),
+        syncmers.likeness(F.col("hashes"), syncmers.hashes(F.col("changed_anchors_at"))).alias("near_edited"),
+        syncmers.likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"),
     )
 
 

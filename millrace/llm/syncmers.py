@@ -3,10 +3,10 @@
 A text is a sequence of symbols: words, of at most 16 characters a piece, and single characters
 of scripts written without spaces. Of all runs of ``K`` symbols those are chosen whose smallest
 inner run of ``S`` symbols (by hash) stands first or last. Whether a run is chosen depends on the
-run alone, so an edit changes only the runs it touches. The fingerprint keeps the ``SIZE``
-smallest 32-bit hashes of chosen runs (all, if fewer), as sorted hexadecimal text. Likeness is
-the share of common hashes among the ``SIZE`` smallest of both together: the Jaccard likeness of
-the chosen runs, exact while both have fewer.
+run alone, so an edit changes only the runs it touches. The fingerprint holds all chosen runs in
+text order: the 32-bit hash of each, and how many symbols it starts after the one before, as
+hexadecimal text. Likeness is the Jaccard likeness of the full sets of hashes. A sketch of the
+``SIZE`` smallest hashes is there too, for those who want a short one.
 
 Defined results: a text too short for a run, or without a chosen one, has the hash of its whole
 symbol sequence; a text without symbols has the empty fingerprint; equal fingerprints have
@@ -25,8 +25,8 @@ PIECES = 32
 
 
 def with_anchors(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Add ``name``: the fingerprint of column ``text`` as a sorted array of ints."""
-    words, pairs, chosen = (f"_{name}_{x}" for x in ("words", "pairs", "chosen"))
+    """Add ``name``, the sketch of column ``text`` as a sorted array of ints, and ``name_at``: all its anchors (at, hash) in text order."""
+    words, pairs, every = f"_{name}_words", f"_{name}_pairs", f"{name}_at"
     n = F.size(words)
     low = lambda h: F.shiftright(h, 32).cast("int")
     run = F.arrays_zip(
@@ -35,12 +35,14 @@ def with_anchors(df: DataFrame, text: str, name: str) -> DataFrame:
         F.slice(pairs, 3, F.greatest(n, F.lit(0))).alias("c"),
         F.slice(pairs, K - S + 1, F.greatest(n, F.lit(0))).alias("d"),
         F.slice(words, 3, F.greatest(n, F.lit(0))).alias("mid"),
+        F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))).alias("at"),
     )
     edge = lambda z: F.least(z["a"], z["d"]) <= F.least(z["b"], z["c"])
-    hashes = F.transform(
-        F.filter(run, lambda z: z["d"].isNotNull() & edge(z)), lambda z: low(F.xxhash64(z["a"], z["d"], z["mid"]))
+    chosen = F.transform(
+        F.filter(run, lambda z: z["d"].isNotNull() & edge(z)),
+        lambda z: F.struct(z["at"].alias("at"), low(F.xxhash64(z["a"], z["d"], z["mid"])).alias("hash")),
     )
-    whole = F.array(low(F.xxhash64(words)))
+    whole = F.array(F.struct(F.lit(0).alias("at"), low(F.xxhash64(words)).alias("hash")))
     return (
         df.withColumn(words, F.transform(F.regexp_extract_all(text, F.lit(SYMBOL), F.lit(0)), lambda w: F.xxhash64(w)))
         .withColumn(
@@ -51,20 +53,33 @@ def with_anchors(df: DataFrame, text: str, name: str) -> DataFrame:
                 lambda x, y: F.xxhash64(x, y),
             ),
         )
-        .withColumn(chosen, F.slice(F.array_sort(F.array_distinct(hashes)), 1, SIZE))
-        .withColumn(name, F.when(n == 0, F.array().cast("array<int>")).when(F.size(chosen) == 0, whole).otherwise(F.col(chosen)))
-        .drop(words, pairs, chosen)
+        .withColumn(every, chosen)
+        .withColumn(every, F.when((n > 0) & (F.size(every) == 0), whole).otherwise(F.col(every)))
+        .withColumn(name, F.slice(F.array_sort(hashes(F.col(every))), 1, SIZE))
+        .drop(words, pairs)
     )
 
 
+def hashes(every: Column) -> Column:
+    """The set of hashes of anchors (at, hash)."""
+    return F.array_distinct(F.transform(every, lambda z: z["hash"]))
+
+
+def placed_text(every: Column) -> Column:
+    """Anchors (at, hash) as text: eight digits of hash and the distance to the anchor before, in order, with spaces between."""
+    before = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(every, i - 1)["at"])
+    digits = lambda h: F.lpad(F.hex(h.cast("long").bitwiseAND(0xFFFFFFFF)), 8, "0")
+    return F.array_join(F.transform(every, lambda z, i: F.concat(digits(z["hash"]), F.hex((z["at"] - before(i)).cast("long")))), " ")
+
+
 def as_text(anchors: Column) -> Column:
     return F.array_join(F.transform(anchors, lambda a: F.lpad(F.hex(a.cast("long").bitwiseAND(0xFFFFFFFF)), 8, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    both = F.slice(F.array_sort(F.array_union(a, b)), 1, SIZE)
-    common = F.size(F.array_intersect(F.array_intersect(a, b), both))
-    return F.when(a == b, F.lit(1.0)).otherwise(common / F.greatest(F.size(both), F.lit(1)))
+    """Share of common hashes of two sets of hashes."""
+    common = F.size(F.array_intersect(a, b))
+    return F.when(a == b, F.lit(1.0)).otherwise(common / F.greatest(F.size(a) + F.size(b) - common, F.lit(1)))
 
 
 def _ranges(docs: DataFrame, parts: int) -> Column:
@@ -111,7 +126,7 @@ def next_rows(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, anchors): texts made non-null, with their fingerprints."""
+    """(doc_id, text, anchors, anchors_at): texts made non-null, with their sketches and all anchors."""
     return with_anchors(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text", "anchors")
 
 

@@ -2,7 +2,9 @@
 
 import random
 
-from millrace.llm import chaining, toxicity
+from pyspark.sql import functions as F
+
+from millrace.llm import chaining, syncmers, toxicity
 
 
 def _covered(found, doc):
@@ -68,3 +70,26 @@ def test_misspelled_terms_beyond_the_strongest():
         for word in (t[:3] + t[4:], t[:2] + "é" + t[3:], t[:5] + "é" + t[5:]):
             assert (found := lexicon.find(word)) and found[1] == (t if i < 1000 else t[:6]), (i, t, word)
     assert lexicon.find(terms[1000][:6] + "rxst")[1] == terms[1000][:6]
+
+
+def test_syncmers_keep_all_anchors_and_positions(spark):
+    """One word changed in the middle of 5,000: only the runs around it change, and the rest keep their places."""
+    words = [f"w{(i * 7919) % 4999}x{i % 13}" for i in range(5000)]
+    edited = [*words[:2500], "other", *words[2501:]]
+    rows = [(1, " ".join(words)), (2, " ".join(edited)), (3, "one two"), (4, "")]
+    made = syncmers.fingerprint(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: r for r in made.withColumn("f", syncmers.placed_text(F.col("anchors_at"))).collect()}
+    one, two = ([tuple(z) for z in got[i]["anchors_at"]] for i in (1, 2))
+    assert len(one) > 2000 and [z[0] for z in one] == sorted({z[0] for z in one})
+    off = set(one) ^ set(two)
+    assert off and all(2496 <= at <= 2500 for at, _ in off)
+    at, read = 0, []
+    for part in got[1]["f"].split(" "):
+        at += int(part[8:], 16)
+        read.append((at, int(part[:8], 16)))
+    assert read == [(at, h & 0xFFFFFFFF) for at, h in one]
+    assert len(got[3]["anchors_at"]) == 1 and got[4]["anchors_at"] == [] and got[4]["f"] == ""
+    both = spark.createDataFrame([([h for _, h in one], [h for _, h in two])], "a array<int>, b array<int>")
+    a, b = {h for _, h in one}, {h for _, h in two}
+    near = both.select(syncmers.likeness(F.array_distinct("a"), F.array_distinct("b"))).first()[0]
+    assert near == len(a & b) / len(a | b) < 1
