@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, chaining, chat, html_text, minhash, packing, rabitq, sharding, syncmers, toxicity
+from millrace.llm import bpe, chaining, chat, html_text, line_dedup, minhash, packing, rabitq, sharding, syncmers, toxicity
 from millrace.llm.common import table
 from millrace.catalog.registry import Query
 
@@ -157,3 +157,22 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"),
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+OP13_SQL = """
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS place FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.doc_id, k.line, k.place, coalesce(k.doc_id <> r.top, false) AS gone FROM k LEFT JOIN r USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
+@query("op13_line_dedup", OP13_SQL)
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n_lines", "n_dropped", _sha(F.col("kept")).alias("kept_sha256"))
