@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, chaining, chat, html_text, line_dedup, minhash, packing, rabitq, sharding, syncmers, toxicity
+from millrace.llm import bpe, chaining, chat, collocations, html_text, lexical_search, line_dedup, minhash, packing, rabitq, sharding, syncmers, toxicity
 from millrace.llm.common import table
 from millrace.catalog.registry import Query
 
@@ -176,3 +176,60 @@ FROM m GROUP BY doc_id
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return made.select("doc_id", "n_lines", "n_dropped", _sha(F.col("kept")).alias("kept_sha256"))
+
+
+OP11_SQL = """
+WITH w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+g AS (
+  SELECT lang, 1 AS k, unnest(ws) AS phrase FROM w UNION ALL
+  SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM w UNION ALL
+  SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) FROM w),
+f AS (SELECT lang, k, phrase, count(*) AS n, string_split(phrase, ' ') AS ws FROM g GROUP BY lang, k, phrase),
+t AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT * FROM f WHERE k > 1 AND n >= 10),
+cuts AS (SELECT lang, phrase, n AS a, unnest(range(1, k)) AS c, ws, k FROM cand),
+s AS (
+  SELECT u.lang, u.phrase, u.a, u.c, x.n AS l, y.n AS r,
+    ((1000000::HUGEINT * u.a * u.a) // (x.n::HUGEINT * y.n))::BIGINT AS score
+  FROM cuts u JOIN f x ON x.lang = u.lang AND x.phrase = array_to_string(u.ws[1:u.c], ' ')
+  JOIN f y ON y.lang = u.lang AND y.phrase = array_to_string(u.ws[u.c + 1:u.k], ' ')),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+inner_two AS (
+  SELECT lang, ws[1] || ' ' || ws[2] AS phrase, n FROM cand WHERE k = 3 UNION ALL
+  SELECT lang, ws[2] || ' ' || ws[3], n FROM cand WHERE k = 3),
+longest AS (SELECT lang, phrase, max(n) AS n FROM inner_two GROUP BY lang, phrase),
+ranked AS (
+  SELECT low.lang, row_number() OVER (PARTITION BY low.lang ORDER BY score DESC, a DESC, encode(low.phrase)) AS rank, low.phrase, a, l, r, score
+  FROM low LEFT JOIN longest x ON x.lang = low.lang AND x.phrase = low.phrase WHERE NOT coalesce(100 * x.n >= 50 * a, false))
+SELECT lang, rank, phrase, a, l, r, t.n AS n, score FROM ranked JOIN t USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op11_collocations", OP11_SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = """
+WITH words AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+' AS term),
+d AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, upper, lower), (SELECT term FROM words))) AS term FROM documents, words),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, upper, lower), (SELECT term FROM words))) AS term FROM benchmark, words),
+asked AS (SELECT item_id, term, count(*) AS times FROM q GROUP BY item_id, term),
+size AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+total AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM size),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY doc_id, term),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY term),
+m AS (SELECT doc_id, 100 - 25 + ((25 * n * n_docs) // n_terms) AS m FROM size, total),
+s AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
+@query("op12_lexical_search", OP12_SQL)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
