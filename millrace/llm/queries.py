@@ -82,8 +82,9 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_syncmers")
 def op3_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    every = syncmers.fingerprint(table(spark, sf_dir, "documents")).select("doc_id", "text", "anchors_at")
-    made = syncmers.next_rows(every.withColumn("hashes", syncmers.hashes(F.col("anchors_at"))), ["text", "hashes"])
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    anchored = lambda df: syncmers.with_anchors(df, "text", "anchors").withColumn("hashes", syncmers.hashes(F.col("anchors_at")))
+    made = syncmers.next_rows(docs, ["text"], anchored, ["hashes"])
     changed = syncmers.edited(F.col("text"), F.col("next_text")).alias("changed")
     other = made.select("doc_id", F.length("text").alias("n_chars"), changed, "anchors_at", "hashes", "next_hashes")
     both = syncmers.with_anchors(other, "changed", "changed_anchors")

@@ -16,6 +16,8 @@ each other by text; null ids come last; a single row is its own next row. Other
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 K, S, SIZE = 5, 2, 128
@@ -94,11 +96,12 @@ def _ranges(docs: DataFrame, parts: int) -> Column:
     return F.when(F.col("doc_id").isNull(), F.lit(parts)).otherwise(F.lit(parts - 1) - F.floor(share / width * F.lit(parts - 1)).cast("int"))
 
 
-def next_rows(docs: DataFrame, columns: list[str]) -> DataFrame:
+def next_rows(docs: DataFrame, columns: list[str], derive: Callable[[DataFrame], DataFrame] | None = None, derived: Sequence[str] = ()) -> DataFrame:
     """``docs`` with ``next_<column>``: the row after it by descending doc_id, then text; the first after the last.
 
     One shuffle: rows go to buckets that are ranges of doc_id, and the first row of each
-    bucket is also sent, as a guest, to the end of the bucket before it.
+    bucket is also sent, as a guest, to the end of the bucket before it. What ``derive`` adds to
+    the rows is made after that shuffle, and the next row's ``derived`` columns are taken in the same buckets.
     """
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bucket = _ranges(docs, parts)
@@ -116,13 +119,10 @@ def next_rows(docs: DataFrame, columns: list[str]) -> DataFrame:
         .select(*docs.columns, "_bucket", F.lit(True).alias("_guest"))
     )
     order = Window.partitionBy("_bucket").orderBy("_guest", F.col("doc_id").desc_nulls_last(), "text")
-    return (
-        inside.withColumn("_guest", F.lit(False))
-        .unionByName(visiting)
-        .select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns])
-        .where("not _guest")
-        .drop("_bucket", "_guest")
-    )
+    rows = inside.withColumn("_guest", F.lit(False)).unionByName(visiting).select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns])
+    if derive:
+        rows = derive(rows).select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in derived])
+    return rows.where("not _guest").drop("_bucket", "_guest")
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
