@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.catalog.inputs import DIRTY_ORDERS_SQL, LABELLED_LINES_SQL, dirty_orders, labelled_lines
+from millrace.catalog.inputs import DIRTY_ORDERS_SQL, LABELLED_LINES_SQL, dirty_orders, labelled_lines, table
 from millrace.catalog.registry import query
 from millrace.functions.scalars import guarded_ratio
 from millrace.operators import eda
@@ -134,23 +134,57 @@ def eda_histogram(spark, sf_dir):
     return eda.histogram(labelled_lines(spark, sf_dir), "price", "label").withColumn("bin_start", F.round("bin_start", 6))
 
 
-@query(
-    "eda_kde",
-    WITH_L
-    + ", c as (select label, quantity as x, count(*) as n from l group by 1, 2), "
-    "e as (select min(quantity) as low, max(quantity) as high from l), "
-    "s as (select label, count(*) as total, stddev_samp(quantity) * pow(count(*), -0.2) as bw from l group by 1), "
-    "g as (select cast(unnest(range(200)) as int) as point) "
-    "select c.label, point, round(any_value(low) + point * ((any_value(high) - any_value(low)) / 199), 6) as x, "
-    "round(sum(n * exp(-0.5 * pow((low + point * ((high - low) / 199) - c.x) / bw, 2))) / (any_value(total) * any_value(bw) * sqrt(2 * pi())), 6) as density "
-    "from c join s using (label), e, g group by 1, 2",
-)
-def eda_kde(spark, sf_dir):
-    return eda.density(labelled_lines(spark, sf_dir), "quantity", "label").withColumns(
-        {"x": F.round("x", 6), "density": F.round("density", 6)}
+def _kde_sql(column: str) -> str:
+    return (
+        WITH_L
+        + f", c as (select label, {column} as x, count(*) as n from l group by 1, 2), "
+        f"e as (select min({column}) as low, max({column}) as high from l), "
+        f"s as (select label, count(*) as total, stddev_samp({column}) * pow(count(*), -0.2) as bw from l group by 1), "
+        "g as (select cast(unnest(range(200)) as int) as point) "
+        "select c.label, point, round(any_value(low) + point * ((any_value(high) - any_value(low)) / 199), 6) as x, "
+        "round(sum(n * exp(-0.5 * pow((low + point * ((high - low) / 199) - c.x) / bw, 2))) / (any_value(total) * any_value(bw) * sqrt(2 * pi())), {digits}) as density "
+        "from c join s using (label), e, g group by 1, 2"
     )
 
 
+def _kde(spark, sf_dir, column: str, digits: int):
+    found = eda.density(labelled_lines(spark, sf_dir), column, "label")
+    return found.withColumns({"x": F.round("x", 6), "density": F.round("density", digits)})
+
+
+@query("eda_kde", _kde_sql("quantity").replace("{digits}", "6"))
+def eda_kde(spark, sf_dir):
+    return _kde(spark, sf_dir, "quantity", 6)
+
+
+@query("eda_kde_price", _kde_sql("price").replace("{digits}", "11"))
+def eda_kde_price(spark, sf_dir):
+    """A column whose values hardly repeat."""
+    return _kde(spark, sf_dir, "price", 11)
+
+
+# 36 columns with holes of different rows: sums and shifts of the measured ones.
+WIDE = {
+    f"w{i}": f"case when (l_orderkey + {i} * l_linenumber) % {i % 5 + 7} = 0 then null else "
+    f"l_quantity * {i % 7 - 3} + l_extendedprice / {100 + 13 * i} + l_discount * {i * i} + l_tax * {40 - i} end"
+    for i in range(36)
+}
+
+
+def _wide_sql() -> str:
+    """All pairs by DuckDB's corr over the rows where both are present."""
+    wide = ", ".join(f"{e} as {c}" for c, e in WIDE.items())
+    pairs = [(a, b) for a in WIDE for b in WIDE]
+    cells = ", ".join(f"{{'col_a': '{a}', 'col_b': '{b}', 'r': round(corr({a}, {b}), 6)}}" for a, b in pairs)
+    return f"select c.col_a, c.col_b, c.r from (select unnest([{cells}]) as c from (select {wide} from lineitem))"
+
+
+@query("eda_corr_wide", _wide_sql())
+def eda_corr_wide(spark, sf_dir):
+    wide = table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} as {c}" for c, e in WIDE.items()])
+    return eda.correlation_matrix(wide, list(WIDE)).withColumn("r", F.round("r", 6))
+
+
 def _box_sql(c: str) -> str:
     return (
         f"select '{c}' as column_name, label, round(q25, 4) as q25, round(q50, 4) as q50, round(q75, 4) as q75, "

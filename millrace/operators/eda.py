@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.scalars import to_number
@@ -12,9 +14,11 @@ from millrace.operators.counts import modes
 from millrace.operators.quality import FENCE_FACTOR
 from millrace.operators.quantiles import QUARTILES, exact_quantiles, fit_quantiles, long_numbers
 from millrace.operators.schema import dtype_of, numeric_columns, text_columns
-from millrace.session import settle_small
+from millrace.session import write_through
 
 GRID_POINTS = 200
+#: Bandwidths that a value reaches: exp(-9 * 9 / 2) is 3e-18.
+REACH = 9.0
 
 
 def describe(df: DataFrame) -> DataFrame:
@@ -90,58 +94,75 @@ def count_by_label(df: DataFrame, columns: Sequence[str], label: str) -> DataFra
     )
 
 
+def _ends(x: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.min(x, axis=0, where=rows, initial=np.inf), np.max(x, axis=0, where=rows, initial=-np.inf)
+
+
+def _gram(batches: Iterable[pa.RecordBatch], centres: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sums over the rows where both columns of a pair are present, a row per pair for the whole task.
+
+    With M the presence mask and X the centred cells, holes as zeros, the sums of all pairs are
+    the products M'M, X'X, X'M and (X*X)'M, batch by batch.
+    """
+    k = len(centres)
+    n, shared, sums, squares = (np.zeros((k, k)) for _ in range(4))
+    low, high = np.full((k, k), np.inf), np.full((k, k), -np.inf)
+    for batch in batches:
+        raw = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float)
+        mask = ~np.isnan(raw)
+        x = np.where(mask, raw - centres, 0.0)
+        m = mask.astype(float)
+        n += m.T @ m
+        shared += x.T @ x
+        sums += x.T @ m
+        squares += (x * x).T @ m
+        ends = _ends(x, mask)
+        for j in range(k):
+            # Against a complete column every column keeps all its rows.
+            low_j, high_j = ends if mask[:, j].all() else _ends(x, mask & mask[:, j : j + 1])
+            low[:, j], high[:, j] = np.minimum(low[:, j], low_j), np.maximum(high[:, j], high_j)
+    i, j = left, right
+    yield pa.record_batch({
+        "pair": np.arange(len(left)), "n": n[i, j], "shared": shared[i, j], "sum_a": sums[i, j], "sum_b": sums[j, i],
+        "square_a": squares[i, j], "square_b": squares[j, i], "low_a": low[i, j], "high_a": high[i, j], "low_b": low[j, i], "high_b": high[j, i],
+    })
+
+
 def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """(col_a, col_b, r) per pair over the rows where both are present; NULL without spread.
 
-    A first pass learns centre and completeness of each column, a second sums products of
-    centred values. Sums of a complete column are shared by all its pairs, so a matrix
-    costs about one plain sum per pair instead of a moment aggregate for each side of it.
-    The many aggregates are written as SQL text: one call into the JVM each.
+    A first pass learns the centre of each column, a second sums products of centred cells for
+    all pairs at once, as products of matrices, batch by batch. A task hands on one row per pair,
+    and the pairs are summed apart from each other, so a wide table stays a short plan.
     """
     columns = list(dict.fromkeys(c for pair in pairs for c in pair))
     place = {c: i for i, c in enumerate(columns)}
     numbers = df.select(*[to_number(F.col(c), dtype_of(df, c)).alias(f"y{i}") for c, i in place.items()])
-    facts = ("count", "avg", "min", "max")
-    seen = numbers.agg(
-        F.expr("count(1) as rows"),
-        *[F.expr(f"{fact}(y{i}) as {fact}{i}") for i in place.values() for fact in facts],
-    ).first()
+    facts = ("avg", "min", "max")
+    seen = numbers.agg(*[F.expr(f"{fact}(y{i}) as {fact}{i}") for i in place.values() for fact in facts]).first()
 
     def centre(i: int) -> float:
         # A constant column is centred on itself, so its spread is exactly 0.
         low = seen[f"min{i}"]
         return 0.0 if low is None else float(low if low == seen[f"max{i}"] else seen[f"avg{i}"])
 
-    complete = {i for i in place.values() if seen[f"count{i}"] == seen["rows"]}
-    centred = numbers.selectExpr(*[f"y{i} - double('{centre(i)!r}') as x{i}" for i in place.values()])
-    sums: dict[str, str] = {}
-    cells = []
-    for left, right in pairs:
-        a, b = sorted((place[left], place[right]))
-        sums[f"p_{a}_{b}"] = f"sum(x{a} * x{b})"
-        if {a, b} <= complete:
-            n, tail = f"double({seen['rows']})", ""
-            for i in (a, b):
-                sums[f"s_{i}"] = f"sum(x{i})"
-                sums[f"q_{i}"] = f"sum(x{i} * x{i})"
-        else:
-            n, tail = f"double(n_{a}_{b})", f"_{a}_{b}"
-            both = f"x{a} is not null and x{b} is not null"
-            sums[f"n_{a}_{b}"] = f"count_if({both})"
-            for i in (a, b):
-                sums[f"s_{i}{tail}"] = f"sum(x{i}) filter (where {both})"
-                sums[f"q_{i}{tail}"] = f"sum(x{i} * x{i}) filter (where {both})"
-                # A column may be constant on the shared rows only: rounding must not give it a spread.
-                sums[f"v_{i}{tail}"] = f"max(x{i}) filter (where {both}) > min(x{i}) filter (where {both})"
-        sa, sb = f"s_{a}{tail}", f"s_{b}{tail}"
-        shared = f"p_{a}_{b} - try_divide({sa} * {sb}, {n})"
-        spread_a = f"(q_{a}{tail} - try_divide({sa} * {sa}, {n}))"
-        spread_b = f"(q_{b}{tail} - try_divide({sb} * {sb}, {n}))"
-        varies = "true" if not tail else f"v_{a}{tail} and v_{b}{tail}"
-        r = F.expr(f"case when {varies} then try_divide({shared}, sqrt({spread_a} * {spread_b})) end as r")
-        cells.append(F.struct(F.lit(left).alias("col_a"), F.lit(right).alias("col_b"), r))
-    one = centred.agg(*[F.expr(f"{text} as {name}") for name, text in sums.items()])
-    return one.select(F.inline(F.array(*cells)))
+    centres = np.array([centre(i) for i in place.values()])
+    left, right = np.array([place[a] for a, _ in pairs]), np.array([place[b] for _, b in pairs])
+    parts = ["n", "shared", "sum_a", "sum_b", "square_a", "square_b"]
+    ends = ["low_a", "high_a", "low_b", "high_b"]
+    schema = "pair long, " + ", ".join(f"{c} double" for c in (*parts, *ends))
+    blocks = numbers.mapInArrow(lambda batches: _gram(batches, centres, left, right), schema)
+    total = blocks.groupBy("pair").agg(
+        *[F.sum(c).alias(c) for c in parts], *[(F.min if c.startswith("low") else F.max)(c).alias(c) for c in ends]
+    )
+    spread = "(square_{0} - try_divide(sum_{0} * sum_{0}, n))"
+    # A column may be constant on the shared rows only: rounding must not give it a spread.
+    r = F.expr(
+        "case when high_a > low_a and high_b > low_b then try_divide(shared - try_divide(sum_a * sum_b, n), "
+        f"sqrt({spread.format('a')} * {spread.format('b')})) end"
+    )
+    named = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair long, col_a string, col_b string")
+    return named.join(total, "pair", "left").select("col_a", "col_b", r.alias("r"))
 
 
 def correlation_with_label(df: DataFrame, label: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -195,36 +216,38 @@ def histogram(df: DataFrame, column: str, label: str) -> DataFrame:
 def density(df: DataFrame, column: str, label: str, points: int = GRID_POINTS) -> DataFrame:
     """Gaussian density per label on a shared grid from minimum to maximum, Scott bandwidth.
 
-    Exact: equal values are counted first, then each (label, value) row adds to every grid
-    point inside a partial aggregate, so only labels x grid points rows are shuffled.
+    Equal values are counted first. A value reaches only the grid points within ``REACH``
+    bandwidths: beyond that the kernel is below 1e-17, less than the rounding of a sum. So the more
+    rows, and the narrower the bandwidth, the fewer points a row adds to. It does so inside a
+    partial aggregate: only labels x grid points rows are shuffled.
     """
     x = to_number(F.col(column), dtype_of(df, column))
-    counts = (
-        df.where(x.isNotNull()).groupBy(F.col(label).alias("label"), x.alias("x")).agg(F.count(F.lit(1)).alias("n"))
-    )
-    ends = df.agg(F.min(x).alias("low"), F.max(x).alias("high")).first()
-    low, high = ends["low"], ends["high"]
+    known = df.where(x.isNotNull()).select(F.col(label).alias("label"), x.alias("x"))
+    counts = known.groupBy("label", "x").agg(F.count(F.lit(1)).alias("n"))
+    ends = known.agg(F.min("x").alias("low"), F.max("x").alias("high")).first()
+    low, high = ends["low"] or 0.0, ends["high"] or 0.0
     step = (high - low) / (points - 1)
-    spread = df.where(x.isNotNull()).groupBy(F.col(label).alias("_label")).agg(
-        F.count(F.lit(1)).alias("total"), F.stddev_samp(x).alias("sd")
-    )
-    spread = spread.where("sd > 0").select(
-        "_label", "total", (F.col("sd") * F.pow(F.col("total").cast("double"), F.lit(-0.2))).alias("bw")
-    )
-    table, _ = settle_small(spread)
+    spread = known.groupBy(F.col("label").alias("_label")).agg(F.count(F.lit(1)).alias("total"), F.stddev_samp("x").alias("sd"))
+    bandwidth = F.col("sd") * F.pow(F.col("total").cast("double"), F.lit(-0.2))
+    spread = write_through(spread.where("sd > 0").select("_label", "total", bandwidth.alias("bw")), "density-labels")
     at = F.lit(low) + F.col("point") * F.lit(step)
     kernel = F.col("n") * F.exp(-0.5 * F.pow((at - F.col("x")) / F.col("bw"), F.lit(2.0)))
-    return (
-        counts.join(table, F.col("label").eqNullSafe(F.col("_label")))
-        .select("label", "x", "n", "total", "bw", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-        .groupBy("label", "point", "total", "bw")
+    # A label with a spread lies between two different ends, so the step is not 0.
+    first = F.greatest(F.lit(0.0), F.ceil((F.col("x") - REACH * F.col("bw") - F.lit(low)) / F.lit(step or 1.0)))
+    last = F.least(F.lit(points - 1.0), F.floor((F.col("x") + REACH * F.col("bw") - F.lit(low)) / F.lit(step or 1.0)))
+    near = F.when(first <= last, F.sequence(first.cast("int"), last.cast("int")))
+    mass = (
+        counts.join(spread, F.col("label").eqNullSafe(F.col("_label")))
+        .select("label", "x", "n", "bw", F.explode(near).alias("point"))
+        .groupBy(F.col("label").alias("_of"), F.col("point").alias("_point"))
         .agg(F.sum(kernel).alias("mass"))
-        .select(
-            "label",
-            "point",
-            at.alias("x"),
-            (F.col("mass") / (F.col("total") * F.col("bw") * math.sqrt(2.0 * math.pi))).alias("density"),
-        )
+    )
+    grid = spread.select(F.col("_label").alias("label"), "total", "bw", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    return grid.join(mass, F.col("label").eqNullSafe(F.col("_of")) & (F.col("point") == F.col("_point")), "left").select(
+        "label",
+        "point",
+        at.alias("x"),
+        (F.coalesce("mass", F.lit(0.0)) / (F.col("total") * F.col("bw") * math.sqrt(2.0 * math.pi))).alias("density"),
     )
 
 
@@ -241,12 +264,11 @@ def box_plot(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
         (F.col("q25") - spread).alias("lower"),
         (F.col("q75") + spread).alias("upper"),
     )
-    table, _ = settle_small(fences)
     x = F.col("x")
     inside = (x >= F.col("lower")) & (x <= F.col("upper"))
     return (
         long_numbers(df, columns, [label])
-        .join(table, F.col(label).eqNullSafe(F.col("_label")) & (F.col("column_name") == F.col("_column")))
+        .join(fences, F.col(label).eqNullSafe(F.col("_label")) & (F.col("column_name") == F.col("_column")))
         .groupBy("column_name", F.col(label).alias("label"), "q25", "q50", "q75")
         .agg(
             F.min(F.when(inside, x)).alias("whisker_low"),

@@ -1,25 +1,27 @@
-"""Exact quantiles that never gather a column in one task.
+"""Exact quantiles by counting, without gathering or sorting a column.
 
-Spark's ``percentile`` keeps every distinct value of a group in one hash map on one
-reducer. Here, at every size, a bounded sketch brackets each wanted rank first; a second pass
-counts what lies outside the brackets and keeps single values only inside them, about
-4/accuracy of the rows. The sketch only decides how much work is left, never the result: a rank outside
-its bracket raises an error.
+Radix selection: doubles are mapped to integers of the same order, and the values of each
+column and group are counted by their leading bits. The running sum of the counts shows which
+leading bits hold each wanted rank; only values with those bits are counted again by their next
+bits, until a span holds one distinct value. At most four scans serve all columns, groups and
+ranks; counts are summed per task before they are shuffled, and a window never sees more
+than 2^20 rows, whatever the table holds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import add, or_
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.scalars import to_number
 from millrace.operators.schema import dtype_of
-from millrace.session import cut_lineage
+from millrace.session import write_through
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+#: How far the key is shifted in each scan: 20, 36, 50 and all 64 leading bits.
+SHIFTS = (44, 28, 14, 0)
 
 
 def long_numbers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -30,62 +32,89 @@ def long_numbers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
     return df.select(*by, F.inline(F.array(*cells))).where("x is not null")
 
 
+def with_order_key(df: DataFrame, x: str, key: str) -> DataFrame:
+    """Add ``key``: the double column ``x`` as a bigint of the same order; -0.0 and 0.0 are equal.
+
+    The key is made of exponent and fraction. The exponent is estimated by a logarithm and set
+    right by the scaled value; powers of two scale without rounding. Each step is a column of
+    its own, so that it is computed once.
+    """
+    estimate = f"least(1023D, floor(log2(greatest(abs({x}), 2.2250738585072014E-308D))))"
+    placed = (
+        f"case when abs({x}) = double('inf') then 9218868437227405312 "
+        "when _scaled >= 2D then (cast(_power as bigint) + 1023) * 4503599627370496 + cast(_scaled * 2251799813685248D as bigint) "
+        "when _scaled < 1D and _power > -1022D then (cast(_power as bigint) + 1021) * 4503599627370496 + cast(_scaled * 9007199254740992D as bigint) "
+        "else (cast(_power as bigint) + 1022) * 4503599627370496 + cast(_scaled * 4503599627370496D as bigint) end"
+    )
+    return (
+        df.withColumn("_power", F.expr(estimate))
+        .withColumn("_scaled", F.expr(f"abs({x}) / pow(2D, _power)"))
+        .withColumn("_key", F.expr(placed))
+        .withColumn(key, F.expr(f"case when {x} < 0D then -_key else _key end"))
+        .drop("_power", "_scaled", "_key")
+    )
+
+
+def _ranks(size: Column, probs: Mapping[str, float]) -> list[tuple[Column, Column, Column]]:
+    """Per probability the ranks around its place, and how far the place lies between them."""
+    out = []
+    for p in probs.values():
+        place = (size - 1) * F.lit(float(p))
+        low = F.floor(place)
+        out.append((low, F.least(low + 1, size - 1), place - low))
+    return out
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Mapping[str, float] = QUARTILES,
     by: Sequence[str] = (),
-    accuracy: int = 100_000,
 ) -> DataFrame:
     """Linearly interpolated quantiles per column and group: (*by, column_name, n, *probs)."""
-    long = long_numbers(df, columns, by)
-    keys = [*by, "column_name"]
-    names = list(probs)
-    margin = 2.0 / accuracy
-    wanted = []
-    for p in probs.values():
-        wanted += [max(0.0, p - margin), min(1.0, p + margin)]
-    sketch = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("x", wanted, accuracy).alias("b")
-    )
-    sketch = sketch.select(
-        *[F.col(k).alias(f"_{k}") for k in keys],
-        "n",
-        *[F.col("b")[2 * i].alias(f"lo{i}") for i in range(len(names))],
-        *[F.col("b")[2 * i + 1].alias(f"hi{i}") for i in range(len(names))],
-    )
-    brackets = cut_lineage(sketch)
-    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-
-    x = F.col("x")
-    spans = [(F.col(f"lo{i}"), F.col(f"hi{i}")) for i in range(len(names))]
-    zone = reduce(add, [F.when(x >= lo, 1).otherwise(0) + F.when(x > hi, 1).otherwise(0) for lo, hi in spans])
-    inside = reduce(or_, [(x >= lo) & (x <= hi) for lo, hi in spans])
-    runs = (
-        long.join(brackets, match)
-        .groupBy(*keys, "n", zone.alias("zone"), F.when(inside, x).alias("v"))
-        .agg(F.count(F.lit(1)).alias("m"), F.min("x").alias("first_x"), F.max("x").alias("last_x"))
-    )
-    order = Window.partitionBy(*keys).orderBy("zone", "v").rowsBetween(Window.unboundedPreceding, 0)
-    runs = runs.withColumn("end", F.sum("m").over(order)).withColumn("start", F.col("end") - F.col("m"))
-
-    def value_at(rank):
-        found = (
-            F.when(F.col("v").isNotNull(), F.col("v"))
-            .when(F.col("end") == rank + 1, F.col("last_x"))
-            .when(F.col("start") == rank, F.col("first_x"))
-            .otherwise(F.raise_error(F.lit("quantile outside its bracket; raise accuracy")).cast("double"))
-        )
-        return F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), found))
-
+    groups = [f"_by{i}" for i in range(len(by))]
+    cells = with_order_key(long_numbers(df, columns, by).toDF(*groups, "column_name", "x"), "x", "key")
+    keys = [*groups, "column_name"]
+    spans = _scan(cells, keys, probs, SHIFTS[0], None)
+    settled = [spans.where("low = high")]
+    for above, shift in zip(SHIFTS, SHIFTS[1:]):
+        open_spans = spans.where("low < high")
+        if open_spans.isEmpty():
+            break
+        spans = _scan(cells, keys, probs, shift, (open_spans, above))
+        settled.append(spans.where("low = high"))
+    found = reduce(DataFrame.unionByName, settled)
     picks, outputs = [], []
-    for i, (name, p) in enumerate(probs.items()):
-        place = (F.col("n") - 1) * F.lit(float(p))
-        low = F.floor(place)
-        high = F.least(low + 1, F.col("n") - 1)
-        picks += [value_at(low).alias(f"a{i}"), value_at(high).alias(f"z{i}")]
-        outputs.append((F.col(f"a{i}") + (place - low) * (F.col(f"z{i}") - F.col(f"a{i}"))).alias(name))
-    return runs.groupBy(*keys, "n").agg(*picks).select(*keys, "n", *outputs)
+    for i, (name, (low, high, part)) in enumerate(zip(probs, _ranks(F.col("size"), probs))):
+        for end, rank in (("a", low), ("z", high)):
+            picks.append(F.max(F.when(F.array_contains("wanted", rank), F.col("low"))).alias(f"{end}{i}"))
+        a, z = F.col(f"a{i}"), F.col(f"z{i}")
+        outputs.append(F.when(a == z, a).otherwise(a + part * (z - a)).alias(name))
+    named = [F.col(g).alias(b) for g, b in zip(groups, by)]
+    return found.groupBy(*keys, "size").agg(*picks).select(*named, "column_name", F.col("size").alias("n"), *outputs)
+
+
+def _scan(cells: DataFrame, keys: list[str], probs: Mapping[str, float], shift: int, inside: tuple[DataFrame, int] | None) -> DataFrame:
+    """The spans of keys with equal leading bits that hold a wanted rank, with their ends and what lies before them."""
+    outer = list(keys)
+    if inside:
+        spans, above = inside
+        known = spans.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("prefix").alias("above"), F.col("start").alias("base"), "size")
+        match = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.shiftright("key", above) == F.col("above")]
+        cells = cells.join(known, reduce(lambda a, b: a & b, match))
+        outer += ["above", "base", "size"]
+    counted = cells.groupBy(*outer, F.shiftright("key", shift).alias("prefix")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high")
+    )
+    before = Window.partitionBy(*outer).orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+    base = F.col("base") if inside else F.lit(0)
+    counted = counted.withColumn("start", base + F.coalesce(F.sum("n").over(before), F.lit(0)))
+    if not inside:
+        counted = counted.withColumn("size", F.sum("n").over(Window.partitionBy(*outer)))
+    ranks = F.array_distinct(F.array(*[r for low, high, _ in _ranks(F.col("size"), probs) for r in (low, high)]))
+    wanted = F.filter(ranks, lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("n")))
+    held = counted.withColumn("wanted", wanted).where(F.size("wanted") > 0)
+    return write_through(held.select(*keys, "size", "prefix", "start", "low", "high", "wanted"), "quantile-spans")
 
 
 def fit_quantiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float] = QUARTILES) -> dict:

@@ -9,32 +9,44 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scalars import label_to_int, text_to_number
 from millrace.operators import counts, eda, encode, impute, metrics
-from millrace.operators.quantiles import exact_quantiles
+from millrace.operators.quantiles import exact_quantiles, with_order_key
 
 
 @pytest.mark.parametrize("values", [
     [1.0], [1.0, 2.0], [3.0, 1.0, 2.0, 2.0], list(range(101)), [5.0] * 40 + [6.0], [float(v) ** 3 for v in range(-50, 51)],
 ])
-@pytest.mark.parametrize("accuracy", [100_000, 1000, 20])
-def test_quantiles_equal_numpy(spark, values, accuracy):
+def test_quantiles_equal_numpy(spark, values):
     probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "x double")
-    row = exact_quantiles(df, ["x"], probs, accuracy=accuracy).first()
+    row = exact_quantiles(df, ["x"], probs).first()
     assert row.n == len(values)
     for name, p in probs.items():
         assert row[name] == pytest.approx(np.quantile(values, p))
 
 
-def test_coarse_brackets_stay_exact(spark):
-    """A bracket of a few percent of the rows leaves most values out of the second pass."""
+def test_quantiles_by_group(spark):
+    """Groups, a missing one included; values so near to each other that all four scans are needed."""
     rnd = np.random.default_rng(1)
-    values = rnd.lognormal(size=20_000)
-    df = spark.createDataFrame(pd.DataFrame({"x": values, "g": rnd.integers(0, 2, 20_000)}))
-    got = {r.g: r for r in exact_quantiles(df, ["x"], by=["g"], accuracy=100).collect()}
-    pdf = df.toPandas()
-    for g, part in pdf.groupby("g"):
-        for name, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
-            assert got[g][name] == pytest.approx(part.x.quantile(p))
+    near = 1.0 + np.arange(3000) % 700 * 2.0**-52
+    values = np.concatenate([rnd.lognormal(size=20_000), -rnd.lognormal(size=500), near, [0.0, -0.0, 5e-324, -5e-324, 1e308]])
+    groups = [None if g == 2 else str(g) for g in rnd.integers(0, 3, len(values))]
+    df = spark.createDataFrame(list(zip(values.tolist(), groups)), "x double, g string")
+    probs = {f"p{i}": i / 40 for i in range(41)}
+    got = {r.g: r for r in exact_quantiles(df, ["x"], probs, by=["g"]).collect()}
+    for g in (None, "0", "1"):
+        part = values[[x == g for x in groups]]
+        assert got[g].n == len(part)
+        assert [got[g][name] for name in probs] == pytest.approx([np.quantile(part, p) for p in probs.values()], rel=1e-15)
+
+
+def test_order_key_is_the_order_of_doubles(spark):
+    rnd = np.random.default_rng(2)
+    bits = rnd.integers(-(2**63), 2**63 - 1, 200_000).view(np.float64)
+    powers = [s * np.nextafter(2.0**k, d) for k in range(-1074, 1024) for s in (1, -1) for d in (0, 2.0**k, np.inf)]
+    values = np.concatenate([bits[np.isfinite(bits)], powers, [0.0, -0.0, 5e-324, np.inf, -np.inf, np.finfo(float).max]])
+    made = with_order_key(spark.createDataFrame(pd.DataFrame({"x": values})), "x", "key").toPandas()
+    want = np.abs(made.x.to_numpy()).view(np.int64) * np.where(made.x < 0, -1, 1)
+    assert (made.key.to_numpy() == want).all()
 
 
 def test_all_missing_column_has_no_quantiles(spark):
