@@ -88,8 +88,9 @@ def chained_by_rows(x, rounds):
     return filled
 
 
-@pytest.mark.parametrize("columns", [2, 4])
-def test_chained_imputation_equals_the_row_wise_chain(spark, columns):
+@pytest.mark.parametrize("columns,held", [(2, True), (4, True), (2, False)])
+def test_chained_imputation_equals_the_row_wise_chain(spark, monkeypatch, columns, held):
+    monkeypatch.setattr(impute, "FEW_PATTERNS", impute.FEW_PATTERNS if held else 0)
     rnd = np.random.default_rng(columns)
     base = rnd.normal(size=(400, 2))
     x = np.column_stack([base @ rnd.normal(size=2) + 0.3 * rnd.normal(size=400) + 5 for _ in range(columns)])
@@ -109,10 +110,35 @@ def test_chained_imputation_with_holes_in_twenty_columns(spark):
     x[rnd.random(x.shape) < 0.1] = np.nan
     names = [f"c{i}" for i in range(20)]
     df = spark.createDataFrame(pd.DataFrame(x, columns=names).assign(row=range(300))).repartition(5)
-    got = impute.impute_chained(df, names).orderBy("row").select(*names).toPandas().to_numpy()
-    np.testing.assert_allclose(got, chained_by_rows(x, 20), rtol=1e-6, atol=1e-6)
-    with pytest.raises(ValueError, match="missingness patterns"):
-        impute.fit_chained(df, names, max_patterns=10)
+    got = impute.impute_chained(df, names, rounds=3).orderBy("row").select(*names).toPandas().to_numpy()
+    np.testing.assert_allclose(got, chained_by_rows(x, 3), rtol=1e-6, atol=1e-6)
+
+
+def test_chained_imputation_with_more_patterns_than_ever_fit_a_list(spark):
+    """More than 20,000 patterns of holes in 20 columns: one round, against row-wise regressions."""
+    rnd = np.random.default_rng(21)
+    rows = 24_000
+    x = rnd.normal(size=(rows, 3)) @ rnd.normal(size=(3, 20)) + 0.3 * rnd.normal(size=(rows, 20))
+    x[rnd.random(x.shape) < 0.4] = np.nan
+    names = [f"c{i}" for i in range(20)]
+    assert len(np.unique(np.isnan(x), axis=0)) >= 20_000
+    df = spark.createDataFrame(pd.DataFrame(x, columns=names).assign(row=range(rows))).repartition(8)
+    got = impute.impute_chained(df, names, rounds=1).orderBy("row").select(*names).toPandas().to_numpy()
+    np.testing.assert_allclose(got, chained_by_rows(x, 1), rtol=1e-6, atol=1e-6)
+
+
+def test_patterns_unseen_when_fitting(spark):
+    """A row that misses more than any row of the fit did is filled by the same regressions."""
+    rnd = np.random.default_rng(22)
+    x = rnd.normal(size=(300, 1)) * [1.0, 2.0, -1.0] + 0.1 * rnd.normal(size=(300, 3))
+    x[::7, 0], x[3::7, 1] = np.nan, np.nan
+    model = impute.fit_chained(spark.createDataFrame(pd.DataFrame(x, columns=["a", "b", "c"])), ["a", "b", "c"])
+    row = impute.apply_chained(spark.createDataFrame([(None, None, 3.0)], "a double, b double, c double"), model).first()
+    want = {0: model["means"][0], 1: model["means"][1]}
+    for target, w in model["steps"]:
+        cells = np.array([want[0], want[1], 3.0]) - model["means"]
+        want[target] = model["means"][target] + w[0] + w[1:] @ cells
+    assert (row.a, row.b, row.c) == (pytest.approx(want[0]), pytest.approx(want[1]), 3.0)
 
 
 def test_ridge_recovers_a_linear_relation():
