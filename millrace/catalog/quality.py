@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.catalog.inputs import (
     DIRTY_ORDERS,
     DIRTY_ORDERS_SQL,
+    SOURCE_A,
     SOURCE_A_SQL,
     SOURCE_B_SQL,
     dirty_orders,
@@ -181,87 +182,116 @@ def dq_iqr_outliers(spark, sf_dir):
 
 
 ORDER_RULES = quality.Rules(
-    ranges={"price": (1000, 400000), "zero": (0, 1), "absent": (0, 1)},
+    ranges={"price": (1000, 400000), "zero": (0, 1), "absent": (0, 1), "amount_text": (1000, 400000)},
     sets={"priority": ["1-URGENT", "2-HIGH", "5-LOW"], "status": ["O", "F", "P"], "no_such": ["x"]},
     key="dup_key",
     ignore=("flag",),
 )
+# The text column price_text once more, but with a range: then it is read as numbers.
+REPORT_ORDERS_SQL = f"select *, price_text as amount_text from ({DIRTY_ORDERS_SQL})"
 
 
-def _text(expression: str, n: str, of: str = "count(*)") -> str:
-    return f"printf('{expression}', {n}, {of}, {n} * 100.0 / {of})"
+def report_orders(spark, sf_dir):
+    return dirty_orders(spark, sf_dir).withColumn("amount_text", F.col("price_text"))
 
 
-def report_sql() -> str:
+def _text(expression: str, n: str) -> str:
+    return f"printf('{expression}', {n}, count(*), {n} * 100.0 / count(*))"
+
+
+def report_sql(source: str, names, numbers, texts, rules, as_number=()) -> str:
+    """The report of ``source`` by ``rules``: names of all, of the numeric and of the text columns; text to read as numbers."""
     rows = "(select count(*) from d)"
     parts = []
 
-    def add(order, section, column, check, message, n, source="d"):
+    def add(order, section, column, check, message, n, of="d"):
         parts.append(
             f"select {order} as check_order, '{section}' as section, '{column}' as column_name, '{check}' as \"check\", "
-            f"{message} as message, cast({n} as bigint) as n, {rows} as n_rows from {source}"
+            f"{message} as message, cast({n} as bigint) as n, {rows} as n_rows from {of}"
         )
 
-    for c in NAMES:
+    def number(c):
+        return f"try_cast(trim({c}) as double)" if c in as_number else f"cast({c} as double)"
+
+    for c in names:
         n = f"count(*) filter ({c} is null)"
         add(1, "missing_data", c, "missing", f"printf('%d missing (%.2f%%)', {n}, {n} * 100.0 / count(*))", n)
-    n = "count(*) filter (price < 1000 or price > 400000)"
-    out_of = _text("%d out of %d rows (%.2f%%)", n)
-    add(2, "columns", "price", "range", f"{out_of} || ' are outside the expected range (1000, 400000).'", n)
     binary = f"'{quality.BINARY_MESSAGE}'"
-    add(2, "columns", "zero", "range", binary, "null", "(select 1)")
-    add(2, "columns", "absent", "range", "'absent column not found.'", "null", "(select 1)")
-    wide = f"'{quality.WIDE_NUMERIC_MESSAGE}'"
-    add(3, "columns", "id", "outliers", wide, "null", "(select 1)")
-    for c in ("custkey", "dup_key"):
-        n = f"count(*) filter ({c} < q25 - 1.5 * (q75 - q25) or {c} > q75 + 1.5 * (q75 - q25))"
-        q = f"d, (select quantile_cont({c}, 0.25) as q25, quantile_cont({c}, 0.75) as q75 from d)"
-        message = _text("%d out of %d rows (%.2f%%)", n) + " || ' are outliers.'"
-        add(3, "columns", c, "outliers", message, n, q)
-        add(7, "outliers", c, "outliers", message, n, q)
-    n = "count(*) filter (price < q25 - 1.5 * (q75 - q25) or price > q75 + 1.5 * (q75 - q25))"
-    q = "d, (select quantile_cont(price, 0.25) as q25, quantile_cont(price, 0.75) as q75 from d)"
-    add(7, "outliers", "price", "outliers", _text("%d out of %d rows (%.2f%%)", n) + " || ' are outliers.'", n, q)
-    add(7, "outliers", "zero", "outliers", binary, "null", "(select 1)")
-    bad = "count(*) filter (priority is null or priority not in ('1-URGENT', '2-HIGH', '5-LOW'))"
-    add(
-        4, "columns", "priority", "set",
-        _text("%d invalid values out of %d rows (%.2f%%).", bad) + " || ' Found: [3-MEDIUM, NULL].'", bad,
-    )
-    add(4, "columns", "status", "set", _text("0 invalid values out of %d rows (0.00%%).", "count(*)", "1").replace("%d", "%d").replace(", 1, count(*) * 100.0 / 1", "") + " || ' (All values valid)'", "0")
-    add(4, "columns", "no_such", "set", "'no_such column not found.'", "null", "(select 1)")
-    add(5, "columns", "const", "values", "'Unique values: [x, NULL]'", "2", "(select 1)")
-    parts.append(
-        "select 5, 'columns', 'price_text', 'values', case when u >= 0.9 * n then 'High-cardinality column with ' || u || "
-        f"' unique values; details omitted.' else u || ' unique values; see unique_values.' end, cast(null as bigint), {rows} "
-        "from (select count(distinct price_text) as u, count(*) as n from d)"
-    )
-    dup = "(count(*) - count(distinct dup_key))"
-    add(6, "duplicates", "dup_key", "duplicates", _text("%d duplicate rows found out of %d rows (%.2f%%).", dup), dup)
+    for c, (low, high) in rules.ranges.items():
+        if c not in names:
+            add(2, "columns", c, "range", f"'{c} column not found.'", "null", "(select 1)")
+            continue
+        n = f"count(*) filter ({number(c)} < {low} or {number(c)} > {high})"
+        two = f"count(distinct {number(c)}) <= 2"
+        add(2, "columns", c, "range", f"case when {two} then {binary} else {_text('%d out of %d rows (%.2f%%)', n)} || ' are outside the expected range ({low}, {high}).' end", f"case when {two} then null else {n} end")
+    extra_numbers = [c for c in numbers if c not in rules.ranges and c not in rules.ignore]
+    for c in extra_numbers:
+        parts.append(f"select 3, 'columns', '{c}', 'outliers', '{quality.WIDE_NUMERIC_MESSAGE}', cast(null as bigint), {rows} from (select count(distinct {c}) as u, count(*) as n from d) where u >= 0.9 * n")
+    for c in [*(c for c in rules.ranges if c in names), *extra_numbers]:
+        n = f"count(*) filter ({number(c)} < q25 - 1.5 * (q75 - q25) or {number(c)} > q75 + 1.5 * (q75 - q25))"
+        q = f"d, (select quantile_cont({number(c)}, 0.25) as q25, quantile_cont({number(c)}, 0.75) as q75 from d)"
+        two = f"count(distinct {number(c)}) <= 2"
+        message = f"case when {two} then {binary} else {_text('%d out of %d rows (%.2f%%)', n)} || ' are outliers.' end"
+        narrow = f" having count(distinct {c}) < 0.9 * count(*)" if c in extra_numbers else ""
+        if c in extra_numbers:
+            add(3, "columns", c, "outliers", message, f"case when {two} then null else {n} end", q + narrow)
+        add(7, "outliers", c, "outliers", message, f"case when {two} then null else {n} end", q + narrow)
+    for c, allowed in rules.sets.items():
+        if c not in names:
+            add(4, "columns", c, "set", f"'{c} column not found.'", "null", "(select 1)")
+            continue
+        values = ", ".join(f"'{v}'" for v in allowed)
+        bad = f"({c} is null or {c} not in ({values}))"
+        n = f"count(*) filter ({bad})"
+        kinds = f"(select count(*) from (select distinct {c} from d where {bad}))"
+        add(4, "columns", c, "set", _text("%d invalid values out of %d rows (%.2f%%).", n) + f" || case when {n} = 0 then ' (All values valid)' else printf(' Found: %d different ones, listed as rows.', {kinds}) end", n)
+        parts.append(f"select 4, 'columns', '{c}', 'invalid value', coalesce({c}, 'NULL'), count(*), {rows} from d where {bad} group by {c}")
+    for c in texts:
+        if c in rules.ranges or c in rules.sets or c == rules.key:
+            continue
+        wide = f"(select count(distinct {c}) + max(case when {c} is null then 1 else 0 end) >= 0.9 * count(*) from d)"
+        parts.append(
+            f"select 5, 'columns', '{c}', 'values', case when u + least(gaps, 1) >= 0.9 * n then 'High-cardinality column with ' || (u + least(gaps, 1)) || "
+            f"' unique values; details omitted.' else printf('Unique values: %d, listed as rows.', u + least(gaps, 1)) end, "
+            f"case when u + least(gaps, 1) >= 0.9 * n then null else u + least(gaps, 1) end, {rows} "
+            f"from (select count(distinct {c}) as u, count(*) filter ({c} is null) as gaps, count(*) as n from d)"
+        )
+        parts.append(f"select 5, 'columns', '{c}', 'value', coalesce({c}, 'NULL'), count(*), {rows} from d where not {wide} group by {c}")
+    dup = f"(count(*) - (select count(*) from (select distinct {rules.key} from d)))"
+    add(6, "duplicates", rules.key, "duplicates", _text("%d duplicate rows found out of %d rows (%.2f%%).", dup), dup)
     return (
-        WITH_D + ", r as (" + " union all ".join(parts) + ") "
+        f"with d as ({source}), r as (" + " union all ".join(parts) + ") "
         "select *, check_order = max(check_order) over (partition by section, column_name) as final from r"
     )
 
 
-@query("dq_report", report_sql())
-def dq_report(spark, sf_dir):
-    return quality.quality_report(dirty_orders(spark, sf_dir), ORDER_RULES)
+def resolution_sql(report: str, key: str) -> str:
+    return (
+        "select *, case "
+        + f"when section = 'missing_data' and n = 0 then '{quality.ADVICE['complete']}' "
+        + f"when section = 'missing_data' then '{quality.ADVICE['missing']}' "
+        + "when section = 'duplicates' then '" + quality.ADVICE["duplicates"].format(key=key).replace("'", "''") + "' "
+        + f"when section = 'outliers' then '{quality.ADVICE['outliers']}' "
+        + f"when \"check\" = 'invalid value' then '{quality.ADVICE['invalid values']}' when \"check\" = 'value' then '{quality.ADVICE['other']}' "
+        + "".join(f"when contains(message, '{p}') then '{quality.ADVICE[p]}' " for p in ("not found", "invalid values", "out of"))
+        + f"else '{quality.ADVICE['other']}' end as resolution from ({report})"
+    )
 
 
-@query(
-    "dq_resolutions",
-    "select section, column_name, \"check\", case "
-    + f"when section = 'missing_data' and n = 0 then '{quality.ADVICE['complete']}' "
-    + f"when section = 'missing_data' then '{quality.ADVICE['missing']}' "
-    + "when section = 'duplicates' then '" + quality.ADVICE["duplicates"].format(key="dup_key").replace("'", "''") + "' "
-    + f"when section = 'outliers' then '{quality.ADVICE['outliers']}' "
-    + "".join(f"when contains(message, '{p}') then '{quality.ADVICE[p]}' " for p in ("not found", "invalid values", "out of"))
-    + f"else '{quality.ADVICE['other']}' end as resolution from ({report_sql()})",
+ORDERS_REPORT_SQL = report_sql(
+    REPORT_ORDERS_SQL, [*NAMES, "amount_text"], ("id", "custkey", "price", "dup_key", "flag", "zero"), (*TEXTS, "amount_text"), ORDER_RULES, ("amount_text",)
 )
+
+
+@query("dq_report", ORDERS_REPORT_SQL)
+def dq_report(spark, sf_dir):
+    return quality.quality_report(report_orders(spark, sf_dir), ORDER_RULES)
+
+
+@query("dq_resolutions", f"select section, column_name, \"check\", message, resolution from ({resolution_sql(ORDERS_REPORT_SQL, 'dup_key')})")
 def dq_resolutions(spark, sf_dir):
-    report = quality.quality_report(dirty_orders(spark, sf_dir), ORDER_RULES)
-    return quality.resolutions(report, "dup_key").select("section", "column_name", "check", "resolution")
+    report = quality.quality_report(report_orders(spark, sf_dir), ORDER_RULES)
+    return quality.resolutions(report, "dup_key").select("section", "column_name", "check", "message", "resolution")
 
 
 def suite_sql(suite, source_sql: str) -> str:
@@ -366,6 +396,15 @@ def ge_unexpected_samples(spark, sf_dir):
     return unexpected_samples(dirty_orders(spark, sf_dir), suite)
 
 
-@query("dq_report_source_a")
+SOURCE_A_NUMBERS = ("SeniorCitizen", "tenure", "MonthlyCharges")
+
+
+@query(
+    "dq_report_source_a",
+    resolution_sql(
+        report_sql(SOURCE_A_SQL, [n for _, n in SOURCE_A], SOURCE_A_NUMBERS, [n for _, n in SOURCE_A if n not in SOURCE_A_NUMBERS], RULES_A, ("TotalCharges",)),
+        RULES_A.key,
+    ),
+)
 def dq_report_source_a(spark, sf_dir):
     return quality.resolutions(quality.quality_report(source_a(spark, sf_dir), RULES_A), RULES_A.key)

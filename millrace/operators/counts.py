@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millrace.operators.schema import dtype_of
 from millrace.session import cut_lineage
 
 MAX_FITTED_VALUES = 50_000
@@ -17,7 +18,9 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Partial aggregation collapses repeats before the shuffle, so a value that fills a
     third of the table costs one row per task.
     """
-    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
+    cells = [F.struct(F.lit(c).alias("column_name"), _as_text(df, c).alias("value")) for c in columns]
+    if not cells:
+        return df.sparkSession.createDataFrame([], "column_name string, value string, n long")
     return (
         df.select(F.inline(F.array(*cells)))
         .groupBy("column_name", "value")
@@ -25,6 +28,12 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def _as_text(df: DataFrame, c: str) -> Column:
+    """The value as text; -0.0 and 0.0 are one value."""
+    float_type = dtype_of(df, c).typeName() in ("double", "float")
+    return (F.col(c) + F.lit(0.0) if float_type else F.col(c)).cast("string")
+
+
 def fit_categories(
     df: DataFrame, columns: Sequence[str], limit: int = MAX_FITTED_VALUES
 ) -> dict[str, list[tuple[str, int]]] | None:

@@ -128,6 +128,8 @@ def unexpected_samples(df: DataFrame, suite: Sequence[Expectation], top: int = 2
         if check is None or check.judges_missing:
             continue
         cells.append(F.struct(F.lit(i).alias("rule_no"), check.unexpected.alias("bad"), F.col(f"`{rule.column}`").cast("string").alias("value")))
+    if not cells:
+        return df.sparkSession.createDataFrame([], "rule_no int, value string, n long, place int")
     counted = (
         df.select(F.inline(F.array(*cells)))
         .where("bad")

@@ -12,11 +12,11 @@ from millrace.functions.scalars import not_in, outside, percent, to_number
 from millrace.operators.counts import value_counts
 from millrace.operators.quantiles import fit_quantiles
 from millrace.operators.schema import dtype_of, numeric_columns, text_columns
+from millrace.session import write_through
 
 HIGH_CARDINALITY = 0.9
 FENCE_FACTOR = 1.5
 FENCE_PROBS = {"low": 0.0, "q25": 0.25, "q75": 0.75, "high": 1.0}
-MAX_LISTED_VALUES = 1_000
 
 # Message texts of the report and the advice that belongs to them.
 MISSING_MESSAGE = "%d missing (%.2f%%)"
@@ -27,9 +27,9 @@ BINARY_MESSAGE = "Binary column; outlier check not applicable."
 WIDE_NUMERIC_MESSAGE = "High-cardinality numeric column; details omitted."
 WIDE_TEXT_MESSAGE = "High-cardinality column with {n} unique values; details omitted."
 INVALID_MESSAGE = "%d invalid values out of %d rows (%.2f%%)."
-FOUND_PREFIX = " Found: "
+FOUND_MESSAGE = " Found: %d different ones, listed as rows."
 ALL_VALID_SUFFIX = " (All values valid)"
-UNIQUE_PREFIX = "Unique values: "
+UNIQUE_MESSAGE = "Unique values: %d, listed as rows."
 DUPLICATES_MESSAGE = "%d duplicate rows found out of %d rows (%.2f%%)."
 NOT_FOUND_SUFFIX = " column not found."
 ADVICE = {
@@ -97,34 +97,33 @@ def cardinality(
 ) -> DataFrame:
     """Distinct counts and the high-cardinality flag; text counts a missing value as one more.
 
-    Exact counts shuffle the distinct values of every column. ``relative_error`` switches
-    to sketches, which shuffle a few kilobytes per column: for a first look at wide tables.
+    Exact counts come from the value counts: narrow rows (column, value), summed per task
+    before the distinct values are shuffled. ``relative_error`` switches to sketches, which
+    shuffle a few kilobytes per column: for a first look at wide tables.
     """
-
-    def distinct(c: str) -> Column:
-        return F.count_distinct(F.col(c)) if relative_error is None else F.approx_count_distinct(c, relative_error)
-
     columns = list(columns or df.columns)
     texts = set(text_columns(df))
-    one = df.agg(
-        _n().alias("rows"),
-        *[distinct(c).alias(f"d_{c}") for c in columns],
-        *[F.count_if(F.col(c).isNull()).alias(f"m_{c}") for c in columns],
-    )
-    cells = []
-    for c in columns:
-        unique = F.col(f"d_{c}") + F.when(F.col(f"m_{c}") > 0, 1).otherwise(0)
-        judged = unique if c in texts else F.col(f"d_{c}")
-        cells.append(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col(f"d_{c}").alias("n_distinct"),
-                unique.alias("n_unique"),
-                F.col("rows").alias("n_rows"),
-                (judged >= F.lit(HIGH_CARDINALITY) * F.col("rows")).alias("high_cardinality"),
-            )
+    names = df.sparkSession.createDataFrame([(c, c in texts) for c in columns], "column_name string, is_text boolean")
+    if relative_error is None:
+        counted = value_counts(df, columns).groupBy("column_name").agg(
+            F.count("value").alias("n_distinct"), F.max(F.col("value").isNull()).alias("holed"), F.sum("n").alias("n_rows")
         )
-    return _rows(one, cells)
+    else:
+        one = df.agg(
+            _n().alias("rows"),
+            *[F.approx_count_distinct(c, relative_error).alias(f"d_{c}") for c in columns],
+            *[F.count_if(F.col(c).isNull()).alias(f"m_{c}") for c in columns],
+        )
+        counted = _rows(one, [
+            F.struct(F.lit(c).alias("column_name"), F.col(f"d_{c}").alias("n_distinct"), (F.col(f"m_{c}") > 0).alias("holed"), F.col("rows").alias("n_rows"))
+            for c in columns
+        ])
+    found = names.join(counted, "column_name", "left").fillna(0, ["n_distinct", "n_rows"]).fillna(False, ["holed"])
+    unique = F.col("n_distinct") + F.col("holed").cast("long")
+    judged = F.when(F.col("is_text"), unique).otherwise(F.col("n_distinct"))
+    return found.select(
+        "column_name", "n_distinct", unique.alias("n_unique"), "n_rows", (judged >= F.lit(HIGH_CARDINALITY) * F.col("n_rows")).alias("high_cardinality")
+    )
 
 
 def unique_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -225,7 +224,7 @@ def invalid_values(df: DataFrame, sets: Mapping[str, Sequence[str]]) -> DataFram
     unexpected = [
         (F.col("column_name") == c) & not_in(F.col("value"), [str(v) for v in sets[c]]) for c in present
     ]
-    return value_counts(df, present).where(reduce(lambda a, b: a | b, unexpected))
+    return value_counts(df, present).where(reduce(lambda a, b: a | b, unexpected, F.lit(False)))
 
 
 def fit_fences(df: DataFrame, columns: Sequence[str]) -> dict[str, dict]:
@@ -274,17 +273,16 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _rows(one, cells)
 
 
-def _cardinalities(df: DataFrame, numbers: Sequence[str], texts: Sequence[str], max_listed: int) -> dict:
-    """Distinct counts for the report, exact wherever the count or a limit is in question.
+def _cardinalities(df: DataFrame, numbers: Sequence[str], texts: Sequence[str]) -> dict:
+    """Distinct counts for the report, exact wherever the limit is in question.
 
-    A sketch of 5 % error settles the columns that are below every limit by a factor of
-    two; only the others pay for an exact count.
+    A sketch of 5 % error settles the columns that are below the limit by a factor of
+    nearly two; only the others pay for an exact count.
     """
     if not numbers and not texts:
         return {}
     found = {r["column_name"]: r for r in cardinality(df, [*numbers, *texts], relative_error=0.05).collect()}
-    unsure = [c for c in numbers if found[c]["n_distinct"] > 0.5 * found[c]["n_rows"]]
-    unsure += [c for c in texts if found[c]["n_unique"] > min(0.5 * found[c]["n_rows"], 0.5 * max_listed)]
+    unsure = [c for c in (*numbers, *texts) if found[c]["n_unique"] > 0.5 * found[c]["n_rows"]]
     if unsure:
         found.update({r["column_name"]: r for r in cardinality(df, unsure).collect()})
     return found
@@ -294,23 +292,24 @@ def _share(n: Column, rows: Column, pattern: str) -> Column:
     return F.format_string(pattern, n, rows, F.coalesce(percent(n, rows), F.lit(0.0)))
 
 
-def quality_report(df: DataFrame, rules: Rules, max_listed: int = MAX_LISTED_VALUES) -> DataFrame:
+def quality_report(df: DataFrame, rules: Rules) -> DataFrame:
     """The whole report as rows: (section, column_name, check, message, n, n_rows, final).
 
-    Jobs over the data: two for the fences, one or two for distinct counts, one aggregate
+    Jobs over the data: some for the fences, one or two for distinct counts, one aggregate
     for everything that counts rows, one for the listed values, one for duplicates.
     ``final`` marks, per section and column, the check whose message stands when several
     checks hit the same column.
 
-    A column with more than ``max_listed`` distinct values gets the number in its message;
-    ``unique_values`` and ``invalid_values`` hold the complete list as rows.
+    Values are rows of the report, at any number: each distinct value of a text column
+    below the high-cardinality limit (check ``value``) and each one outside its set (``invalid
+    value``), with its count as ``n`` and itself as message, NULL for a missing one.
     """
     key = rules.key
     expected_numbers = [c for c in rules.ranges if c in df.columns]
     extra_numbers = numeric_columns(df, exclude=[*rules.ranges, *rules.ignore])
     # A text column with a range is read as numbers, so it is no text here.
     extra_texts = text_columns(df, exclude=[*rules.ranges, *rules.sets, *([key] if key else [])])
-    counts_by = _cardinalities(df, extra_numbers, extra_texts, max_listed)
+    counts_by = _cardinalities(df, extra_numbers, extra_texts)
     wide_numbers = [c for c in extra_numbers if counts_by[c]["high_cardinality"]]
     plain_numbers = [c for c in extra_numbers if c not in wide_numbers]
     expected_sets = [c for c in rules.sets if c in df.columns]
@@ -372,15 +371,17 @@ def quality_report(df: DataFrame, rules: Rules, max_listed: int = MAX_LISTED_VAL
         cell(6, "duplicates", key, "duplicates", F.lit(key + NOT_FOUND_SUFFIX))
     report = _rows(df.agg(*aggregates), cells)
 
-    short = [c for c in listed if counts_by[c]["n_unique"] <= max_listed]
-    for c in listed:
-        if c not in short:
-            text = f"{counts_by[c]['n_unique']} unique values; see unique_values."
-            report = report.unionByName(_note(df, 5, c, "values", text))
-    if short:
-        report = report.unionByName(_listed_values(df, short))
+    # Distinct values, counted once: for the numbers in the messages, and as rows.
+    values = write_through(value_counts(df, [*listed, *expected_sets]), "report-values")
+    unexpected = [(F.col("column_name") == c) & not_in(F.col("value"), [str(v) for v in rules.sets[c]]) for c in expected_sets]
+    invalid = values.where(reduce(lambda a, b: a | b, unexpected, F.lit(False)))
+    if listed:
+        per_column = values.where(F.col("column_name").isin(listed)).groupBy("column_name").agg(_n().alias("n"), F.sum("n").alias("n_rows"))
+        report = report.unionByName(_as_rows(per_column, 5, "values", F.format_string(UNIQUE_MESSAGE, "n")))
     if expected_sets:
-        report = _add_found(report, invalid_values(df, rules.sets), max_listed)
+        kinds = invalid.groupBy("column_name").agg(F.format_string(FOUND_MESSAGE, _n()).alias("found")).withColumn("check", F.lit("set"))
+        joined = report.join(kinds, ["column_name", "check"], "left")
+        report = joined.withColumn("message", F.concat("message", F.coalesce("found", F.lit("")))).select(*report.columns)
     if key and key in df.columns:
         dup = duplicates(df, [key])
         text = _share(F.col("n_duplicates"), F.col("n_rows"), DUPLICATES_MESSAGE)
@@ -396,7 +397,17 @@ def quality_report(df: DataFrame, rules: Rules, max_listed: int = MAX_LISTED_VAL
             )
         )
     last = F.max("check_order").over(_per_column())
-    return report.withColumn("final", F.col("check_order") == last)
+    report = report.withColumn("final", F.col("check_order") == last)
+    # No check comes after these on their columns.
+    n_rows = F.lit(counts_by[listed[0]]["n_rows"] if listed else None).cast("bigint")
+    if listed:
+        rows_of = values.where(F.col("column_name").isin(listed)).withColumn("n_rows", n_rows)
+        report = report.unionByName(_as_rows(rows_of, 5, "value", F.coalesce("value", F.lit("NULL"))).withColumn("final", F.lit(True)))
+    if expected_sets:
+        total = values.where(F.col("column_name").isin(expected_sets)).groupBy("column_name").agg(F.sum("n").alias("n_rows"))
+        rows_of = invalid.join(F.broadcast(total), "column_name")
+        report = report.unionByName(_as_rows(rows_of, 4, "invalid value", F.coalesce("value", F.lit("NULL"))).withColumn("final", F.lit(True)))
+    return report
 
 
 def _per_column():
@@ -410,55 +421,19 @@ def _outlier_text(c: str, rows: Column) -> tuple[Column, Column]:
     return F.when(binary, BINARY_MESSAGE).otherwise(text), F.when(~binary, n)
 
 
-def _note(df: DataFrame, order: int, column: str, check: str, text: str) -> DataFrame:
-    return df.agg(_n().alias("n_rows")).select(
+def _as_rows(counted: DataFrame, order: int, check: str, message: Column) -> DataFrame:
+    """Report rows from (column_name, n, n_rows) and what the message needs."""
+    return counted.select(
         F.lit(order).alias("check_order"),
         F.lit("columns").alias("section"),
-        F.lit(column).alias("column_name"),
+        "column_name",
         F.lit(check).alias("check"),
-        F.lit(text).alias("message"),
-        F.lit(None).cast("bigint").alias("n"),
+        message.alias("message"),
+        "n",
         "n_rows",
     )
 
 
-def _listing(values: Column) -> Column:
-    """['a', 'b', NULL last] as text."""
-    ordered = F.sort_array(F.collect_list(F.struct(F.col("value").isNull().alias("last"), values.alias("v"))))
-    return F.concat(F.lit("["), F.concat_ws(", ", F.transform(ordered, lambda s: F.coalesce(s["v"], F.lit("NULL")))), F.lit("]"))
-
-
-def _listed_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Only columns already known to have a short list of values come here."""
-    return (
-        value_counts(df, columns)
-        .groupBy("column_name")
-        .agg(_listing(F.col("value")).alias("list"), F.sum("n").alias("n_rows"), _n().alias("n"))
-        .select(
-            F.lit(5).alias("check_order"),
-            F.lit("columns").alias("section"),
-            "column_name",
-            F.lit("values").alias("check"),
-            F.concat(F.lit(UNIQUE_PREFIX), "list").alias("message"),
-            "n",
-            "n_rows",
-        )
-    )
-
-
-def _add_found(report: DataFrame, invalid: DataFrame, max_listed: int) -> DataFrame:
-    """Append the invalid values to the messages of set checks that have any."""
-    per_column = invalid.groupBy("column_name").agg(_n().alias("kinds"))
-    short = invalid.join(per_column.where(F.col("kinds") <= max_listed), "column_name")
-    found = short.groupBy("column_name").agg(F.concat(F.lit(FOUND_PREFIX), _listing(F.col("value")), F.lit(".")).alias("found"))
-    many = per_column.where(F.col("kinds") > max_listed).select(
-        "column_name", F.format_string(FOUND_PREFIX + "%d kinds; see invalid_values.", "kinds").alias("found")
-    )
-    notes = found.unionByName(many).withColumn("check", F.lit("set"))
-    joined = report.join(notes, ["column_name", "check"], "left")
-    return joined.withColumn("message", F.concat("message", F.coalesce("found", F.lit("")))).select(*report.columns)
-
-
 def resolutions(report: DataFrame, key: str | None = None) -> DataFrame:
     """One piece of advice per report row; the first rule that matches decides."""
     message, section = F.col("message"), F.col("section")
@@ -468,6 +443,8 @@ def resolutions(report: DataFrame, key: str | None = None) -> DataFrame:
         .when(section == "duplicates", ADVICE["duplicates"].format(key=key or "key"))
         .when(section == "outliers", ADVICE["outliers"])
     )
+    # A listed value is no message, whatever it says.
+    advice = advice.when(F.col("check") == "invalid value", ADVICE["invalid values"]).when(F.col("check") == "value", ADVICE["other"])
     for part in ("not found", "invalid values", "out of"):
         advice = advice.when(message.contains(part), ADVICE[part])
     return report.withColumn("resolution", advice.otherwise(ADVICE["other"]))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from millrace.operators import quality, schema, union
 from millrace.operators.derive import total_services
-from millrace.operators.expectations import Expectation, load_suite, validate
+from millrace.operators.expectations import Expectation, load_suite, unexpected_samples, validate
 from millrace.plans import churn_definitions as churn
 from millrace.plans import feature_store as fs
 from millrace.plans import learning
@@ -66,14 +66,38 @@ def test_report_on_empty_and_short_lists(spark):
     assert quality.quality_report(empty, rules).count() >= 3
     df = spark.createDataFrame([(i, f"v{i % 6}", str(i % 9)) for i in range(20)], "a int, b string, k string")
     free = quality.Rules(key="k")
-    messages = {r.column_name: r.message for r in quality.quality_report(df, free, max_listed=3).where("check = 'values'").collect()}
-    assert messages == {"b": "6 unique values; see unique_values."}
+    listed = quality.quality_report(df, free).where("check_order = 5").collect()
+    assert {(r.column_name, r.check, r.message, r.n, r.final) for r in listed} == {
+        ("b", "values", "Unique values: 6, listed as rows.", 6, True), *(("b", "value", f"v{i}", 4 if i < 2 else 3, True) for i in range(6)),
+    }
     strict = quality.Rules(sets={"b": ["v0"]}, key="missing_key")
-    report = {(r.column_name, r.check): r.message for r in quality.quality_report(df, strict, max_listed=3).collect()}
-    assert report[("b", "set")].endswith("Found: 5 kinds; see invalid_values.")
+    rows = quality.quality_report(df, strict).collect()
+    report = {(r.column_name, r.check): r.message for r in rows}
+    assert report[("b", "set")].endswith("Found: 5 different ones, listed as rows.")
+    assert {(r.message, r.n) for r in rows if r.check == "invalid value"} == {(f"v{i}", 4 if i < 2 else 3) for i in range(1, 6)}
     assert report[("missing_key", "duplicates")] == "missing_key column not found."
 
 
+def test_a_listed_value_is_no_message(spark):
+    df = spark.createDataFrame([("not found",), ("out of",), ("not found",), ("x",), ("x",)] * 4, "b string")
+    advised = quality.resolutions(quality.quality_report(df, quality.Rules())).where("check = 'value'").collect()
+    assert len(advised) == 3 and {r.resolution for r in advised} == {quality.ADVICE["other"]}
+
+
+def test_suites_and_sets_without_values_to_show(spark):
+    df = spark.createDataFrame([(1, None)], "a int, b string")
+    rules = [Expectation("expect_column_values_to_not_be_null", {"column": "b"})]
+    assert unexpected_samples(df, rules).collect() == []
+    assert quality.invalid_values(df, {"absent": ["x"]}).collect() == []
+
+
+def test_cardinality_of_an_empty_table_and_of_signed_zeros(spark):
+    empty = quality.cardinality(spark.createDataFrame([], "a int, b string")).collect()
+    assert {(r.column_name, r.n_distinct, r.n_unique, r.n_rows) for r in empty} == {("a", 0, 0, 0), ("b", 0, 0, 0)}
+    zeros = spark.createDataFrame([(0.0, None), (-0.0, "x")], "a double, b string")
+    assert {(r.column_name, r.n_distinct, r.n_unique) for r in quality.cardinality(zeros).collect()} == {("a", 1, 1), ("b", 1, 2)}
+
+
 def test_duplicate_marks_on_one_hot_key(spark):
     df = spark.range(2000).selectExpr("id", "case when id % 3 > 0 then null else id end as k")
     marked = quality.mark_duplicates(df, ["k"], ["id"])
