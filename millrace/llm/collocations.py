@@ -29,7 +29,7 @@ from millrace.session import write_through
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + b"." * 9)
 _END = re.compile(rb"[ \t.]")
 #: Texts are cut into words in slices of so many bytes; so many words are counted at once, and so many remembered.
-SLICE, WORDS_AT_ONCE, VOCABULARY = 1 << 20, 1 << 21, 1 << 20
+SLICE, WORDS_AT_ONCE, VOCABULARY = 1 << 20, 1 << 19, 1 << 18
 #: Bits of the fixed filter of word pairs; pairs that share a bit only cost work.
 FILTER_BITS = 26
 #: Rows of a stream that one task reads.
@@ -46,6 +46,7 @@ class _Counter:
 
     def forget(self) -> None:
         self.words, self.numbers, self.runs, self.skips, self.held = [b"."], {b".": 0}, {}, {}, 0
+        self._hashes, self._array = np.zeros(0, np.uint64), pa.array([], pa.binary())
 
     def _number(self, word: bytes) -> int:
         found = self.numbers.get(word)
@@ -80,7 +81,16 @@ class _Counter:
                 self.skips[lang] = len(self.runs[lang][0])
 
     def hashes(self) -> np.ndarray:
-        return np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, len(self.words))
+        """Hashes of all words; only those of new words are computed."""
+        new = self.words[len(self._hashes) :]
+        if new:
+            self._hashes = np.concatenate([self._hashes, np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))])
+        return self._hashes
+
+    def array(self) -> pa.Array:
+        if len(self._array) < len(self.words):
+            self._array = pa.array(self.words, pa.binary())
+        return self._array
 
 
 def _pairs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +132,7 @@ def _count_phrases(batches: Iterable[pa.RecordBatch], max_words: int, bits: np.n
     """(lang, k, phrase, n): words, phrases whose word pairs all pass the filter, and the number of words as k = 0."""
     counter = _Counter(max_words)
     for lang, ids, skip in _runs_of(batches, counter):
-        words = pa.array(counter.words, pa.binary())
+        words = counter.array()
         new = ids[skip:]
         seen, n = np.unique(new[new > 0], return_counts=True)
         if not len(seen):
