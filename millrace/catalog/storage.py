@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.inputs import DIRTY_ORDERS_SQL, dirty_orders
 from millrace.catalog.registry import query, table
+from millrace.functions.scalars import hourly_path
 from millrace.session import scratch_path
 from millrace.sources import landing, readers, snapshots, warehouse
 
@@ -36,10 +37,10 @@ def src_blank_to_null(spark, sf_dir):
     return readers.read_csv(spark, path, "id bigint, price_text string, status string", strip_blanks=True)
 
 
-@query("src_parquet_scan", "select l_orderkey, l_linenumber, l_extendedprice from lineitem where l_quantity > 45")
+@query("src_parquet_scan", "select l_orderkey, l_linenumber, l_extendedprice from lineitem")
 def src_parquet_scan(spark, sf_dir):
     df = readers.read_parquet(spark, f"{sf_dir}/lineitem.parquet")
-    return df.where("l_quantity > 45").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return df.select("l_orderkey", "l_linenumber", "l_extendedprice")
 
 
 @query(
@@ -52,9 +53,9 @@ def src_normalize_nulls(spark, sf_dir):
     return normalize_nulls(dirty_orders(spark, sf_dir).select("id", "price_text"), readers.MISSING_TOKENS)
 
 
-@query("limit_bounded_read", "select c_custkey, c_name from customer order by c_custkey limit 10000")
+@query("limit_bounded_read", "select o_orderkey, o_orderstatus from orders order by o_orderkey limit 10000")
 def limit_bounded_read(spark, sf_dir):
-    return readers.first_rows(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), ["c_custkey"])
+    return readers.first_rows(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), ["o_orderkey"])
 
 
 @query("limit_peek", "select * from customer order by c_custkey limit 5")
@@ -93,11 +94,37 @@ def snap_fingerprint(spark, sf_dir):
     return snapshots.fingerprint(table(spark, sf_dir, "customer"))
 
 
-@query("snap_manifest", "select count(*) as n_rows, 'p_partkey,p_name,p_brand,p_type,p_size,p_retailprice' as column_list, true as has_files from part")
+@query(
+    "snap_manifest",
+    "select count(*) as n_rows, cast(sum(cast(('0x' || substr(md5(concat_ws('|', length(p_partkey::varchar) || '=' || p_partkey, length(p_name) || '=' || p_name, "
+    "length(p_brand) || '=' || p_brand, length(p_size::varchar) || '=' || p_size)), 1, 15)) as bigint)) as varchar) as content_hash, "
+    "'p_partkey,p_name,p_brand,p_size' as column_list, sum(length(p_partkey || ',' || p_name || ',' || p_brand || ',' || p_size) + 1)::bigint as body_bytes from part",
+)
 def snap_manifest(spark, sf_dir):
-    path = snapshots.publish(table(spark, sf_dir, "part"), scratch_path(spark, "manifest"), "part", datetime(2024, 1, 1))
-    record = snapshots.manifest(spark, path)
-    return record.select("n_rows", "column_list", ((F.col("n_files") > 0) & (F.col("bytes") > 0)).alias("has_files"))
+    """As text, so that SQL can tell the bytes: rows and a header line in each file."""
+    df = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    path = snapshots.publish(df, scratch_path(spark, "manifest"), "part", datetime(2024, 1, 1), "csv")
+    record = snapshots.manifest(spark, path, "csv")
+    header = F.length("column_list") + 1
+    return record.select("n_rows", "content_hash", "column_list", (F.col("bytes") - F.col("n_files") * header).alias("body_bytes"))
+
+
+@query(
+    "snap_diff_pruned",
+    "select o_orderkey as k, case when o_orderkey % 5000 = 7 then 'removed' when o_orderkey % 5000 = 11 then 'changed' else 'added' end as change "
+    "from (select o_orderkey from orders where o_orderkey % 5000 in (7, 11) union all select -o_orderkey from orders where o_orderkey % 5000 = 13)",
+)
+def snap_diff_pruned(spark, sf_dir):
+    """Two published versions with a key that differ in a few rows: buckets with equal sums are not read."""
+    zone = scratch_path(spark, "keyed")
+    old = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), "o_orderstatus", "o_totalprice")
+    kind = F.col("k") % 5000
+    changed = old.where(kind != 7).withColumn("o_orderstatus", F.when(kind == 11, F.lit("?")).otherwise(F.col("o_orderstatus")))
+    new = changed.unionByName(old.where(kind == 13).withColumn("k", -F.col("k")))
+    for df, day in ((old, 1), (new, 2)):
+        snapshots.publish(df, zone, "orders", datetime(2024, 1, day), key=["k"])
+    second, first = list(snapshots.VersionLog(spark, zone, keep=None).history())
+    return snapshots.version_diff(spark, zone, first, second)
 
 
 @query(
@@ -129,11 +156,16 @@ def land_partitioned(spark, sf_dir):
     return landing.read_raw(spark, path, df.schema).drop("ts")
 
 
-@query("land_hourly_path", "select event_id, strftime(ts, '%Y/%m/%d/%H') as hour_path from events")
+@query(
+    "land_hourly_path",
+    "select event_id, strftime(ts, '%Y') as year, strftime(ts, '%m') as month, strftime(ts, '%d') as day, strftime(ts, '%H') as hour, "
+    "strftime(ts, '%Y/%m/%d/%H') as hour_path from events",
+)
 def land_hourly_path(spark, sf_dir):
     df = table(spark, sf_dir, "events").select("event_id", "ts")
     path = landing.land_hourly(df, F.col("ts"), scratch_path(spark, "hourly"), "events")
-    return landing.read_raw(spark, path, df.schema, keys=(landing.HOURLY_KEY,)).drop("ts")
+    landed = landing.read_raw(spark, path, df.schema, keys=landing.HOURLY_KEYS)
+    return landed.withColumn("hour_path", hourly_path(F.col("ts"))).drop("ts")
 
 
 @query(
@@ -167,10 +199,11 @@ def _fresh_name(label: str) -> str:
 def wh_full_refresh(spark, sf_dir):
     name = _fresh_name("customers")
     df = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    first = warehouse.full_refresh(df, name)
+    where = scratch_path(spark, name)
+    first = warehouse.full_refresh(df, name, where)
     if not warehouse.table_exists(spark, name):
         raise RuntimeError(f"{name} was not created")
-    return warehouse.full_refresh(first.withColumn("c_acctbal", F.col("c_acctbal") * 2), name)
+    return warehouse.full_refresh(first.withColumn("c_acctbal", F.col("c_acctbal") * 2), name, where)
 
 
 @query(
@@ -199,6 +232,25 @@ def wh_audit_stamp(spark, sf_dir):
     return warehouse.stamp(df, datetime(2024, 3, 1, 12, 30))
 
 
+@query(
+    "wh_ensure_table",
+    "select cast(c_custkey as varchar) as customer_id, cast(c_custkey % 90 as int) as age, c_mktsegment as city, "
+    "cast(c_acctbal as decimal(10,2)) as total_revenue from customer",
+)
+def wh_ensure_table(spark, sf_dir):
+    """The seeded table is made once; a second call leaves it, and its types hold for what is written."""
+    name, where = _fresh_name("seeded"), scratch_path(spark, "seeded")
+    for _ in range(2):
+        warehouse.ensure_table(spark, name, warehouse.CUSTOMER_TABLE_SCHEMA, where)
+    rows = table(spark, sf_dir, "customer").selectExpr(
+        "cast(c_custkey as string) as customer_id", "cast(c_custkey % 90 as int) as age", "c_mktsegment as city",
+        "cast(c_acctbal as decimal(10,2)) as total_revenue",
+    )
+    known = set(rows.columns)
+    rows.select(*[F.col(f.name) if f.name in known else F.lit(None).cast(f.dataType).alias(f.name) for f in spark.table(name).schema]).write.insertInto(name)
+    return spark.table(name).select(*rows.columns)
+
+
 @query(
     "dml_insert_if_absent",
     "with b as (select o_orderkey // 4 as k, o_orderdate, o_orderkey, o_orderstatus as v from orders), "
@@ -207,8 +259,11 @@ def wh_audit_stamp(spark, sf_dir):
     "select k, v from f where place = 1 and not exists (select 1 from customer where c_custkey = k)",
 )
 def dml_insert_if_absent(spark, sf_dir):
-    existing = table(spark, sf_dir, "customer").selectExpr("c_custkey as k", "c_mktsegment as v")
+    customers = table(spark, sf_dir, "customer").selectExpr("c_custkey as k", "c_mktsegment as v")
     batch = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey div 4 as k", "o_orderdate", "o_orderkey", "o_orderstatus as v"
     )
-    return warehouse.insert_if_absent(existing, batch, "k", ["o_orderdate", "o_orderkey"])
+    kept = warehouse.KeyedTable(spark, scratch_path(spark, "keyed"), "k", buckets=16)
+    kept.insert_if_absent(customers, ["v"])
+    kept.insert_if_absent(batch, ["o_orderdate", "o_orderkey"])
+    return kept.read().select("k", "v")

@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.registry import query, table
 from millrace.session import scratch_path
-from millrace.sources.landing import read_raw
-from millrace.streaming.ingest import start_file_ingest
+from millrace.streaming.ingest import read_landed, read_quarantine, start_file_ingest
 from millrace.streaming.push import read_offline, read_online, start_push
 
 
@@ -18,16 +17,29 @@ def _inbox(df, spark) -> str:
     return path
 
 
+# One file per day and group of users; a line is the three columns with commas and its end.
+DROPS = "select event_id, user_id, ts, user_id % 20 as grp, length(event_id || ',' || user_id || ',' || strftime(ts, '%Y-%m-%d %H:%M:%S')) + 1 as bytes from events"
+
+
 @query(
     "stream_file_ingest",
-    "select event_id, user_id, value, strftime(ts, '%Y') as year, strftime(ts, '%m') as month, strftime(ts, '%d') as day from events",
+    f"with d as ({DROPS}), s as (select *, sum(bytes) over (partition by strftime(ts, '%Y%m%d'), grp) as size from d) "
+    "select event_id, user_id, case when size >= 1024 then strftime(ts, '%Y') end as year, case when size >= 1024 then strftime(ts, '%m') end as month, "
+    "case when size >= 1024 then strftime(ts, '%d') end as day, size < 1024 as quarantined, case when size < 1024 then size::bigint end as file_size from s",
 )
 def stream_file_ingest(spark, sf_dir):
-    df = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
-    inbox, zone, checkpoint = _inbox(df, spark), scratch_path(spark, "landed"), scratch_path(spark, "progress")
+    df = table(spark, sf_dir, "events").select("event_id", "user_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))
+    inbox, zone, checkpoint = scratch_path(spark, "inbox"), scratch_path(spark, "landed"), scratch_path(spark, "progress")
+    quarantine = scratch_path(spark, "quarantine")
+    keyed = df.withColumns({"arrival": F.substring("at", 1, 10), "grp": F.col("user_id") % 20})
+    keyed.repartition("arrival", "grp").write.partitionBy("arrival", "grp").csv(inbox)
     for _ in range(2):  # the second run finds nothing new
-        start_file_ingest(spark, inbox, zone, checkpoint, df.schema, F.col("ts"), files_per_trigger=16).awaitTermination()
-    return read_raw(spark, zone, df.schema).drop("ts")
+        start_file_ingest(
+            spark, inbox, zone, checkpoint, df.schema, F.col("at").cast("timestamp_ntz"), "csv", files_per_trigger=400, quarantine=quarantine
+        ).awaitTermination()
+    good = read_landed(spark, zone, df.schema).select("event_id", "user_id", "year", "month", "day", F.lit(False).alias("quarantined"))
+    bad = read_quarantine(spark, quarantine, df.schema).select("event_id", "user_id", F.lit(True).alias("quarantined"), "file_size")
+    return good.unionByName(bad, allowMissingColumns=True)
 
 
 @query(
@@ -39,9 +51,9 @@ def stream_push_latest(spark, sf_dir):
     df = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
     inbox = _inbox(df, spark)
     offline, online = scratch_path(spark, "offline"), scratch_path(spark, "online")
-    events = spark.readStream.schema(df.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 16).parquet(inbox)
+    events = spark.readStream.schema(df.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 6).parquet(inbox)
     start_push(
-        events, ["user_id"], "ts", ["event_id", "value"], offline, online, scratch_path(spark, "progress"), compact_every=2
+        events, ["user_id"], "ts", ["event_id", "value"], offline, online, scratch_path(spark, "progress"), fan=2
     ).awaitTermination()
     counts = read_offline(spark, offline).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_offline"))
     return read_online(spark, online, ["user_id"], "ts", ["event_id", "value"]).join(counts, "user_id")

@@ -9,8 +9,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.scalars import ensure_text, moment
-from millrace.operators.asof import HOT_ROWS, as_of_join, latest_per_entity
-from millrace.operators.schema import require, schema_report
+from millrace.operators.asof import HOT_ROWS, Log, as_of_joins, latest_per_entity
+from millrace.operators.schema import require
+from millrace.sources.versions import LevelledTable
 
 
 @dataclass(frozen=True)
@@ -75,6 +76,11 @@ class FeatureView:
     def schema(self) -> T.StructType:
         return T.StructType([T.StructField(f.name, f.dtype) for f in self.features])
 
+    def typed(self, names: Sequence[str]) -> list[Column]:
+        """These features as their declared types; a value that does not fit is an error."""
+        declared = {f.name: f.dtype for f in self.features}
+        return [F.col(n).cast(declared[n]).alias(n) if n in declared else F.col(n) for n in names]
+
 
 @dataclass(frozen=True)
 class RequestSource:
@@ -191,18 +197,21 @@ def historical_features(
     ts: str = "event_timestamp",
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Training set: spine rows with the feature values known at each row's time."""
+    """Training set: spine rows with the feature values known at each row's time, in their declared types.
+
+    All views of one entity are joined by one shuffle of spine and logs. Building it runs nothing.
+    """
     chosen = views.views if isinstance(views, FeatureService) else tuple(views)
-    out = spine
+    by_entity: dict[tuple[str, ...], list[Log]] = {}
     for view, columns in _stored_inputs(chosen):
         source = view.source
-        log = source.read(spine.sparkSession)
-        keys = list(view.entity.join_keys)
-        log = log.select(*keys, source.timestamp, *([source.created] if source.created else []), *columns)
-        out = as_of_join(
-            out, log, keys, ts, source.timestamp, columns, source.created, view.ttl,
-            hot_rows=hot_rows, counted=None if out is spine else spine,
-        )
+        keys = view.entity.join_keys
+        carried = dict.fromkeys([*keys, source.timestamp, *([source.created] if source.created else [])])
+        rows = source.read(spine.sparkSession).select(*carried, *view.typed([c for c in columns if c not in carried]))
+        by_entity.setdefault(keys, []).append(Log(rows, source.timestamp, {c: c for c in columns}, source.created, view.ttl))
+    out = spine
+    for keys, logs in by_entity.items():
+        out = as_of_joins(out, logs, keys, ts, hot_rows)
     return _finish(out, spine.columns, chosen)
 
 
@@ -227,7 +236,7 @@ def batch_scoring(
         if view.ttl is not None:
             known = known.where(F.col(source.timestamp) >= now - F.lit(view.ttl))
         newest = latest_per_entity(known, keys, source.timestamp, columns, source.created)
-        out = out.join(newest.select(*keys, *columns), keys, "left")
+        out = out.join(newest.select(*keys, *view.typed(columns)), keys, "left")
     return _finish(out, spine.columns, chosen)
 
 
@@ -254,6 +263,31 @@ def materialize_increment(
     return latest_per_entity(fresh, keys, source.timestamp, view.names, source.created)
 
 
+def online_table(spark: SparkSession, view: FeatureView, root: str, fan: int = 4) -> LevelledTable:
+    """The stored online table of a view: newest row per entity, in versions."""
+    source, keys = view.source, list(view.entity.join_keys)
+    return LevelledTable(spark, root, lambda rows: latest_per_entity(rows, keys, source.timestamp, view.names, source.created), fan)
+
+
+def materialize(view: FeatureView, log: DataFrame, root: str, end: datetime, start: datetime | None = None) -> DataFrame:
+    """Bring the stored online table up to ``end`` and return it.
+
+    It goes on from the end that the newest version remembers; ``start`` only counts the first
+    time. Rows and the new end are published as one version, so a run that dies has done
+    nothing, and a repeated or earlier end changes nothing. Only the rows of the interval are
+    read and written; see ``LevelledTable`` for how they are merged.
+    """
+    table = online_table(log.sparkSession, view, root)
+    newest = table.log.newest()
+    begin = datetime.fromisoformat(newest["end"]) if newest else start
+    if begin is None or begin < end:
+        fresh = materialize_increment(view, log, begin, end)
+        newest = table.publish_after(newest, fresh, start=begin.isoformat() if begin else None, end=end.isoformat())
+    elif newest is None:
+        raise ValueError(f"nothing to take in between {begin} and {end}")
+    return table.read(newest)
+
+
 def online_lookup(
     requests: DataFrame,
     online: DataFrame,
@@ -269,7 +303,7 @@ def online_lookup(
     for view, columns in _stored_inputs(chosen):
         keys = list(view.entity.join_keys)
         asked = requests.select(*keys).distinct()
-        stored = online.select(*keys, *columns).join(asked, keys, "left_semi")
+        stored = online.select(*keys, *view.typed(columns)).join(asked, keys, "left_semi")
         out = out.join(stored, keys, "left")
     return _finish(out, requests.columns, chosen)
 
@@ -314,8 +348,3 @@ def metadata_document(metadata: DataFrame) -> DataFrame:
     """The listing as JSON text, one document per view. Features per view are few by definition."""
     entry = F.struct(F.col("feature").alias("name"), "data_type", "description", "source", "version", "n_rows")
     return metadata.groupBy("view").agg(F.to_json(F.sort_array(F.collect_list(entry))).alias("features"))
-
-
-def check_view(view: FeatureView, df: DataFrame) -> list[dict]:
-    """Declared against delivered types of a view's fields."""
-    return [r for r in schema_report(df, view.schema()) if r["status"] != "undeclared"]

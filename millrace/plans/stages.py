@@ -62,7 +62,7 @@ def validate_stage(df: DataFrame, rules: Rules, suite, zones: Zones, source: str
     """Publish the rule report with its advice, and the suite's results."""
     report = resolutions(quality_report(df, rules), rules.key)
     return (
-        publish(report.coalesce(1), zones.reports, f"{source}_report", at, "csv"),
+        publish(report, zones.reports, f"{source}_report", at, "csv"),
         publish(suite_results(df, suite).coalesce(1), zones.reports, f"{source}_suite", at, "csv"),
     )
 

@@ -1,13 +1,13 @@
-"""The raw zone: ``zone/source/year=YYYY/month=MM/day=DD`` or an hourly UTC layout."""
+"""The raw zone: ``zone/source/year=YYYY/month=MM/day=DD``, by the hour with ``hour=HH`` below, in UTC."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from millrace.functions.scalars import date_parts, hourly_path
+from millrace.functions.scalars import date_parts
 
 DAILY_KEYS = ("year", "month", "day")
-HOURLY_KEY = "hour_path"
+HOURLY_KEYS = (*DAILY_KEYS, "hour")
 
 
 def land_raw(df: DataFrame, ts: Column, zone: str, source: str, fmt: str = "parquet") -> str:
@@ -26,9 +26,10 @@ def land_raw(df: DataFrame, ts: Column, zone: str, source: str, fmt: str = "parq
 
 
 def land_hourly(df: DataFrame, ts: Column, zone: str, source: str, fmt: str = "parquet") -> str:
+    """Append to the hourly partitions: year, month, day and hour, a folder level each."""
     path = f"{zone.rstrip('/')}/{source}"
-    parts = df.withColumn(HOURLY_KEY, hourly_path(ts))
-    parts.hint("rebalance", HOURLY_KEY).write.mode("append").partitionBy(HOURLY_KEY).format(fmt).save(path)
+    parts = df.withColumns({**date_parts(ts), "hour": F.date_format(ts, "HH")})
+    parts.hint("rebalance", *HOURLY_KEYS).write.mode("append").partitionBy(*HOURLY_KEYS).format(fmt).save(path)
     return path
 
 

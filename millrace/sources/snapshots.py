@@ -7,17 +7,57 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from millrace.sources.versions import VersionConflict, VersionLog
+
 MIN_LANDED_BYTES = 1024
+#: Buckets of a snapshot with a key, and the column that names them.
+BUCKETS, BUCKET = 64, "_bucket"
+
 
+def publish(
+    df: DataFrame, zone: str, name: str, at: datetime, fmt: str = "parquet", key: Sequence[str] = (), buckets: int = BUCKETS
+) -> str:
+    """Write to ``zone/<yyyyMMdd_HHmmss>/name``, then make it known as a version; an existing one is an error.
 
-def publish(df: DataFrame, zone: str, name: str, at: datetime, fmt: str = "parquet") -> str:
-    """Write to ``zone/<yyyyMMdd_HHmmss>/name``; an existing version is an error."""
-    path = f"{zone.rstrip('/')}/{at:%Y%m%d_%H%M%S}/{name}"
+    With ``key`` the rows lie in ``buckets`` folders by the hash of their key, and the version
+    holds the row count and the sum of row hashes of each: see ``version_diff``.
+    """
+    zone = zone.rstrip("/")
+    folder = f"{at:%Y%m%d_%H%M%S}/{name}"
+    path = f"{zone}/{folder}"
+    spark, marks = df.sparkSession, {"name": name, "at": at.isoformat(), "format": fmt}
+    if key:
+        df = df.withColumn(BUCKET, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
     writer = df.write.mode("errorifexists").format(fmt)
+    if key:
+        writer = writer.partitionBy(BUCKET)
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.save(path)
-    return path
+    if key:
+        columns = sorted(set(df.columns) - {BUCKET})
+        sums = spark.read.parquet(path).groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n"), F.sum(_hash_number(row_hash(columns))).cast("string").alias("h"))
+        marks |= {"key": list(key), "columns": columns, "buckets": buckets, "sums": {r[BUCKET]: [r["n"], r["h"]] for r in sums.collect()}}
+    log = VersionLog(spark, zone, keep=None)
+    while True:
+        try:
+            log.publish([folder], log.newest(), **marks)
+            return path
+        except VersionConflict:  # another snapshot came in between
+            continue
+
+
+def version_diff(spark: SparkSession, zone: str, old: dict, new: dict) -> DataFrame:
+    """``snapshot_diff`` of two versions published with one key: only buckets whose sums differ are read."""
+    if any(old[x] != new[x] for x in ("key", "buckets")):
+        raise ValueError("the versions have different keys or buckets")
+    differ = sorted(int(b) for b in {*old["sums"], *new["sums"]} if old["columns"] != new["columns"] or old["sums"].get(b) != new["sums"].get(b))
+
+    def read(version: dict) -> DataFrame:
+        whole = spark.read.parquet(f"{zone.rstrip('/')}/{version['folders'][0]}")
+        return whole.where(F.col(BUCKET).isin(differ) if differ else F.lit(False)).drop(BUCKET)
+
+    return snapshot_diff(read(old), read(new), old["key"])
 
 
 def files(spark: SparkSession, zone: str, pattern: str | None = None) -> DataFrame:
@@ -36,7 +76,20 @@ def files(spark: SparkSession, zone: str, pattern: str | None = None) -> DataFra
 
 
 def latest_snapshot(spark: SparkSession, zone: str, pattern: str | None = None, skip: str = "Done") -> str:
-    """Folder of the most recently modified file; processed files and folder markers do not count."""
+    """Folder of the newest complete version; processed ones do not count.
+
+    Published versions are known by the zone's log, so one that is still being written is never
+    taken, and only the log is read. In a zone without a log, filled by others, it is the folder
+    of the most recently modified file.
+    """
+    zone = zone.rstrip("/")
+    published = False
+    for version in VersionLog(spark, zone, keep=None).history():
+        published = True
+        if skip not in version["name"]:
+            return f"{zone}/{version['folders'][0]}"
+    if published:
+        raise FileNotFoundError(f"no unprocessed snapshot in {zone}")
     candidates = files(spark, zone, pattern).where(~F.col("name").contains(skip))
     newest = candidates.agg(F.max_by("folder", F.struct("modified", "path")).alias("folder")).first()["folder"]
     if newest is None:

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.asof import latest_per_entity
 from millrace.plans.feature_store import FeatureView, PushSource
+from millrace.sources.versions import LevelledTable
 
-COMPACT_EVERY = 50
+#: Batches, or merged parts of a level, that are merged into one.
+FAN = 8
+
+
+def _online(spark: SparkSession, online: str, keys, ts, columns, created_ts, fan: int = FAN) -> LevelledTable:
+    return LevelledTable(spark, online, lambda rows: latest_per_entity(rows, keys, ts, columns, created_ts), fan)
 
 
 def start_push(
@@ -22,28 +28,28 @@ def start_push(
     online: str,
     checkpoint: str,
     created_ts: str | None = None,
-    compact_every: int = COMPACT_EVERY,
+    fan: int = FAN,
     continuous: str | None = None,
 ) -> StreamingQuery:
     """Feed a stream of events to both stores.
 
-    Batch N goes whole to ``offline/batch=N`` and, reduced to its newest row per entity, to
-    ``online/delta/batch=N``: the work follows the size of the batch, not of the table.
-    Every ``compact_every`` batches the deltas are merged into ``online/base/batch=N``. All
-    outputs are named by the batch, so a replayed batch replaces its own output only. The
-    newest event per entity wins, whenever it arrives.
+    Each batch becomes a part of the offline log, whole, and of the online table, reduced to its
+    newest row per entity: the work follows the size of the batch, not of the table. ``fan``
+    parts are merged into one of the next level, online again to the newest rows, and merged
+    parts expire. A version of a store remembers the last batch of each stream in it, so a
+    replayed batch adds nothing. The newest event per entity wins, whenever it arrives.
     """
     carried = [*keys, ts, *([created_ts] if created_ts else []), *columns]
 
     def take(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        log = f"{offline}/batch={number}"
-        batch.select(*carried).write.mode("overwrite").parquet(log)
-        newest = latest_per_entity(spark.read.parquet(log), keys, ts, columns, created_ts)
-        newest.write.mode("overwrite").parquet(f"{online}/delta/batch={number}")
-        if (number + 1) % compact_every == 0:
-            table = read_online(spark, online, keys, ts, columns, created_ts, upto=number)
-            table.write.mode("overwrite").parquet(f"{online}/base/batch={number}")
+        rows = batch.select(*carried)
+        newest = latest_per_entity(rows, keys, ts, columns, created_ts)
+        for table, part in ((LevelledTable(spark, offline, fan=fan), rows), (_online(spark, online, keys, ts, columns, created_ts, fan), newest)):
+            version = table.log.newest()
+            taken = dict(version["taken"]) if version else {}
+            if taken.get(checkpoint, -1) < number:
+                table.publish_after(version, part, taken=taken | {checkpoint: number})
 
     trigger = {"processingTime": continuous} if continuous else {"availableNow": True}
     return (
@@ -66,42 +72,12 @@ def start_view_push(
     )
 
 
-def _newest_base(spark: SparkSession, online: str, upto: int | None) -> int | None:
-    """Number of the newest merged version, at most ``upto - 1``: a replay must not read itself."""
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "part-*")
-        .load(online)
-        .select(F.regexp_extract("path", r"/base/batch=(\d+)/", 1).try_cast("bigint").alias("batch"))
-    )
-    if upto is not None:
-        listed = listed.where(F.col("batch") < upto)
-    return listed.agg(F.max("batch")).first()[0]
-
-
 def read_online(
-    spark: SparkSession,
-    online: str,
-    keys: Sequence[str],
-    ts: str,
-    columns: Sequence[str],
-    created_ts: str | None = None,
-    upto: int | None = None,
+    spark: SparkSession, online: str, keys: Sequence[str], ts: str, columns: Sequence[str], created_ts: str | None = None
 ) -> DataFrame:
-    """The online table: the newest merged version and the deltas after it, newest row per entity."""
-    carried = [*keys, ts, *([created_ts] if created_ts else []), *columns]
-    base = _newest_base(spark, online, upto)
-    deltas = spark.read.option("basePath", f"{online}/delta").parquet(f"{online}/delta")
-    if base is not None:
-        deltas = deltas.where(F.col("batch") > base)
-    if upto is not None:
-        deltas = deltas.where(F.col("batch") <= upto)
-    rows = deltas.select(*carried)
-    if base is not None:
-        rows = spark.read.parquet(f"{online}/base/batch={base}").select(*carried).unionByName(rows)
-    return latest_per_entity(rows, keys, ts, columns, created_ts)
+    """The online table: the parts of its newest version, newest row per entity."""
+    return _online(spark, online, keys, ts, columns, created_ts).read()
 
 
 def read_offline(spark: SparkSession, offline: str) -> DataFrame:
-    return spark.read.option("basePath", offline).parquet(offline).drop("batch")
+    return LevelledTable(spark, offline).read()

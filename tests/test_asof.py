@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import asof
 from millrace.operators.asof import as_of_join, latest_per_entity
 
 T0 = datetime(2024, 1, 1)
@@ -126,12 +127,33 @@ def test_missing_keys_do_not_gather(spark):
     spine = spark.range(2000).selectExpr("cast(id as int) as id", "case when id % 10 = 0 then 'x' end as k", "timestamp_ntz'2024-01-02' as ts")
     log = spark.createDataFrame([("x", at(1), at(1), 7, "b"), (None, at(1), at(1), 8, "n")], LOG)
     one = as_of_join(spine, log, ["k"], "ts", "f_ts", ["a"], hot_rows=50)
-    two = as_of_join(one, log, ["k"], "ts", "f_ts", ["b"], hot_rows=50, counted=spine)
+    two = as_of_join(one, log, ["k"], "ts", "f_ts", ["b"], hot_rows=50)
     assert two.count() == 2000
     assert two.where("k is null and (a is not null or b is not null)").count() == 0
     assert two.where("k = 'x' and a = 7 and b = 'b'").count() == 200
 
 
+def test_two_views_take_one_shuffle_and_run_nothing(spark):
+    """Two logs with two lifetimes: the rows of two single joins, one wide exchange, no job before the action."""
+    spine, log = make(5)
+    spine_df, log_df = spark.createDataFrame(spine, SPINE), spark.createDataFrame(log, LOG)
+    other = log_df.select("k", F.col("f_ts").alias("when"), F.col("a").alias("c")).where("a % 2 = 0")
+    logs = [
+        asof.Log(log_df, "f_ts", {"a": "a", "b": "b"}, "created", timedelta(hours=3), "seen"),
+        asof.Log(other, "when", {"c": "c"}, ttl=timedelta(hours=1)),
+    ]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "building the join")
+    both = {hot: asof.as_of_joins(spine_df, logs, ["k"], "ts", hot) for hot in (None, 3, 10)}
+    assert tracker.getJobIdsForGroup("build") == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    one = as_of_join(spine_df, log_df, ["k"], "ts", "f_ts", ["a", "b"], "created", timedelta(hours=3), "seen", hot_rows=None)
+    want = as_of_join(one, other, ["k"], "ts", "when", ["c"], ttl=timedelta(hours=1), hot_rows=None).collect()
+    for hot, got in both.items():
+        assert sorted(map(str, got.select(*one.columns, "c").collect())) == sorted(map(str, want)), hot
+    assert both[None]._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
 def test_name_clash_is_refused(spark):
     spine, log = make(6)
     with pytest.raises(ValueError):

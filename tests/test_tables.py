@@ -15,7 +15,7 @@ from millrace.plans import learning
 from millrace.plans.customers import customer_view, merge_sources
 from millrace.session import scratch_path
 from millrace.sources import readers, snapshots, warehouse
-from millrace.streaming.ingest import start_file_ingest
+from millrace.streaming.ingest import read_landed, read_quarantine, start_file_ingest
 from millrace.streaming.push import read_offline, read_online, start_view_push
 
 D = datetime(2024, 1, 1)
@@ -179,14 +179,25 @@ def test_size_gate_rejects_small_objects(spark):
     assert got == {"small": False, "large": True}
 
 
-def test_insert_if_absent(spark):
-    existing = spark.createDataFrame([("a", 1)], "k string, v int")
+def test_insert_if_absent_appends(spark):
+    """Only fresh rows are written, part files that are there stay as they are, and only buckets of the batch's keys are read."""
+    kept = warehouse.KeyedTable(spark, scratch_path(spark, "keyed"), "k", buckets=8, fan=3)
+    kept.insert_if_absent(spark.createDataFrame([("a", 1)], "k string, v int"), ["v"])
+    before = {r.path: r.modified for r in snapshots.files(spark, kept.log.root, "*.parquet").collect()}
     batch = spark.createDataFrame([("a", 9, 1), ("b", 5, 2), ("b", 6, 1)], "k string, v int, n int")
-    out = warehouse.insert_if_absent(existing, batch, "k", ["n"])
-    assert {tuple(r) for r in out.collect()} == {("a", 1), ("b", 6)}
+    assert [tuple(r) for r in kept.insert_if_absent(batch, ["n"]).collect()] == [("b", 6)]
+    after = {r.path: r.modified for r in snapshots.files(spark, kept.log.root, "*.parquet").collect()}
+    assert before.items() <= after.items()
+    for i in range(6):
+        kept.insert_if_absent(spark.createDataFrame([(x, i, 0) for x in ("a", "b", f"c{i}")], "k string, v int, n int"), ["n"])
+    assert {tuple(r) for r in kept.read().collect()} == {("a", 1), ("b", 6), *((f"c{i}", i) for i in range(6))}
+    version = kept.log.newest()
+    assert len(version["data"]) == 8 and len(version["folders"]) < 8 + 8
+    plan = kept.known(version, [3])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_key_bucket" in plan and "_key_bucket#" in plan
     bad = spark.createDataFrame([(None, 9, 1)], "k string, v int, n int")
     with pytest.raises(Exception, match="k is missing"):
-        warehouse.insert_if_absent(existing, bad, "k", ["n"]).collect()
+        kept.insert_if_absent(bad, ["n"])
 
 
 def test_warehouse_table_lifecycle(spark):
@@ -194,8 +205,9 @@ def test_warehouse_table_lifecycle(spark):
     warehouse.ensure_table(spark, "seed_customers", warehouse.CUSTOMER_TABLE_SCHEMA)
     assert len(spark.table("seed_customers").columns) == 16
     assert not warehouse.table_exists(spark, "no_such_table")
-    one = warehouse.full_refresh(spark.range(3), "refreshed")
-    two = warehouse.full_refresh(one.where("id > 0"), "refreshed")
+    where = scratch_path(spark, "refreshed")
+    one = warehouse.full_refresh(spark.range(3), "refreshed", where)
+    two = warehouse.full_refresh(one.where("id > 0"), "refreshed", where)
     assert [r.id for r in warehouse.peek(two, ["id"]).collect()] == [1, 2]
 
 
@@ -303,8 +315,8 @@ def test_file_ingest_takes_each_file_once(spark):
     assert run() == 10
 
 
-@pytest.mark.parametrize("compact_every", [1, 2, 50])
-def test_push_is_incremental_and_ignores_late_events(spark, compact_every):
+@pytest.mark.parametrize("fan", [2, 3, 50])
+def test_push_is_incremental_and_ignores_late_events(spark, fan):
     inbox, off, on, state = (scratch_path(spark, n) for n in ("in", "off", "on", "state"))
     schema_ = T.StructType([T.StructField("k", T.StringType()), T.StructField("t", T.TimestampNTZType()), T.StructField("v", T.IntegerType())])
     view = fs.FeatureView("view", USER, (fs.Feature("v", T.IntegerType()),), fs.FeatureSource("log", "t"))
@@ -313,7 +325,7 @@ def test_push_is_incremental_and_ignores_late_events(spark, compact_every):
         spark.createDataFrame(rows, schema_).coalesce(1).write.mode("append").parquet(inbox)
         stream = spark.readStream.schema(schema_).parquet(inbox)
         source = fs.PushSource("pushed", view.source)
-        start_view_push(stream, source, view, off, on, state, compact_every=compact_every).awaitTermination()
+        start_view_push(stream, source, view, off, on, state, fan=fan).awaitTermination()
         return {r.k: r.v for r in read_online(spark, on, ["k"], "t", ["v"]).collect()}
 
     assert push([("a", D, 1), ("b", D, 2)]) == {"a": 1, "b": 2}
