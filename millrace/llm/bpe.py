@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
@@ -25,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Words remembered by one task, and the longest word worth remembering.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 LONGEST = 64
 #: Fragments up to this many symbols are merged by plain search.
 SHORT = 32
@@ -33,6 +34,24 @@ SHORT = 32
 STEP = 512
 
 
+# What the tokenizers library, whose classes follow Unicode 16, takes for neither letter
+# nor number although ``regex`` already does; and lower case that it knows and Python 15.1 does not.
+NEWER = (
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F), (0xA7CE, 0xA7CF),
+    (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF),
+    (0x10940, 0x10959), (0x10EC5, 0x10EC7), (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1),
+    (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550, 0x12686), (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF4), (0x16FF5, 0x16FF6),
+    (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20), (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128),
+    (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE),
+    (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF), (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E),
+    (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F),
+)
+LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+LOWER |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+_NEWER = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in NEWER) + "]")
+_ODD = re.compile(_NEWER.pattern[:-1] + "".join(map(chr, LOWER)) + "]")
+
+
 def _byte_letters() -> list[str]:
     """The letter that stands for each byte: printable ones are themselves, others follow from 256."""
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -123,10 +142,12 @@ class WordBpe:
         return b"".join(out)
 
     def _plain(self, text: str, out: list[bytes]) -> None:
+        odd = False
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            odd = _ODD.search(text) is not None
         words = self.words
-        for w in self.pieces.findall(text.lower()):
+        for w in self._odd_pieces(text) if odd else self.pieces.findall(text.lower()):
             found = words.get(w)
             if found is None:
                 found = self.word(w)
@@ -136,6 +157,11 @@ class WordBpe:
                     words[w] = found
             out.append(found)
 
+    def _odd_pieces(self, text: str) -> list[str]:
+        """Pieces of a text with characters of ``_ODD``: newer ones stand as a sign that is neither letter nor number."""
+        text = text.translate(LOWER).lower()
+        return [text[m.start() : m.end()] for m in self.pieces.finditer(_NEWER.sub("\x01", text))]
+
     def encode(self, text: str | None) -> np.ndarray:
         out: list[bytes] = []
         if text:
