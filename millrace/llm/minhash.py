@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -38,6 +39,8 @@ MARGIN = 0.17
 #: Minima of one bit for the classes of open buckets, and four standard deviations of their estimate.
 FINE, FINE_MARGIN = 1024, 0.075
 REMEMBERED = 500_000
+#: Bits of the filter of wanted documents.
+WANTED_BITS = 26
 
 
 class _Words(dict):
@@ -117,6 +120,40 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_shingles long, key binary, bands array<long>, bits array<long>")
 
 
+def _slots(nodes: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return _mix(nodes.view(np.uint64)) >> np.uint64(64 - WANTED_BITS)
+
+
+def wanted_bits(nodes: DataFrame) -> np.ndarray:
+    """A filter of fixed size (8 MB) that these nodes pass, and few others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = _slots(batch.column("node").to_numpy())
+            bits = np.uint64(1) << (slots & np.uint64(63))
+            yield pa.record_batch({"at": (slots >> np.uint64(6)).astype(np.int64), "bits": bits.view(np.int64)})
+
+    found = nodes.select("node").mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << (WANTED_BITS - 6), np.uint64)
+    out[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def only_nodes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows (node, ...) of these nodes, and of a few others that pass the filter too: thinned out where they are read."""
+    shared = rows.sparkSession.sparkContext.broadcast(wanted_bits(nodes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            known = whole.filter(pc.is_valid(whole.column("node")))
+            slots = _slots(known.column("node").to_numpy())
+            wanted = (shared.value[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1) > 0
+            yield known.filter(pa.array(wanted))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     """(node, shingles) of (node, text)."""
 
@@ -174,7 +211,7 @@ class _Linker:
         if self.sets is not None:
             nodes = nodes.join(self.sets.select("node"), "node", "left_anti")
         # One class, one text: a doc_id with several texts keeps the text of the class it stands for.
-        fetched = write_through(shingle_sets(self.texts.join(nodes, "node"), self.width), "minhash-sets")
+        fetched = write_through(shingle_sets(only_nodes(self.texts, nodes), self.width).join(nodes.select("node"), "node", "left_semi"), "minhash-sets")
         self.sets = fetched if self.sets is None else self.sets.union(fetched)
 
     def own(self, nodes: DataFrame) -> DataFrame:
@@ -201,8 +238,10 @@ class _Linker:
 
     def confirm(self, likely: DataFrame) -> DataFrame:
         """The pairs (a, b) that are links; the sets of both must be fetched."""
-        one = self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
-        two = self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
+        likely = write_through(likely.select("a", "b").distinct(), "minhash-pairs")
+        held = only_nodes(self.sets, likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))))
+        one = held.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
+        two = held.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
         shared = F.size(F.array_intersect("set_a", "set_b"))
         return cut_lineage(
             likely.join(one, "a")
