@@ -16,6 +16,7 @@ from millrace.catalog.inputs import (
 )
 from millrace.catalog.registry import query, table
 from millrace.functions.scalars import (
+    label_to_int,
     COMPACT_STAMP,
     NUMBER_PATTERN,
     date_parts,
@@ -92,6 +93,11 @@ def set_distinct_spine(spark, sf_dir):
     return distinct_spine(log, "user_id", "event_timestamp")
 
 
+@query("scalar_label_to_int", f"select \"customerID\" as customerid, case when \"Churn\" = 'Yes' then 1 else 0 end as churn from ({SOURCE_A_SQL})")
+def scalar_label_to_int(spark, sf_dir):
+    return source_a(spark, sf_dir).select(F.col("customerID").alias("customerid"), label_to_int(F.col("Churn")).alias("churn"))
+
+
 @query(
     "scalar_to_number",
     "select id, " + NUMBER_SQL.format("price_text") + " as amount, "

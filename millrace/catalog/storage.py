@@ -75,6 +75,9 @@ def snap_latest(spark, sf_dir):
     base = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     snapshots.publish(base, zone, "customer", datetime(2024, 1, 2))
     snapshots.publish(base.withColumn("c_acctbal", F.col("c_acctbal") + 1), zone, "customer", datetime(2024, 1, 3))
+    # Neither a processed version nor one that was never published counts.
+    snapshots.publish(base, zone, "customer_Done", datetime(2024, 1, 4))
+    base.write.parquet(f"{zone}/20240105_000000/customer")
     return readers.read_parquet(spark, snapshots.latest_snapshot(spark, zone, "*.parquet"))
 
 

@@ -52,15 +52,6 @@ def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return _rename_all(df, list(names))
 
 
-def columns_first(df: DataFrame, first: Sequence[str]) -> DataFrame:
-    return df.select(*first, *[c for c in df.columns if c not in set(first)])
-
-
-def split_target(df: DataFrame, target: str, drop: Iterable[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Features without the target and the dropped columns, and the target alone."""
-    return df.drop(target, *drop), df.select(target)
-
-
 def integers_to_double(df: DataFrame) -> DataFrame:
     wide = [f.name for f in df.schema if isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))]
     return df.withColumns({c: F.col(c).cast("double") for c in wide}) if wide else df

@@ -20,13 +20,6 @@ YES_NO = ["Yes", "No"]
 NO_YES_SERVICE = ["No", "Yes", "No internet service"]
 YES_NO_SERVICE = ["Yes", "No", "No internet service"]
 
-SOURCE_A_SCHEMA = """
-customerID string, gender string, SeniorCitizen int, Partner string, Dependents string,
-tenure int, PhoneService string, MultipleLines string, InternetService string,
-OnlineSecurity string, OnlineBackup string, DeviceProtection string, TechSupport string,
-StreamingTV string, StreamingMovies string, Contract string, PaperlessBilling string,
-PaymentMethod string, MonthlyCharges double, TotalCharges string, Churn string
-"""
 
 RULES_A = Rules(
     ranges={"tenure": (0, 100), "MonthlyCharges": (0, 500), "TotalCharges": (0, 10000)},

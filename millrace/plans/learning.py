@@ -137,8 +137,3 @@ def latest_version(spark: SparkSession, zone: str) -> int | None:
 
 def load_model(zone: str, version: int) -> PipelineModel:
     return PipelineModel.load(f"{zone}/version={version}")
-
-
-def run_record(name: str, started: datetime, ended: datetime, metrics: DataFrame) -> DataFrame:
-    """The metrics with the run's name and times, for appending to a table of runs."""
-    return metrics.select(F.lit(name).alias("run"), F.lit(str(started)).alias("started"), F.lit(str(ended)).alias("ended"), "*")
