@@ -1,4 +1,10 @@
-"""The corpus pipeline: toxicity, near duplicates, repeated passages, packing."""
+"""The corpus pipeline: toxicity, near duplicates, repeated passages, packing.
+
+Every stage decides on rows, not on doc_ids: it numbers its rows once, in a written copy, and the
+operators get the number in place of the id. So rows with a null id, repeated rows and several
+texts under one id are each judged by their own text. Columns other than doc_id and text travel in
+one struct, so none can clash with a name that an operator uses. Empty tables give empty tables.
+"""
 
 from __future__ import annotations
 
@@ -12,27 +18,51 @@ from millrace.session import write_through
 ORACLE_SQL = None
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, row): a number of its own for each row, in the order of the rows, and the other columns."""
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    return write_through(docs.select(F.monotonically_increasing_id().alias("doc_id"), "text", others.alias("row")), "pipeline-rows")
+
+
+def _restored(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in columns])
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    gone = gone.select(F.col("doc_id").alias("gone"))
+    return rows.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model, fitted on all labelled ones among them, does not reject."""
+    """Rows that the toxicity model, fitted on all labelled documents among them, does not reject.
+
+    Null and empty texts are scored like any other; a clean text stays even if a toxic one has its doc_id.
+    """
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    rejected = toxicity.score_documents(docs, model).where("predicted = 1").select(F.col("doc_id").alias("_doc")).distinct()
-    return docs.join(rejected, docs["doc_id"] == rejected["_doc"], "left_anti")
+    rows = _numbered(docs)
+    rejected = toxicity.score_documents(rows.select("doc_id", "text"), model).where("predicted = 1")
+    return _restored(_without(rows, rejected), docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id."""
-    gone = minhash.near_duplicates(docs, width=5, percent=80).where("not kept").select(F.col("doc_id").alias("_doc")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_doc"], "left_anti")
+    """One row of each group of near duplicates, the first: copies, repeated rows and rows without an id included.
+
+    Texts without words are no duplicates of each other and stay.
+    """
+    rows = _numbered(docs)
+    gone = minhash.near_duplicates(rows.select("doc_id", "text"), width=5, percent=80).where("not kept")
+    return _restored(_without(rows, gone), docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that an earlier document holds."""
-    kept = chaining.cut_passages(docs, chaining.repeated_passages(docs))
-    return kept.select(*docs.columns).withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept
+    """Rows without the passages that an earlier row holds; ``n_chars`` follows the text. A row of nothing else goes, empty ones stay."""
+    rows = _numbered(docs)
+    kept = _restored(chaining.cut_passages(rows, chaining.repeated_passages(rows.select("doc_id", "text"))), docs.columns)
+    return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document left, in its bin."""
+    """Every piece of every document left, in its bin; null and empty texts have no pieces."""
     return packing.pack_documents(docs, 2048)
 
 
