@@ -40,7 +40,7 @@ MARGIN = 0.17
 FINE, FINE_MARGIN = 1024, 0.075
 REMEMBERED = 500_000
 #: Bits of the filter of wanted documents.
-WANTED_BITS = 26
+WANTED_BITS = 23
 
 
 class _Words(dict):
@@ -126,7 +126,7 @@ def _slots(nodes: np.ndarray) -> np.ndarray:
 
 
 def wanted_bits(nodes: DataFrame) -> np.ndarray:
-    """A filter of fixed size (8 MB) that these nodes pass, and few others."""
+    """A filter of fixed size (1 MB) that these nodes pass, and few others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,10 +276,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, growth:
         .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("bits").alias("bits")),
         "minhash-classes",
     )
-    members = classes.select("node", F.explode("bands").alias("bucket"))
+    members = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
     # Written, so that the joins have a shuffle on either side and their hot buckets can be split.
     stars = write_through(members.groupBy("bucket").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1"), "minhash-stars")
-    pairs = members.join(stars, "bucket").where("node != a").select("a", F.col("node").alias("b")).distinct()
+    # Members of buckets of two and more, for all that follows: one shuffle of the band keys.
+    shared = write_through(members.join(stars, "bucket"), "minhash-shared")
+    pairs = shared.where("node != a").select("a", F.col("node").alias("b")).distinct()
     linker = _Linker(docs, classes, width, percent)
     links = linker.confirm(linker.likely(pairs))
     roots = cut_lineage(components(links))
@@ -288,8 +290,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, growth:
     # left in them has can't be shared, which bounds what a class can have in common with any
     # other: most strays end here. Classes with few such shingles come first as pivots, since
     # they are nearest to what a group was copied from.
-    placed = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
-    big = placed.join(stars.where("n > 2").select("bucket"), "bucket")
+    big = shared.where("n > 2").select("bucket", "node", "band")
     rest = write_through(_open_buckets(_labelled(big, roots), 1), "minhash-rest")
     own = linker.own(rest.select("node").distinct())
     can = F.col("size") - F.col("own")
