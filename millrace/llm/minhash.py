@@ -13,8 +13,9 @@ chance collisions; pairs far below the limit (four standard deviations) go, all
 confirmed on the full sets. A pair at the limit misses every band with probability 5e-8.
 
 Defined results: null, empty and blank texts have no shingles and are linked with nothing;
-fewer words than a shingle make one shingle; repeated rows of one doc_id stay as they are, and a
-doc_id with two texts links both; a null doc_id stays alone with a null component; other columns
+fewer words than a shingle make one shingle; repeated rows of one doc_id stay as they are; rows of
+one doc_id with different texts may be linked on either text (number the rows first where that
+can be, as the pipeline does); a null doc_id stays alone with a null component; other columns
 are ignored.
 """
 
@@ -210,7 +211,6 @@ class _Linker:
         """Make the shingle sets of these classes, where not made before."""
         if self.sets is not None:
             nodes = nodes.join(self.sets.select("node"), "node", "left_anti")
-        # One class, one text: a doc_id with several texts keeps the text of the class it stands for.
         fetched = write_through(shingle_sets(only_nodes(self.texts, nodes), self.width).join(nodes.select("node"), "node", "left_semi"), "minhash-sets")
         self.sets = fetched if self.sets is None else self.sets.union(fetched)
 
