@@ -34,9 +34,12 @@ def standardize_source(df: DataFrame, label: str, flag: str, amount: str) -> Dat
 
 
 def _common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
-    """None when Spark widens the pair by itself; text when one side is text."""
+    """None when Spark widens the pair by itself; a number for a boolean beside a number; else text."""
     if a == b or (isinstance(a, T.NumericType) and isinstance(b, T.NumericType)):
         return None
+    for one, other in ((a, b), (b, a)):
+        if isinstance(one, T.BooleanType) and isinstance(other, T.NumericType):
+            return other
     return T.StringType()
 
 

@@ -24,7 +24,6 @@ FOREST_SEED = 42
 
 # Spark's limit; trees are grown until their leaves are pure or it is reached.
 FOREST_DEPTH = 30
-ROWS_PER_TASK = 50_000
 
 
 def model_matrix(
@@ -46,24 +45,17 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
 
 
-def _training_rows(train: DataFrame, features: Sequence[str], spread: bool) -> tuple[DataFrame, int]:
+def _training_rows(train: DataFrame, features: Sequence[str]) -> tuple[DataFrame, int]:
     """(features, label, weight) cached, and the row count.
 
-    Every iteration is a job over these rows. Few rows are packed into few tasks for the
-    logistic steps, which are cheap, and spread over all cores for trees, which are not.
-    A large table keeps the partitions it has.
+    Every iteration is a job over these rows. They are spread evenly over
+    ``spark.sql.shuffle.partitions`` partitions, whatever their number and whatever the cores, so
+    a model depends on rows, seed and that setting alone.
     """
     weighted = with_balanced_weight(train.where("label is not null"), "label")
-    n = weighted.count()
     rows = _assembler(features).transform(weighted).select("features", "label", "weight")
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    needed = max(1, n // ROWS_PER_TASK)
-    if spread:
-        if needed < cores:
-            rows = rows.repartition(cores)
-    else:
-        rows = rows.coalesce(needed)
-    return rows.persist(), n
+    rows = rows.repartition(int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))).persist()
+    return rows, rows.count()
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str]) -> PipelineModel:
@@ -72,7 +64,7 @@ def fit_logistic(train: DataFrame, features: Sequence[str]) -> PipelineModel:
     Balanced weights sum to the row count n and Spark divides the loss by that sum, so the
     penalty of C = 1 is 1 / n.
     """
-    rows, n = _training_rows(train, features, spread=False)
+    rows, n = _training_rows(train, features)
     try:
         model = LogisticRegression(
             weightCol="weight",
@@ -93,7 +85,7 @@ def fit_forest(train: DataFrame, features: Sequence[str], depth: int = FOREST_DE
     Memory for split statistics is raised so that a whole level of all trees is grown in
     few passes over the cached points.
     """
-    rows, _ = _training_rows(train, features, spread=True)
+    rows, _ = _training_rows(train, features)
     try:
         model = RandomForestClassifier(
             weightCol="weight",

@@ -78,6 +78,12 @@ def test_report_on_empty_and_short_lists(spark):
     assert report[("missing_key", "duplicates")] == "missing_key column not found."
 
 
+def test_booleans_stack_with_numbers_as_numbers(spark):
+    flags, numbers = spark.createDataFrame([(True,), (None,)], "x boolean"), spark.createDataFrame([(2,)], "x int")
+    for both in (union.stack_by_name(flags, numbers), union.stack_by_name(numbers, flags)):
+        assert both.dtypes == [("x", "int")] and sorted(str(r.x) for r in both.collect()) == ["1", "2", "None"]
+
+
 def test_a_listed_value_is_no_message(spark):
     df = spark.createDataFrame([("not found",), ("out of",), ("not found",), ("x",), ("x",)] * 4, "b string")
     advised = quality.resolutions(quality.quality_report(df, quality.Rules())).where("check = 'value'").collect()
