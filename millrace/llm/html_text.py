@@ -3,7 +3,7 @@
 The tree builder closes what HTML closes by itself (paragraphs before blocks, list items, table
 rows and cells, options) and ignores closing tags of nothing open. Left out are the head,
 scripts, styles, templates, elements with ``hidden`` or display:none or visibility:hidden (in
-their style, or by a tag, class or id rule of a style sheet in the page), hidden inputs and the
+their style, or by a tag, class or id rule of a style sheet in the page, but for print), hidden inputs and the
 body of closed details. Everything else is emitted: blocks on lines of their own, paragraphs
 and headings set apart by an empty line, list items marked and indented, table cells padded to
 the width of their column.
@@ -35,6 +35,7 @@ CLOSES = {
 }
 DEEP = 20
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_PRINT = re.compile(r"@media\s+print\b[^{}]*\{(?:[^{}]*\{[^{}]*\})*[^{}]*\}", re.I)
 _RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
@@ -48,24 +49,30 @@ class Node:
 
 
 class _Tree(HTMLParser):
+    """Builds the tree; where the open elements of each tag stand is kept, so no tag looks through all that is open."""
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = Node("html", {})
         self.open = [self.root]
+        self.places: dict[str, list[int]] = {}
         self.styles: list[str] = []
 
+    def _innermost(self, tags) -> int:
+        """Where the innermost open element with one of these tags stands; 0 without any."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
     def _close_to(self, at: int) -> None:
+        for node in self.open[at:]:
+            self.places[node.tag].pop()
         del self.open[at:]
 
     def _close_first(self, tags: set[str], beyond) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            tag = self.open[i].tag
-            if tag in beyond:
+        barrier = self._innermost(beyond)
+        while (at := self._innermost(tags)) > barrier:
+            self._close_to(at)
+            if not tags & {"tr", "thead"}:
                 return
-            if tag in tags:
-                self._close_to(i)
-                if not tags & {"tr", "thead"}:
-                    return
 
     def handle_starttag(self, tag: str, attrs) -> None:
         if tag in ("html", "body"):
@@ -82,20 +89,19 @@ class _Tree(HTMLParser):
         node = Node(tag, dict(attrs))
         self.open[-1].children.append(node)
         if tag not in VOID:
+            self.places.setdefault(tag, []).append(len(self.open))
             self.open.append(node)
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in VOID and self.open[-1].tag == tag and tag not in BLOCK:
-            self.open.pop()
+            self._close_to(len(self.open) - 1)
 
     def handle_endtag(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            found = self.open[i].tag
-            if found == tag:
-                return self._close_to(i)
-            if found in ("table", "td", "th") and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
-                return None
+        at = self._innermost((tag,))
+        inside = 0 if tag in ("table", "tr", "tbody", "thead", "tfoot") else self._innermost(("table", "td", "th"))
+        if at and at >= inside:
+            self._close_to(at)
 
     def handle_data(self, data: str) -> None:
         if self.open[-1].tag == "style":
@@ -105,7 +111,7 @@ class _Tree(HTMLParser):
 
 def _hidden_selectors(styles: list[str]) -> set[str]:
     found: set[str] = set()
-    for selectors, body in _RULE.findall(" ".join(styles)):
+    for selectors, body in _RULE.findall(_PRINT.sub(" ", " ".join(styles))):
         if _HIDING.search(body):
             found.update(s.strip().lower() for s in selectors.split(",") if re.fullmatch(r"\s*[.#]?[\w-]+\s*", s))
     return found
@@ -224,6 +230,7 @@ class Renderer:
     def table(self, table: Node, depth: int) -> list[str]:
         """Rows of cells padded to their columns; a cell's further lines follow below its first."""
         out, rows = [], []
+        below: list[int] = []  # by column, how many rows a cell from above still takes
         todo = list(reversed(table.children))
         while todo:
             x = todo.pop()
@@ -239,8 +246,16 @@ class Renderer:
                         holder = c if isinstance(c, Node) and c.tag in ("td", "th") else Node("td", {})
                         if holder is not c:
                             holder.children = [c]
+                        while len(cells) < len(below) and below[len(cells)]:
+                            below[len(cells)] -= 1
+                            cells.append([""])
+                        first, wide = len(cells), min(_int(holder.attrs.get("colspan"), 1), 1000)
                         cells.append(self.lines(holder, depth) or [""])
-                        cells.extend([[""]] * (min(_int(holder.attrs.get("colspan"), 1), 1000) - 1))
+                        cells.extend([[""]] * (wide - 1))
+                        below.extend([0] * (len(cells) - len(below)))
+                        below[first : len(cells)] = [(_int(holder.attrs.get("rowspan"), 1) or 65535) - 1] * (len(cells) - first)
+                    for i in range(len(cells), len(below)):
+                        below[i] = max(0, below[i] - 1)
                     rows.append(cells)
                 elif x.tag in ("thead", "tbody", "tfoot"):
                     todo.extend(reversed(x.children))
