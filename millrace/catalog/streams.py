@@ -17,8 +17,8 @@ def _inbox(df, spark) -> str:
     return path
 
 
-# One file per day and group of users; a line is the three columns with commas and its end.
-DROPS = "select event_id, user_id, ts, user_id % 20 as grp, length(event_id || ',' || user_id || ',' || strftime(ts, '%Y-%m-%d %H:%M:%S')) + 1 as bytes from events"
+# Two files a day, a large one and one of few users; a line is the three columns with commas and its end.
+DROPS = "select event_id, user_id, ts, case when user_id % 15 = 0 then 1 else 0 end as grp, length(event_id || ',' || user_id || ',' || strftime(ts, '%Y-%m-%d %H:%M:%S')) + 1 as bytes from events"
 
 
 @query(
@@ -31,11 +31,11 @@ def stream_file_ingest(spark, sf_dir):
     df = table(spark, sf_dir, "events").select("event_id", "user_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))
     inbox, zone, checkpoint = scratch_path(spark, "inbox"), scratch_path(spark, "landed"), scratch_path(spark, "progress")
     quarantine = scratch_path(spark, "quarantine")
-    keyed = df.withColumns({"arrival": F.substring("at", 1, 10), "grp": F.col("user_id") % 20})
+    keyed = df.withColumns({"arrival": F.substring("at", 1, 10), "grp": (F.col("user_id") % 15 == 0).cast("int")})
     keyed.repartition("arrival", "grp").write.partitionBy("arrival", "grp").csv(inbox)
     for _ in range(2):  # the second run finds nothing new
         start_file_ingest(
-            spark, inbox, zone, checkpoint, df.schema, F.col("at").cast("timestamp_ntz"), "csv", files_per_trigger=400, quarantine=quarantine
+            spark, inbox, zone, checkpoint, df.schema, F.col("at").cast("timestamp_ntz"), "csv", files_per_trigger=40, quarantine=quarantine
         ).awaitTermination()
     good = read_landed(spark, zone, df.schema).select("event_id", "user_id", "year", "month", "day", F.lit(False).alias("quarantined"))
     bad = read_quarantine(spark, quarantine, df.schema).select("event_id", "user_id", F.lit(True).alias("quarantined"), "file_size")
