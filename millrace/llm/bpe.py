@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Words remembered by one task, and the longest word worth remembering.
-REMEMBERED = 100_000
+REMEMBERED = 150_000
 LONGEST = 64
 #: Fragments up to this many symbols are merged by plain search.
 SHORT = 32
