@@ -6,13 +6,14 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.operators.encode import encode_label
 from millrace.operators.metrics import binary_metrics, split_by_key, with_balanced_weight
 from millrace.operators.schema import integers_to_double, require
+from millrace.plans import forest
 
 # Learner settings.
 SPLIT_SEED = 42
@@ -22,7 +23,7 @@ LOGISTIC_C = 1.0
 FOREST_TREES = 100
 FOREST_SEED = 42
 
-# Spark's limit; trees are grown until their leaves are pure or it is reached.
+# Trees are grown until their leaves are pure or it is reached.
 FOREST_DEPTH = 30
 
 
@@ -80,26 +81,8 @@ def fit_logistic(train: DataFrame, features: Sequence[str]) -> PipelineModel:
 
 
 def fit_forest(train: DataFrame, features: Sequence[str], depth: int = FOREST_DEPTH) -> PipelineModel:
-    """Balanced random forest, 100 trees, square root of the features per split.
-
-    Memory for split statistics is raised so that a whole level of all trees is grown in
-    few passes over the cached points.
-    """
-    rows, _ = _training_rows(train, features)
-    try:
-        model = RandomForestClassifier(
-            weightCol="weight",
-            numTrees=FOREST_TREES,
-            seed=FOREST_SEED,
-            featureSubsetStrategy="sqrt",
-            maxDepth=depth,
-            minInstancesPerNode=1,
-            maxMemoryInMB=512,
-            cacheNodeIds=True,
-        ).fit(rows)
-    finally:
-        rows.unpersist()
-    return PipelineModel([_assembler(features), model])
+    """Balanced random forest, 100 trees, square root of the features per split."""
+    return PipelineModel([forest.fit(train, "label", features, FOREST_TREES, depth, FOREST_SEED)])
 
 
 def train_and_score(matrix: DataFrame, key: str, features: Sequence[str], fit) -> DataFrame:

@@ -266,3 +266,51 @@ def test_balanced_weights_sum_to_rows(spark):
     df = spark.createDataFrame([(0,)] * 9 + [(1,)], "y int")
     weighted = metrics.with_balanced_weight(df, "y")
     assert weighted.agg(F.sum("weight")).first()[0] == pytest.approx(10.0)
+
+
+def test_forest_is_one_model_wherever_its_nodes_are_finished(spark, monkeypatch):
+    """Large nodes are split by jobs, small ones where their rows are; the model is a table that can be saved."""
+    from millrace.plans import forest, learning
+    from millrace.session import scratch_path
+
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=(1200, 3))
+    labels = np.where(rnd.random(1200) < 0.1, 1.0, (x[:, 0] * x[:, 1] > 0).astype(float))
+    rows = [(i, *map(float, r), bool(r[2] > 0), None if i % 50 == 0 else float(y)) for i, (r, y) in enumerate(zip(x, labels))]
+    df = spark.createDataFrame(rows, "k long, a double, b double, c double, d boolean, label double")
+    monkeypatch.setattr(learning, "FOREST_TREES", 12)
+
+    def scored(model):
+        return {r.k: (r.prediction, r.probability.toArray().tolist()) for r in model.transform(df).select("k", "prediction", "probability").collect()}
+
+    features = ["a", "b", "c", "d"]
+    whole = learning.fit_forest(df, features)
+    monkeypatch.setattr(forest, "FINISHED", 60)
+    monkeypatch.setattr(forest, "TOGETHER", 7)
+    monkeypatch.setattr(forest, "SCORED", 500)
+    cut = learning.fit_forest(df, features)
+    assert whole.stages[0].ends.count() == 12 < cut.stages[0].ends.count()
+    want = scored(whole)
+    assert scored(cut) == want
+    zone = scratch_path(spark, "forests")
+    assert learning.save_model(spark, cut, zone) == 1
+    assert scored(learning.load_model(zone, 1)) == want
+    right = np.mean([want[r[0]][0] == r[-1] for r in rows if r[-1] is not None])
+    assert len(want) == 1200 and right > 0.95
+    assert max(len(r.feature) for r in whole.stages[0].ends.collect()) > 100
+    with pytest.raises(Exception, match="missing value"):
+        learning.fit_forest(df.withColumn("a", F.lit(float("nan"))), features)
+
+
+def test_forest_of_odd_tables(spark):
+    """Three classes, rows that come several times, one class only, no rows to score, no rows to learn."""
+    from millrace.plans import learning
+
+    df = spark.range(300).selectExpr("cast(id % 30 as double) as x", "cast(id % 30 div 10 as double) as label", "true as flag")
+    model = learning.fit_forest(df, ["x", "flag"])
+    assert model.transform(df).where("prediction = label").count() == 300
+    assert model.transform(df.where("x < 0")).count() == 0
+    one = learning.fit_forest(df.withColumn("label", F.lit(0.0)), ["x", "flag"])
+    assert {r.prediction for r in one.transform(df).collect()} == {0.0}
+    with pytest.raises(ValueError):
+        learning.fit_forest(df.where("x < 0"), ["x", "flag"])
