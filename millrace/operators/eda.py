@@ -14,7 +14,7 @@ from millrace.operators.counts import modes
 from millrace.operators.quality import FENCE_FACTOR
 from millrace.operators.quantiles import QUARTILES, exact_quantiles, fit_quantiles, long_numbers
 from millrace.operators.schema import dtype_of, numeric_columns, text_columns
-from millrace.session import write_through
+from millrace.session import short_methods, write_through
 
 GRID_POINTS = 200
 #: Bandwidths that a value reaches: exp(-9 * 9 / 2) is 3e-18.
@@ -94,33 +94,36 @@ def count_by_label(df: DataFrame, columns: Sequence[str], label: str) -> DataFra
     )
 
 
-def _ends(x: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.min(x, axis=0, where=rows, initial=np.inf), np.max(x, axis=0, where=rows, initial=-np.inf)
-
-
 def _gram(batches: Iterable[pa.RecordBatch], centres: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Sums over the rows where both columns of a pair are present, a row per pair for the whole task.
 
     With M the presence mask and X the centred cells, holes as zeros, the sums of all pairs are
-    the products M'M, X'X, X'M and (X*X)'M, batch by batch.
+    the products MM', XX', XM' and (X*X)M', batch by batch. A column whose sums over a batch show a spread
+    far above rounding has different ends there; only where none did, its least and greatest cells are looked up.
     """
     k = len(centres)
     n, shared, sums, squares = (np.zeros((k, k)) for _ in range(4))
     low, high = np.full((k, k), np.inf), np.full((k, k), -np.inf)
+    spread = np.ones((k, k), bool)
+    spread[left, right] = spread[right, left] = False
     for batch in batches:
-        raw = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float)
+        raw = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float, copy=False)
         mask = ~np.isnan(raw)
-        x = np.where(mask, raw - centres, 0.0)
+        x = np.where(mask, raw - centres[:, None], 0.0)
         m = mask.astype(float)
-        n += m.T @ m
-        shared += x.T @ x
-        sums += x.T @ m
-        squares += (x * x).T @ m
-        ends = _ends(x, mask)
-        for j in range(k):
-            # Against a complete column every column keeps all its rows.
-            low_j, high_j = ends if mask[:, j].all() else _ends(x, mask & mask[:, j : j + 1])
-            low[:, j], high[:, j] = np.minimum(low[:, j], low_j), np.maximum(high[:, j], high_j)
+        with np.errstate(all="ignore"):
+            both, sum_of, square_of = m @ m.T, x @ m.T, (x * x) @ m.T
+            n += both
+            shared += x @ x.T
+            sums += sum_of
+            squares += square_of
+            spread |= square_of - sum_of * sum_of / both > 1e-6 * square_of
+        for j in np.flatnonzero(~spread.all(axis=0)):
+            rest = ~spread[:, j]
+            rows = mask[rest] & mask[j]
+            low[rest, j] = np.minimum(low[rest, j], np.min(x[rest], axis=1, where=rows, initial=np.inf))
+            high[rest, j] = np.maximum(high[rest, j], np.max(x[rest], axis=1, where=rows, initial=-np.inf))
+    low[spread], high[spread] = -np.inf, np.inf
     i, j = left, right
     yield pa.record_batch({
         "pair": np.arange(len(left)), "n": n[i, j], "shared": shared[i, j], "sum_a": sums[i, j], "sum_b": sums[j, i],
@@ -139,7 +142,8 @@ def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFr
     place = {c: i for i, c in enumerate(columns)}
     numbers = df.select(*[to_number(F.col(c), dtype_of(df, c)).alias(f"y{i}") for c, i in place.items()])
     facts = ("avg", "min", "max")
-    seen = numbers.agg(*[F.expr(f"{fact}(y{i}) as {fact}{i}") for i in place.values() for fact in facts]).first()
+    with short_methods(df.sparkSession):
+        seen = numbers.agg(*[F.expr(f"{fact}(y{i}) as {fact}{i}") for i in place.values() for fact in facts]).first()
 
     def centre(i: int) -> float:
         # A constant column is centred on itself, so its spread is exactly 0.
@@ -155,6 +159,8 @@ def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFr
     total = blocks.groupBy("pair").agg(
         *[F.sum(c).alias(c) for c in parts], *[(F.min if c.startswith("low") else F.max)(c).alias(c) for c in ends]
     )
+    with short_methods(df.sparkSession):
+        total = write_through(total, "correlations")
     spread = "(square_{0} - try_divide(sum_{0} * sum_{0}, n))"
     # A column may be constant on the shared rows only: rounding must not give it a spread.
     r = F.expr(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,4 +75,29 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._written_to = path
+    return out
+
+
+@contextmanager
+def short_methods(spark: SparkSession) -> Iterator[None]:
+    """For jobs with very wide projections, run inside.
+
+    The JVM never compiles a method of more than 8,000 bytes. With this limit Spark doesn't fuse
+    such a projection into one method, but cuts it into many.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete copies made by ``write_through`` once nothing that is still to run reads them."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -314,3 +314,28 @@ def test_forest_of_odd_tables(spark):
     assert {r.prediction for r in one.transform(df).collect()} == {0.0}
     with pytest.raises(ValueError):
         learning.fit_forest(df.where("x < 0"), ["x", "flag"])
+
+
+def test_correlations_see_where_columns_are_constant(spark):
+    """Constant throughout, on the shared rows only, or almost; wide jobs run in methods that the JVM compiles."""
+    from millrace.session import short_methods
+
+    rnd = np.random.default_rng(9)
+    x = rnd.normal(size=(3000, 4)) * [1, 1e-7, 1e9, 1] + [0, 1e3, 0, 5]
+    frame = pd.DataFrame(x, columns=list("abcd"))
+    frame["same"] = 7.25
+    frame["part"] = np.where(np.arange(3000) < 1500, 3.5, x[:, 0])
+    frame["half"] = np.where(np.arange(3000) < 1500, x[:, 3], np.nan)
+    frame["near"] = 1e6 + np.where(np.arange(3000) == 7, 1e-3, 0)
+    df = spark.createDataFrame([tuple(None if v != v else v for v in r) for r in frame.to_numpy().tolist()], ", ".join(f"{c} double" for c in frame))
+    limit = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    got = {(r.col_a, r.col_b): r.r for r in eda.correlation_matrix(df).collect()}
+    for a in frame:
+        for b in frame:
+            if "same" in (a, b) or {a, b} == {"part", "half"}:
+                assert got[a, b] is None
+            else:
+                assert got[a, b] == pytest.approx(frame[a].corr(frame[b]), abs=1e-6)
+    with short_methods(spark):
+        assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == limit
