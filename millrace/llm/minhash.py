@@ -39,7 +39,9 @@ LONGS = MINIMA * BITS // 64
 MARGIN = 0.17
 #: Minima of one bit for the classes of open buckets, and four standard deviations of their estimate.
 FINE, FINE_MARGIN = 1024, 0.075
-REMEMBERED = 500_000
+REMEMBERED = 200_000
+#: Rows handled at a time.
+STEP = 512
 #: Bits of the filter of wanted documents.
 WANTED_BITS = 23
 
@@ -95,12 +97,16 @@ def signature(s: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray,
     return keys.view(np.int64), packed.view(np.int64)
 
 
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (whole.slice(at, STEP) for whole in batches for at in range(0, len(whole), STEP))
+
+
 def signatures(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, n_shingles, key, bands, bits): one row per document; key names its set, null if empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, (a, b) = _Words(), _families()
-        for batch in batches:
+        for batch in _steps(batches):
             sizes, keys, bands, bits = [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingles(text, words, width)
@@ -160,7 +166,7 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
-        for batch in batches:
+        for batch in _steps(batches):
             sets = [shingles(t, words, width).view(np.int64) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
@@ -173,7 +179,7 @@ def fine_bits(sets: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         draw = np.random.default_rng(21)
         a, b = draw.integers(0, 2**63, FINE, np.uint64) * np.uint64(2) + np.uint64(1), draw.integers(0, 2**63, FINE, np.uint64)
-        for batch in batches:
+        for batch in _steps(batches):
             out = []
             for s in batch.column("shingles"):
                 s = s.values.to_numpy().view(np.uint64)
