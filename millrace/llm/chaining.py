@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.minhash import _mix, _Words
-from millrace.session import write_through
+from millrace.session import release, write_through
 
 K, WINDOW = 5, 4
 GAP = 0.1
@@ -79,21 +79,25 @@ def seeds(docs: DataFrame, min_words: int) -> DataFrame:
     return rows.mapInArrow(run, "seed long, doc long, pos int")
 
 
-def matches(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def matches(docs: DataFrame, min_words: int = MIN_WORDS, read: list[DataFrame] | None = None) -> DataFrame:
     """(doc, owner, pos, owner_pos): seeds of a document that an earlier one has, at its first and its latest place before.
 
-    Where both are the same, the match comes twice; ``chains`` drops the second.
+    Where both are the same, the match comes twice; ``chains`` drops the second. ``read`` gets the
+    written tables that the result reads.
     """
+    read = [] if read is None else read
     found = write_through(seeds(docs, min_words), "chain-seeds")
     # Written, so that the join below has a shuffle on either side and its hot seeds can be split.
     shared = write_through(found.groupBy("seed").agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).where("owner < last"), "chain-owners")
     rows = write_through(found.join(shared.select("seed", "owner"), "seed"), "chain-shared")
+    release(found, shared)
     owned = write_through(rows.where("doc = owner").groupBy("seed").agg(F.min("pos").alias("owner_pos")), "chain-owned")
     first = rows.where("doc > owner").join(owned, "seed").select("doc", "owner", "pos", "owner_pos")
-    return first.unionByName(previous(rows.select("seed", "doc", "pos")))
+    read += [rows, owned]
+    return first.unionByName(previous(rows.select("seed", "doc", "pos"), read))
 
 
-def previous(rows: DataFrame) -> DataFrame:
+def previous(rows: DataFrame, read: list[DataFrame] | None = None) -> DataFrame:
     """(doc, owner, pos, owner_pos): each seed with its last place in the nearest earlier document that has it.
 
     Rows are sorted by range, so a seed of very many documents spans tasks. A task also gives the
@@ -130,6 +134,8 @@ def previous(rows: DataFrame) -> DataFrame:
 
     placed = rows.repartitionByRange("seed", "doc", "pos").sortWithinPartitions("seed", "doc", "pos")
     found = write_through(placed.mapInArrow(run, "kind int, seed long, doc long, owner long, pos int, owner_pos int"), "chain-previous")
+    if read is not None:
+        read.append(found)
     heads = found.where("kind = 1").select("seed", "doc", "pos")
     tails = found.where("kind = 2").select("seed", "owner", "owner_pos")
     over = (
@@ -142,6 +148,9 @@ def previous(rows: DataFrame) -> DataFrame:
 def chain(x: np.ndarray, y: np.ndarray) -> list[list[int]]:
     """Chains of matches (x ascending, then y descending): indices, each match in one chain, best chains first."""
     n = len(x)
+    step = np.diff(x)
+    if ((step > 0) & (GAP * 2 * step < K - 0.1) & (step <= MAX_GAP) & (step == np.diff(y))).all():
+        return [list(range(n))]  # in step and close: each match gains most from the one before it
     place = (np.unique(y, return_inverse=True)[1] + 1).tolist()
     top = max(place)
     tree: list[tuple[float, int]] = [(-np.inf, -1)] * (top + 1)
@@ -179,6 +188,8 @@ def chain(x: np.ndarray, y: np.ndarray) -> list[list[int]]:
 def returning(x: np.ndarray, y: np.ndarray) -> tuple[list[tuple[int, int, int]], np.ndarray]:
     """(first, last, owner position) of seeds that come again and again, as in a line said many times; and which matches these are."""
     out, inside = [], np.zeros(len(x), bool)
+    if len(x) < 3:
+        return out, inside
     order = np.lexsort((x, y))
     xs, ys = x[order], y[order]
     cut = np.flatnonzero((np.diff(ys) != 0) | (np.diff(xs) > MAX_GAP)) + 1
@@ -266,6 +277,14 @@ def align(a: np.ndarray, b: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> list[
         right = _outwards(a[x1 : x1 + n] == b[y1 : y1 + n])
         out.append((x0 - left[0], x1 + right[0], y0 - left[0], y1 + right[0], equal + K + left[1] + right[1], columns + K + left[0] + right[0]))
 
+    at = xs - xs[0]
+    if (at == ys - ys[0]).all():  # words stay in step: all counts at once
+        total = np.concatenate([[0], (a[xs[0] : xs[-1]] == b[ys[0] : ys[-1]]).cumsum()])
+        wide = np.diff(at)
+        if not ((wide > 2 * K) & (2 * np.diff(total[at]) < wide)).any():
+            equal, columns = int(total[-1]), int(at[-1])
+            close(len(xs) - 1)
+            return out
     for i in range(1, len(xs)):
         x0, x1, y0, y1 = int(xs[i - 1]), int(xs[i]), int(ys[i - 1]), int(ys[i])
         same = int((a[x0:x1] == b[y0:y1]).sum()) if x1 - x0 == y1 - y0 else _common(a[x0:x1], b[y0:y1])
@@ -296,13 +315,15 @@ def _slices(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.join(wanted, "doc").select("doc", "text", "a", "b").mapInArrow(run, "doc long, a int, b int, words array<int>")
 
 
-def _aligned(linked: DataFrame, texts: DataFrame, margin: int) -> DataFrame:
-    """Aligned stretches of chains, or, where one ends with the text read, the chain itself (``xs`` not null), to be read further."""
+def _aligned(linked: DataFrame, texts: DataFrame, margin: int, read: list[DataFrame]) -> DataFrame:
+    """Aligned stretches of chains, or, where one ends with the text read, the chain itself (``xs`` not null), to be read further. ``read`` gets the written table it reads."""
     low = lambda c: F.greatest(F.array_min(c) - margin, F.lit(0))
     high = lambda c: F.array_max(c) + K + margin + F.col("reach")
     linked = linked.select("*", low("xs").alias("xa"), high("xs").alias("xb"), low("ys").alias("ya"), high("ys").alias("yb"))
     wanted = linked.select("doc", F.col("xa").alias("a"), F.col("xb").alias("b")).union(linked.select("owner", "ya", "yb")).distinct()
-    cut = write_through(_slices(texts, wanted), "chain-slices").dropDuplicates(["doc", "a", "b"])
+    cut = write_through(_slices(texts, wanted), "chain-slices")
+    read.append(cut)
+    cut = cut.dropDuplicates(["doc", "a", "b"])
     one = cut.select("doc", F.col("a").alias("xa"), F.col("b").alias("xb"), F.col("words").alias("left"))
     two = cut.select(F.col("doc").alias("owner"), F.col("a").alias("ya"), F.col("b").alias("yb"), F.col("words").alias("right"))
     kinds = [(c, pa.int64()) for c in ("doc", "start", "end", "owner", "owner_start", "owner_end", "equal", "columns")]
@@ -332,13 +353,23 @@ def _aligned(linked: DataFrame, texts: DataFrame, margin: int) -> DataFrame:
     )
 
 
-def pieces(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, start, end, owner, owner_start, owner_end, equal, columns): aligned stretches that agree enough."""
-    linked = write_through(chains(matches(docs, min_words)), "chain-chains")
+def pieces(docs: DataFrame, min_words: int = MIN_WORDS, read: list[DataFrame] | None = None) -> DataFrame:
+    """(doc, start, end, owner, owner_start, owner_end, equal, columns): aligned stretches that agree enough.
+
+    Written tables are deleted as soon as nothing reads them any more; ``read`` gets those that the result reads.
+    """
+    used: list[DataFrame] = []
+    linked = write_through(chains(matches(docs, min_words, used)), "chain-chains")
+    release(*used)
+    used = [linked]
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc"), "text")
     made, margin = None, MARGIN
     while True:
-        found = write_through(_aligned(linked, texts, margin), "chain-aligned")
+        found = write_through(_aligned(linked, texts, margin, used), "chain-aligned")
+        release(*used)
+        used = []
+        if read is not None:
+            read.append(found)
         done = found.where("xs is null").drop("xs", "ys", "reach")
         made = done if made is None else made.unionByName(done)
         linked = found.where("xs is not null").select("doc", "owner", "xs", "ys", "reach")
@@ -353,7 +384,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     Words start to end of doc_id repeat words of the earlier owner_id; passages are the
     stretches of touching pieces with at least ``min_words`` words.
     """
-    found = write_through(pieces(docs, min_words), "chain-pieces")
+    read: list[DataFrame] = []
+    found = write_through(pieces(docs, min_words, read), "chain-pieces")
+    release(*read)
     order = Window.partitionBy("doc").orderBy("start", "end", "owner", "owner_start")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum((reach.isNull() | (F.col("start") > reach + 2)).cast("int")).over(order)
