@@ -339,3 +339,31 @@ def test_correlations_see_where_columns_are_constant(spark):
     with short_methods(spark):
         assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == limit
+
+
+def test_stages_run_in_methods_that_the_jvm_compiles(spark, monkeypatch):
+    """The limit holds while each stage writes, and not after it."""
+    from datetime import datetime
+
+    from millrace.plans import stages
+
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(name)
+    df = spark.createDataFrame([("1", "x", 1.0)], "customerID string, Contract string, tenure double")
+
+    def limit(*args, **kwargs):
+        seen.append(int(spark.conf.get(name)))
+        return df
+
+    for step in ("land_raw", "write_through", "publish", "quality_report", "full_refresh"):
+        monkeypatch.setattr(stages, step, limit)
+    for step in ("resolutions", "suite_results", "merge_sources", "impute_merged", "read_snapshot", "prepare", "to_warehouse_types", "stamp"):
+        monkeypatch.setattr(stages, step, lambda *args, **kwargs: df)
+    zones, at = stages.Zones("/nowhere"), datetime(2024, 3, 1)
+    stages.land_stage(df, zones, "a", at)
+    stages.validate_stage(df, stages.Rules(key="customerID"), None, zones, "a", at)
+    stages.merge_stage(df, df, zones, at)
+    stages.prepare_stage(spark, zones, at)
+    stages.load_stage(spark, zones, "nowhere", at)
+    assert len(seen) == 8 and max(seen) <= 8000
+    assert spark.conf.get(name) == before
