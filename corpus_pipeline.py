@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import chaining, minhash, packing, toxicity
 from millrace.llm.common import table
-from millrace.session import write_through
+from millrace.session import small_batches, write_through
 
 # Iterative and fitted stages have no SQL form.
 ORACLE_SQL = None
@@ -38,9 +38,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts are scored like any other; a clean text stays even if a toxic one has its doc_id.
     """
-    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     rows = _numbered(docs)
-    rejected = toxicity.score_documents(rows.select("doc_id", "text"), model).where("predicted = 1")
+    with small_batches(spark):
+        model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+        rejected = toxicity.score_documents(rows.select("doc_id", "text"), model).where("predicted = 1")
+        rejected = write_through(rejected.select("doc_id"), "pipeline-rejected")
     return _restored(_without(rows, rejected), docs.columns)
 
 

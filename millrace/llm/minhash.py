@@ -25,12 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.llm.common import components
-from millrace.session import cut_lineage, write_through
+from millrace.session import cut_lineage, small_batches, write_through
 
 BANDS, ROWS, BITS = 32, 4, 2
 MINIMA = BANDS * ROWS
@@ -127,38 +126,32 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_shingles long, key binary, bands array<long>, bits array<long>")
 
 
-def _slots(nodes: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return _mix(nodes.view(np.uint64)) >> np.uint64(64 - WANTED_BITS)
+def _slot(node: str) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(node), 64 - WANTED_BITS)
+
+
+def _bit(slot: str) -> Column:
+    return F.expr(f"shiftleft(1L, cast({slot} & 63 as int))")
 
 
 def wanted_bits(nodes: DataFrame) -> np.ndarray:
     """A filter of fixed size (1 MB) that these nodes pass, and few others."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slots = _slots(batch.column("node").to_numpy())
-            bits = np.uint64(1) << (slots & np.uint64(63))
-            yield pa.record_batch({"at": (slots >> np.uint64(6)).astype(np.int64), "bits": bits.view(np.int64)})
-
-    found = nodes.select("node").mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(1 << (WANTED_BITS - 6), np.uint64)
-    out[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    slots = nodes.select(_slot("node").alias("slot")).select(F.shiftright("slot", 6).alias("at"), _bit("slot").alias("bits"))
+    found = slots.groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << (WANTED_BITS - 6), np.int64)
+    out[found["at"].to_numpy()] = found["bits"].to_numpy()
     return out
 
 
 def only_nodes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The rows (node, ...) of these nodes, and of a few others that pass the filter too: thinned out where they are read."""
-    shared = rows.sparkSession.sparkContext.broadcast(wanted_bits(nodes))
+    """The rows (node, ...) of these nodes, and of a few others that pass the filter too: thinned out where they are read.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            known = whole.filter(pc.is_valid(whole.column("node")))
-            slots = _slots(known.column("node").to_numpy())
-            wanted = (shared.value[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1) > 0
-            yield known.filter(pa.array(wanted))
-
-    return rows.mapInArrow(run, rows.schema)
+    The filter is a broadcast row, so texts and sets don't go through Python for it.
+    """
+    wanted = rows.sparkSession.createDataFrame(pa.table({"wanted": pa.array([wanted_bits(nodes)], pa.list_(pa.int64()))}))
+    known = rows.where("node is not null").withColumn("slot", _slot("node"))
+    passes = F.get("wanted", F.shiftright("slot", 6).cast("int")).bitwiseAND(_bit("slot")) != 0
+    return known.join(F.broadcast(wanted), passes, "left_semi").drop("slot")
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -275,6 +268,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, growth:
     Linked: 100 * intersection >= percent * union. component_id is the smallest doc_id
     reachable; kept is true for that document.
     """
+    with small_batches(docs.sparkSession, STEP):
+        return _near_duplicates(docs, width, percent, growth)
+
+
+def _near_duplicates(docs: DataFrame, width: int, percent: int, growth: int) -> DataFrame:
     made = write_through(signatures(docs, width), "minhash-signatures")
     classes = write_through(
         made.where("key is not null and doc_id is not null")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,21 +81,29 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
 
 
 @contextmanager
-def short_methods(spark: SparkSession) -> Iterator[None]:
-    """For jobs with very wide projections, run inside.
-
-    The JVM never compiles a method of more than 8,000 bytes. With this limit Spark doesn't fuse
-    such a projection into one method, but cuts it into many.
-    """
-    name = "spark.sql.codegen.hugeMethodLimit"
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     before = spark.conf.get(name)
-    spark.conf.set(name, "8000")
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def short_methods(spark: SparkSession) -> AbstractContextManager[None]:
+    """For jobs with very wide projections, run inside.
+
+    The JVM never compiles a method of more than 8,000 bytes. With this limit Spark doesn't fuse
+    such a projection into one method, but cuts it into many.
+    """
+    return _setting(spark, "spark.sql.codegen.hugeMethodLimit", "8000")
+
+
+def small_batches(spark: SparkSession, rows: int = 512) -> AbstractContextManager[None]:
+    """For jobs that hand whole texts or long arrays to Python, run inside: a task holds one batch, in Spark and in Python."""
+    return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def release(*tables: DataFrame) -> None:
     """Delete copies made by ``write_through`` once nothing that is still to run reads them."""
     for df in tables:

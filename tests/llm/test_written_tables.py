@@ -84,3 +84,27 @@ def test_rows_decoded_together_are_decoded_alone(spark, monkeypatch):
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
     made = bpe.encode_documents(rows, path).withColumn("decoded", bpe.decoder(path)("ids")).collect()
     assert {r.doc_id: (r.ids, r.decoded) for r in made} == {i: (own.encode(t).tolist(), bpe.decode(own.encode(t), tokens)) for i, t in enumerate(texts)}
+
+
+def test_near_duplicates_thin_rows_without_python(spark):
+    """Wanted nodes pass the filter, null ones don't, and no row goes through Python for it."""
+    from millrace.llm import minhash
+
+    nodes = spark.createDataFrame([(n,) for n in (-5, 0, 7, 2**62)], "node long")
+    rows = spark.createDataFrame([(n, "x") for n in (-5, 0, 7, 2**62, None, *range(1000, 2000))], "node long, text string")
+    found = minhash.only_nodes(rows, nodes)
+    assert "InArrow" not in found._jdf.queryExecution().toString()
+    got = [r.node for r in found.collect()]
+    assert found.columns == ["node", "text"] and {-5, 0, 7, 2**62} <= set(got) and None not in got and len(got) < 10
+    assert minhash.only_nodes(rows, nodes.where("false")).count() == 0
+
+
+def test_near_duplicates_hand_few_rows_at_a_time_to_python(spark, monkeypatch):
+    from millrace.llm import minhash
+
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before, write = spark.conf.get(name), minhash.write_through
+    monkeypatch.setattr(minhash, "write_through", lambda df, label: seen.append(int(spark.conf.get(name))) or write(df, label))
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, None)], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs).collect()} == {(1, 1), (2, 1), (3, 3)}
+    assert max(seen) <= 512 and spark.conf.get(name) == before
