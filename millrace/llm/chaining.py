@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,12 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.llm.minhash import _mix, _Words
-from millrace.session import release, write_through
+from millrace.session import release, short_lived_shuffles, small_batches, write_through
 
 K, WINDOW = 5, 4
 GAP = 0.1
 MAX_GAP, MARGIN = 30, 64
 MIN_WORDS, MIN_PIECE, ALIKE = 50, 20, 0.8
+#: Parts of the documents that are aligned one after another.
+PARTS = 4
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -315,15 +318,17 @@ def _slices(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.join(wanted, "doc").select("doc", "text", "a", "b").mapInArrow(run, "doc long, a int, b int, words array<int>")
 
 
-def _aligned(linked: DataFrame, texts: DataFrame, margin: int, read: list[DataFrame]) -> DataFrame:
-    """Aligned stretches of chains, or, where one ends with the text read, the chain itself (``xs`` not null), to be read further. ``read`` gets the written table it reads."""
+def _aligned(linked: DataFrame, texts: DataFrame, margin: int) -> list[DataFrame]:
+    """Aligned stretches of chains, or, where one ends with the text read, the chain itself (``xs`` not null), to be read further.
+
+    Written part by part of the documents, as every chain shuffles the words it is aligned with.
+    """
     low = lambda c: F.greatest(F.array_min(c) - margin, F.lit(0))
     high = lambda c: F.array_max(c) + K + margin + F.col("reach")
     linked = linked.select("*", low("xs").alias("xa"), high("xs").alias("xb"), low("ys").alias("ya"), high("ys").alias("yb"))
     wanted = linked.select("doc", F.col("xa").alias("a"), F.col("xb").alias("b")).union(linked.select("owner", "ya", "yb")).distinct()
-    cut = write_through(_slices(texts, wanted), "chain-slices")
-    read.append(cut)
-    cut = cut.dropDuplicates(["doc", "a", "b"])
+    written = write_through(_slices(texts, wanted), "chain-slices")
+    cut = written.dropDuplicates(["doc", "a", "b"])
     one = cut.select("doc", F.col("a").alias("xa"), F.col("b").alias("xb"), F.col("words").alias("left"))
     two = cut.select(F.col("doc").alias("owner"), F.col("a").alias("ya"), F.col("b").alias("yb"), F.col("words").alias("right"))
     kinds = [(c, pa.int64()) for c in ("doc", "start", "end", "owner", "owner_start", "owner_end", "equal", "columns")]
@@ -347,10 +352,16 @@ def _aligned(linked: DataFrame, texts: DataFrame, margin: int, read: list[DataFr
                         out.append((doc, x0 + xa, x1 + xa, owner, y0 + ya, y1 + ya, equal, wide, None, None, None))
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], schema.types[j]) for j in range(len(schema))], schema=schema)
 
-    rows = linked.join(one, ["doc", "xa", "xb"]).join(two, ["owner", "ya", "yb"])
-    return rows.select("doc", "owner", "xa", "xb", "ya", "yb", "reach", "xs", "ys", "left", "right").mapInArrow(
-        run, ", ".join(f"{c} long" for c, _ in kinds) + ", xs array<int>, ys array<int>, reach int"
-    )
+    out = []
+    for part in range(PARTS):
+        mine = F.pmod(F.xxhash64("doc"), F.lit(PARTS)) == part
+        rows = linked.where(mine).join(one.where(mine), ["doc", "xa", "xb"]).join(two, ["owner", "ya", "yb"])
+        found = rows.select("doc", "owner", "xa", "xb", "ya", "yb", "reach", "xs", "ys", "left", "right").mapInArrow(
+            run, ", ".join(f"{c} long" for c, _ in kinds) + ", xs array<int>, ys array<int>, reach int"
+        )
+        out.append(write_through(found, "chain-aligned"))
+    release(written)
+    return out
 
 
 def pieces(docs: DataFrame, min_words: int = MIN_WORDS, read: list[DataFrame] | None = None) -> DataFrame:
@@ -365,11 +376,12 @@ def pieces(docs: DataFrame, min_words: int = MIN_WORDS, read: list[DataFrame] |
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc"), "text")
     made, margin = None, MARGIN
     while True:
-        found = write_through(_aligned(linked, texts, margin, used), "chain-aligned")
+        parts = _aligned(linked, texts, margin)
         release(*used)
         used = []
         if read is not None:
-            read.append(found)
+            read += parts
+        found = reduce(DataFrame.union, parts)
         done = found.where("xs is null").drop("xs", "ys", "reach")
         made = done if made is None else made.unionByName(done)
         linked = found.where("xs is not null").select("doc", "owner", "xs", "ys", "reach")
@@ -385,7 +397,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     stretches of touching pieces with at least ``min_words`` words.
     """
     read: list[DataFrame] = []
-    found = write_through(pieces(docs, min_words, read), "chain-pieces")
+    spark = docs.sparkSession
+    with short_lived_shuffles(spark), small_batches(spark):
+        found = write_through(pieces(docs, min_words, read), "chain-pieces")
     release(*read)
     order = Window.partitionBy("doc").orderBy("start", "end", "owner", "owner_start")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))

@@ -104,6 +104,14 @@ def small_batches(spark: SparkSession, rows: int = 512) -> AbstractContextManage
     return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def short_lived_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """For chains of large jobs that each write a table, run inside: shuffle files go as soon as their job has ended.
+
+    Otherwise they stay until the driver happens to collect its garbage, and fill the executors' disks.
+    """
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def release(*tables: DataFrame) -> None:
     """Delete copies made by ``write_through`` once nothing that is still to run reads them."""
     for df in tables:

@@ -108,3 +108,33 @@ def test_near_duplicates_hand_few_rows_at_a_time_to_python(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, None)], "doc_id long, text string")
     assert {(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs).collect()} == {(1, 1), (2, 1), (3, 3)}
     assert max(seen) <= 512 and spark.conf.get(name) == before
+
+
+def test_shuffles_end_with_their_jobs(spark, monkeypatch):
+    """No shuffle of an earlier job is on disk while the passages are searched, and what goes in or out stays as set."""
+    import time
+
+    from millrace.llm import chaining
+
+    names = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    before, write, seen = [spark.conf.get(n) for n in names], chaining.write_through, []
+    tracked = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    held = set(tracked.keys().mkString(",").split(","))
+
+    def watched(df, label):
+        out, more = write(df, label), {""}
+        for _ in range(50):  # Spark may take a moment
+            more = set(tracked.keys().mkString(",").split(",")) - held - {""}
+            if not more:
+                break
+            time.sleep(0.1)
+        seen.append((label, [spark.conf.get(n) for n in names], more))
+        return out
+
+    monkeypatch.setattr(chaining, "write_through", watched)
+    passage = " ".join(f"w{i}" for i in range(80))
+    docs = spark.createDataFrame([(n, f"{passage} end{n}") for n in (1, 2, 3)], "doc_id long, text string")
+    assert {(r.doc_id, r.owner_id) for r in chaining.repeated_passages(docs).collect()} >= {(2, 1), (3, 1)}
+    assert {label for label, _, _ in seen} >= {"chain-seeds", "chain-shared", "chain-slices", "chain-pieces"}
+    assert not [s for s in seen if s[1] != ["true", "512"] or s[2]]
+    assert [spark.conf.get(n) for n in names] == before
