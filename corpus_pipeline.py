@@ -1,7 +1,7 @@
 """The corpus pipeline: toxicity, near duplicates, repeated passages, packing.
 
-Every stage decides on rows, not on doc_ids: it numbers its rows once, in a written copy, and the
-operators get the number in place of the id. So rows with a null id, repeated rows and several
+Every stage decides on rows, not on doc_ids: toxicity by their text; the others number their rows once, in a
+written copy, and the operators get the number in place of the id. So rows with a null id, repeated rows and several
 texts under one id are each judged by their own text. Columns other than doc_id and text travel in
 one struct, so none can clash with a name that an operator uses. Empty tables give empty tables.
 """
@@ -37,13 +37,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the toxicity model, fitted on all labelled documents among them, does not reject.
 
     Null and empty texts are scored like any other; a clean text stays even if a toxic one has its doc_id.
+    A score is of the text alone, so a 64-bit hash of the text stands for the row, and no copy of the rows is written.
     """
-    rows = _numbered(docs)
     with small_batches(spark):
         model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-        rejected = toxicity.score_documents(rows.select("doc_id", "text"), model).where("predicted = 1")
-        rejected = write_through(rejected.select("doc_id"), "pipeline-rejected")
-    return _restored(_without(rows, rejected), docs.columns)
+        rejected = toxicity.score_documents(docs.select(F.xxhash64("text").alias("doc_id"), "text"), model).where("predicted = 1")
+        rejected = write_through(rejected.select("doc_id").distinct(), "pipeline-rejected")
+    return docs.join(rejected, F.xxhash64(docs["text"]) == rejected["doc_id"], "left_anti")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

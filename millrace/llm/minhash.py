@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.llm.common import components
-from millrace.session import cut_lineage, small_batches, write_through
+from millrace.session import cut_lineage, release, small_batches, write_through
 
 BANDS, ROWS, BITS = 32, 4, 2
 MINIMA = BANDS * ROWS
@@ -200,7 +200,13 @@ def estimate(a: Column, b: Column, minima: int = MINIMA, bits: int = BITS) -> Co
 class _Linker:
     """Confirms candidate pairs of classes and keeps the shingle sets fetched so far."""
 
+    def written(self, df: DataFrame, label: str) -> DataFrame:
+        out = write_through(df, label)
+        self.used.append(out)
+        return out
+
     def __init__(self, docs: DataFrame, reps: DataFrame, width: int, percent: int) -> None:
+        self.used: list[DataFrame] = []  # what can go once the components are known
         self.texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
         self.bits = reps.select("node", "bits", F.col("n_shingles").alias("size"))
         self.width, self.percent = width, percent
@@ -210,7 +216,7 @@ class _Linker:
         """Make the shingle sets of these classes, where not made before."""
         if self.sets is not None:
             nodes = nodes.join(self.sets.select("node"), "node", "left_anti")
-        fetched = write_through(shingle_sets(only_nodes(self.texts, nodes), self.width).join(nodes.select("node"), "node", "left_semi"), "minhash-sets")
+        fetched = self.written(shingle_sets(only_nodes(self.texts, nodes), self.width).join(nodes.select("node"), "node", "left_semi"), "minhash-sets")
         self.sets = fetched if self.sets is None else self.sets.union(fetched)
 
     def own(self, nodes: DataFrame) -> DataFrame:
@@ -225,7 +231,7 @@ class _Linker:
         left = self.bits.select(F.col("node").alias("a"), F.col("bits").alias("bits_a"), F.col("size").alias("size_a"))
         right = self.bits.select(F.col("node").alias("b"), F.col("bits").alias("bits_b"), F.col("size").alias("size_b"))
         limit = self.percent / 100
-        likely = write_through(
+        likely = self.written(
             pairs.join(left, "a")
             .join(right, "b")
             .where((F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * self.percent) & (estimate(F.col("bits_a"), F.col("bits_b")) >= limit - MARGIN))
@@ -237,7 +243,7 @@ class _Linker:
 
     def confirm(self, likely: DataFrame) -> DataFrame:
         """The pairs (a, b) that are links; the sets of both must be fetched."""
-        likely = write_through(likely.select("a", "b").distinct(), "minhash-pairs")
+        likely = self.written(likely.select("a", "b").distinct(), "minhash-pairs")
         held = only_nodes(self.sets, likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))))
         one = held.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
         two = held.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
@@ -287,6 +293,7 @@ def _near_duplicates(docs: DataFrame, width: int, percent: int, growth: int) ->
     shared = write_through(members.join(stars, "bucket"), "minhash-shared")
     pairs = shared.where("node != a").select("a", F.col("node").alias("b")).distinct()
     linker = _Linker(docs, classes, width, percent)
+    linker.used += [classes, stars, shared]
     links = linker.confirm(linker.likely(pairs))
     roots = cut_lineage(components(links))
 
@@ -295,7 +302,7 @@ def _near_duplicates(docs: DataFrame, width: int, percent: int, growth: int) ->
     # other: most strays end here. Classes with few such shingles come first as pivots, since
     # they are nearest to what a group was copied from.
     big = shared.where("n > 2").select("bucket", "node", "band")
-    rest = write_through(_open_buckets(_labelled(big, roots), 1), "minhash-rest")
+    rest = linker.written(_open_buckets(_labelled(big, roots), 1), "minhash-rest")
     own = linker.own(rest.select("node").distinct())
     can = F.col("size") - F.col("own")
     rest = rest.join(own, "node").where(100 * can >= percent * F.col("size")).join(fine_bits(linker.sets), "node")
@@ -303,7 +310,7 @@ def _near_duplicates(docs: DataFrame, width: int, percent: int, growth: int) ->
     halves = classes.select("node", F.transform("bands", lambda x: x.bitwiseAND(F.lit(2**31 - 1)).cast("int")).alias("halves"))
     rest = rest.join(halves, "node").withColumn("earlier", F.slice("halves", 1, F.col("band")))
     order = Window.partitionBy("bucket").orderBy("own", "node")
-    rest = write_through(rest.select("bucket", "node", "root", "size", "fine", "earlier", can.alias("can"), (F.row_number().over(order) - 1).alias("place")), "minhash-rest")
+    rest = linker.written(rest.select("bucket", "node", "root", "size", "fine", "earlier", can.alias("can"), (F.row_number().over(order) - 1).alias("place")), "minhash-rest")
     first, last = 0, 0
     while not rest.isEmpty():
         pivots = rest.where(F.col("place").between(first, last)).select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("node", "root", "size", "fine", "earlier", "can", "place")])
@@ -317,9 +324,10 @@ def _near_duplicates(docs: DataFrame, width: int, percent: int, growth: int) ->
         if not found.isEmpty():
             links = cut_lineage(links.union(found).distinct())
             roots = cut_lineage(components(links))
-        rest = write_through(_open_buckets(_labelled(rest.drop("root"), roots), last + 2), "minhash-rest")
+        rest = linker.written(_open_buckets(_labelled(rest.drop("root"), roots), last + 2), "minhash-rest")
         first, last = last + 1, (last + 1) * growth
     named = write_through(classes.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root")), "minhash-named")
+    release(*linker.used)
     return made.select("doc_id", "n_shingles", "key").join(named, "key", "left").select(
         "doc_id",
         "n_shingles",

@@ -50,3 +50,15 @@ def test_empty_table(spark):
     docs = _docs(spark, []).limit(0)
     for name, stage in corpus_pipeline.STAGES[1:]:
         assert stage(spark, docs, SF_DIR).count() == 0, name
+
+
+def test_stages_leave_few_copies(spark):
+    """Toxicity writes no copy of the rows, near duplicates leave only what their result reads."""
+    from pathlib import Path
+
+    root = Path(spark.conf.get("spark.checkpoint.dir"), "millrace")
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    for stage, left in ((corpus_pipeline.drop_toxic, {"pipeline-rejected", "toxicity-train"}), (corpus_pipeline.drop_near_duplicates, {"pipeline-rows", "minhash-signatures", "minhash-named"})):
+        before = set(root.glob("*"))
+        n = stage(spark, docs, SF_DIR).count()
+        assert {p.name.rpartition("-")[0] for p in set(root.glob("*")) - before} == left and 0 < n <= docs.count()
