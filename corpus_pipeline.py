@@ -1,27 +1,53 @@
 """The corpus pipeline: toxicity, near duplicates, repeated passages, packing.
 
-Every stage decides on rows, not on doc_ids: toxicity by their text; the others number their rows once, in a
-written copy, and the operators get the number in place of the id. So rows with a null id, repeated rows and several
-texts under one id are each judged by their own text. Columns other than doc_id and text travel in
-one struct, so none can clash with a name that an operator uses. Empty tables give empty tables.
+Every stage decides on rows, not on doc_ids: toxicity by their text; the others number their rows, by file and
+place where they lie in Parquet files, else in a written copy, and the operators get the number in place of the id.
+So rows with a null id, repeated rows and several texts under one id are each judged by their own text. Columns other
+than doc_id and text travel in one struct, so none can clash with a name that an operator uses. Empty tables give
+empty tables.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millrace.llm import chaining, minhash, packing, toxicity
 from millrace.llm.common import table
-from millrace.session import small_batches, write_through
+from millrace.session import release, small_batches, write_through
 
 # Iterative and fitted stages have no SQL form.
 ORACLE_SQL = None
 
 
+def _in_files(docs: DataFrame, *columns: Column) -> DataFrame | None:
+    """(file, place) and these columns, where ``docs`` is nothing but what stands in Parquet files."""
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        return None
+    try:
+        at = docs.metadataColumn("_metadata")
+        return docs.select(at["file_path"].alias("file"), at["row_index"].alias("place"), *columns)
+    except AnalysisException:
+        return None
+
+
 def _numbered(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, row): a number of its own for each row, in the order of the rows, and the other columns."""
-    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
-    return write_through(docs.select(F.monotonically_increasing_id().alias("doc_id"), "text", others.alias("row")), "pipeline-rows")
+    """(doc_id, text, row): a number of its own for each row, in the order of the rows, and the other columns.
+
+    Rows in files keep their file and place whoever reads them, so a written row for each file is enough: the number
+    of its first row. Files come in the order in which Spark reads them. Other rows are written once.
+    """
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+    placed = _in_files(docs, F.col("text"), others)
+    if placed is not None:
+        seen = placed.select("file", "place", F.monotonically_increasing_id().alias("seen"))
+        files = seen.groupBy("file").agg(F.min("seen").alias("seen"), F.count(F.lit(1)).alias("n"), F.max("place").alias("last"))
+        before = F.sum("n").over(Window.orderBy("seen").rowsBetween(Window.unboundedPreceding, -1))
+        files = write_through(files.select("file", "n", "last", F.coalesce(before, F.lit(0)).alias("first")), "pipeline-rows")
+        if files.where("n != last + 1").isEmpty():  # else a file is read more than once
+            return placed.join(F.broadcast(files.select("file", "first")), "file").select((F.col("first") + F.col("place")).alias("doc_id"), "text", "row")
+        release(files)
+    return write_through(docs.select(F.monotonically_increasing_id().alias("doc_id"), "text", others), "pipeline-rows")
 
 
 def _restored(rows: DataFrame, columns: list[str]) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.llm.common import components
-from millrace.session import cut_lineage, release, small_batches, write_through
+from millrace.session import cut_lineage, release, short_lived_shuffles, small_batches, write_through
 
 BANDS, ROWS, BITS = 32, 4, 2
 MINIMA = BANDS * ROWS
@@ -274,7 +274,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, growth:
     Linked: 100 * intersection >= percent * union. component_id is the smallest doc_id
     reachable; kept is true for that document.
     """
-    with small_batches(docs.sparkSession, STEP):
+    with short_lived_shuffles(docs.sparkSession), small_batches(docs.sparkSession, STEP):
         return _near_duplicates(docs, width, percent, growth)
 
 

@@ -62,3 +62,34 @@ def test_stages_leave_few_copies(spark):
         before = set(root.glob("*"))
         n = stage(spark, docs, SF_DIR).count()
         assert {p.name.rpartition("-")[0] for p in set(root.glob("*")) - before} == left and 0 < n <= docs.count()
+
+
+def test_rows_in_files_are_numbered_without_a_copy(spark, tmp_path):
+    """Near duplicates and repeats write no text of rows that lie in files: file by file, in order, each row once."""
+    from pathlib import Path
+
+    passage = " ".join(f"word{i}" for i in range(80))
+    rows = [(1, A), (1, A), (None, A), (3, f"first start {passage}"), (4, f"second start here {passage} and an end"), (4, None), (5, ""), (6, B), (6, B)]
+    _docs(spark, rows).repartition(3, "text").write.parquet(str(tmp_path / "a b%20c"))
+    docs = spark.read.parquet(str(tmp_path / "a b%20c"))
+    numbered = corpus_pipeline._numbered(docs)
+    assert numbered.columns == ["doc_id", "text", "row"]
+    got = sorted((r.doc_id, r.row.doc_id, r.text) for r in numbered.collect())
+    assert [r[0] for r in got] == list(range(len(rows))) and sorted([r[1:] for r in got], key=str) == sorted(rows, key=str)
+    assert [r[1:] for r in got] == [(r.doc_id, r.text) for r in docs.collect()]
+    root = Path(spark.conf.get("spark.checkpoint.dir"), "millrace")
+    for stage, n in ((corpus_pipeline.drop_near_duplicates, 5), (corpus_pipeline.cut_repeats, len(rows))):
+        before = set(root.glob("*"))
+        assert stage(spark, docs, SF_DIR).count() == n, stage
+        made = set(root.glob("*")) - before
+        assert not [p for p in made if "text" in spark.read.parquet(str(p)).columns], stage
+
+
+def test_a_file_read_twice_and_rows_from_elsewhere(spark, tmp_path):
+    _docs(spark, [(1, A), (2, B)]).write.parquet(str(tmp_path / "docs"))
+    once = spark.read.parquet(str(tmp_path / "docs"))
+    twice = spark.read.parquet(str(tmp_path / "docs"), str(tmp_path / "docs"))
+    for docs, n in ((twice, twice.count()), (once.unionByName(once), 4), (once.where("doc_id = 2"), 1), (once.join(spark.range(3)), 6)):
+        found = [r.doc_id for r in corpus_pipeline._numbered(docs).collect()]
+        assert len(found) == len(set(found)) == n
+        assert corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR).count() == min(n, 2)

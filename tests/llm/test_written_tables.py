@@ -138,3 +138,32 @@ def test_shuffles_end_with_their_jobs(spark, monkeypatch):
     assert {label for label, _, _ in seen} >= {"chain-seeds", "chain-shared", "chain-slices", "chain-pieces"}
     assert not [s for s in seen if s[1] != ["true", "512"] or s[2]]
     assert [spark.conf.get(n) for n in names] == before
+
+
+def test_near_duplicates_shuffles_end_with_their_jobs(spark, monkeypatch):
+    """Neither copies nor checkpoints find shuffles of an earlier job on disk."""
+    import time
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen = spark.conf.get(name), []
+    tracked = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    held = set(tracked.keys().mkString(",").split(","))
+
+    def watched(make):
+        def run(*args):
+            out, more = make(*args), {""}
+            for _ in range(50):  # Spark may take a moment
+                more = set(tracked.keys().mkString(",").split(",")) - held - {""}
+                if not more:
+                    break
+                time.sleep(0.1)
+            seen.append((spark.conf.get(name), more))
+            return out
+
+        return run
+
+    for helper in ("write_through", "cut_lineage", "components"):
+        monkeypatch.setattr(minhash, helper, watched(getattr(minhash, helper)))
+    docs = spark.createDataFrame([(n, f"a b c d e f g h i j k l m n o p q r s t u v w x y z {n % 3}") for n in range(9)], "doc_id long, text string")
+    assert {r.component_id for r in minhash.near_duplicates(docs).collect()} == {0}
+    assert len(seen) > 5 and not [s for s in seen if s != ("true", set())] and spark.conf.get(name) == before
